@@ -18,6 +18,7 @@ def tag_late(
     disorder: str | int,
     lateness: str | int,
     arrivals_per_slice: int = 1_000_000,
+    tie: str | None = None,
 ) -> DataFrame:
     """Adds ``is_late``: true if even the last window of the row was closed when it arrived.
 
@@ -25,7 +26,7 @@ def tag_late(
     is closed once the watermark reaches its end plus the allowed lateness.
     """
     seen = Measure("_highest", "max", F.unix_micros(F.col(ts)))
-    ranked = running(df, [], [arrival], by_number(arrival, arrivals_per_slice), [seen], exclusive=True)
+    ranked = running(df, [], [arrival, *([tie] if tie else [])], by_number(arrival, arrivals_per_slice), [seen], exclusive=True)
     last_end = Slices(F.unix_micros(F.col(ts)), micros(slide)).start() + micros(size)
     closed_at = last_end + micros(lateness) + micros(disorder)
     return ranked.withColumn("is_late", F.coalesce(closed_at <= F.col("_highest"), F.lit(False))).drop("_highest")

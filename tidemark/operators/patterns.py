@@ -6,7 +6,7 @@ slice with a halo of that length; no key is ever sorted as a whole.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -132,26 +132,32 @@ def bursts(
         .drop(SLICE, "_own")
     )
     stretch = Measure("_stretch", "sum", F.when(F.col("_follows"), 0).otherwise(1).cast("bigint"))
-    per_second = (
-        running(failed, [key], [ts, tie], by_time(ts, width), [stretch])
-        .groupBy(key, "_stretch", second(F.col(ts)).alias("_second"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("_cancel").alias("_cancel"))
+    numbered = running(failed, [key], [ts, tie], by_time(ts, width), [stretch])
+    per_second = numbered.groupBy(key, "_stretch", second(F.col(ts)).alias("_second")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_cancel").alias("_cancel")
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("_second", "_n")))
+    stretches = (
+        per_second.groupBy(key, "_stretch")
+        .agg(in_order.alias("_rows"), F.sum("_n").alias("_total"), F.max("_cancel").alias("_cancel"))
+        .where(F.col("_total") >= at_least)
+        .select(key, "_cancel", F.col("_rows._second").alias("_seconds"), F.col("_rows._n").alias("_counts"))
     )
 
-    def windows(pdf: pd.DataFrame) -> pd.DataFrame:
-        cancel, found, opened, last, n = pdf["_cancel"].max(), [], None, None, 0
-        for at, count in pdf.sort_values("_second")[["_second", "_n"]].itertuples(index=False):
-            if opened is None or at > opened + within:
-                found.append((opened, last, n))
-                opened, n = at, 0
-            last, n = at, n + count
-        if not cancel <= opened + within:
-            found.append((opened, last, n))
-        out = pd.DataFrame([f for f in found if f[2] >= at_least], columns=["first_second", "last_second", "n_fails"])
-        out.insert(0, key, pdf[key].iloc[0])
-        return out
-
+    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for k, cancel, seconds, counts in batch.itertuples(index=False):
+                opened, n = seconds[0], 0
+                for at, count in zip(seconds, counts, strict=True):
+                    if at > opened + within:
+                        found.append((k, opened, last, n))
+                        opened, n = at, 0
+                    last, n = at, n + count
+                if not cancel <= opened + within:
+                    found.append((k, opened, last, n))
+            yield pd.DataFrame([f for f in found if f[3] >= at_least], columns=names)
+
+    names = [key, "first_second", "last_second", "n_fails"]
     key_type = df.schema[key].dataType.simpleString()
-    return per_second.groupBy(key, "_stretch").applyInPandas(
-        windows, f"{key} {key_type}, first_second bigint, last_second bigint, n_fails bigint"
-    )
+    return stretches.mapInPandas(windows, f"{key} {key_type}, first_second bigint, last_second bigint, n_fails bigint")

@@ -267,8 +267,9 @@ def rank_with_ties(spark, folder):
 
 
 HOT = """SELECT window_end, {key}, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY n DESC, {key}) AS rank
-    FROM (SELECT unnest(generate_series((s // {slide}) * {slide} + {slide}, (s // {slide}) * {slide} + {size}, {slide})) AS window_end,
-                 {key}, count(*) AS n FROM {rows} GROUP BY ALL)) WHERE rank <= {top}"""
+    FROM (SELECT window_end, {key}, count(*) AS n
+          FROM (SELECT unnest(generate_series(s // {slide} * {slide} + {slide}, s // {slide} * {slide} + {size}, {slide}))
+                    AS window_end, {key} FROM {rows}) GROUP BY ALL)) WHERE rank <= {top}"""
 
 HOT_ITEMS = HOT.format(
     key="item_id", slide=300, size=3600, top=5,
