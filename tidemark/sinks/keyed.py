@@ -1,33 +1,57 @@
 """Keyed tables kept up to date by upserts, without a database.
 
-A keyed table is a folder of numbered versions. Merging reads the newest, merges the updates in one
-shuffle, and writes the next; a version counts once its _SUCCESS marker is there, so a lost job or
-a repeated batch never leaves a half-written table.
+A keyed table is a folder of numbered steps. A merge writes only the updates, one row per key, so it
+costs what the updates cost and not what the table costs. Reading takes the newest full step and the
+updates after it, and keeps the last row of each key. Every few merges a full step is written.
+
+Spark moves a step's files into place when its job commits, and a step counts once its _SUCCESS
+marker is there, so a lost job or a repeated batch leaves nothing half written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.changes import latest
 
-from tidemark.operators.changes import latest, upsert
+UPDATES, FULL = "updates", "full"
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def _steps(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Finished steps from the newest full one on, as (number, kind) in order."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(folder):
         return []
-    done = lambda p: files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
-    found = [status.getPath() for status in files.listStatus(folder)]
-    return sorted(int(p.getName()[1:]) for p in found if p.getName().startswith("v") and done(p))
+    found = []
+    for status in files.listStatus(folder):
+        kind, _, number = status.getPath().getName().partition("-")
+        if kind in (UPDATES, FULL) and files.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found.append((int(number), kind))
+    found.sort()
+    start = max((i for i, (_, kind) in enumerate(found) if kind == FULL), default=0)
+    return found[start:]
+
+
+def _rows(spark: SparkSession, path: str, steps: list[tuple[int, str]]) -> DataFrame:
+    parts = [spark.read.parquet(f"{path}/{kind}-{n}").withColumn("_step", F.lit(n)) for n, kind in steps]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _resolved(rows: DataFrame, keys: Sequence[str], order: Sequence[str], by_arrival: bool) -> DataFrame:
+    return latest(rows, keys, ["_step", *order] if by_arrival else order).drop("_step")
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
-    versions = _versions(spark, path)
-    return spark.read.parquet(f"{path}/v{versions[-1]}") if versions else None
+def read_keyed(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], by_arrival: bool = True
+) -> DataFrame:
+    """The table as the merges so far left it."""
+    return _resolved(_rows(spark, path, _steps(spark, path)), keys, order, by_arrival)
 
 
 def merge_keyed(
@@ -35,27 +59,31 @@ def merge_keyed(
     path: str,
     keys: Sequence[str],
     order: Sequence[str],
-    version: int | None = None,
+    step: int | None = None,
     by_arrival: bool = True,
+    full_every: int = 32,
 ) -> None:
-    """Replaces rows whose key is in the updates and adds the rest (see ``upsert`` for by_arrival).
+    """Replaces rows whose key is in the updates and adds the rest.
 
-    A version number (a stream's batch number) makes the merge repeatable: an earlier or equal
-    version is not applied twice.
+    Among updates the highest in ``order`` counts. Against rows already there an update always wins,
+    or only if it is higher, when ``by_arrival`` is False. A step number (a stream's batch number)
+    makes the merge repeatable: a step that is done is not applied again.
     """
     spark = updates.sparkSession
-    done = _versions(spark, path)
-    newest = done[-1] if done else -1
-    version = newest + 1 if version is None else version
-    if version <= newest:
+    done = _steps(spark, path)
+    newest = done[-1][0] if done else -1
+    step = newest + 1 if step is None else step
+    if step <= newest:
         return
-    if done:
-        merged = upsert(spark.read.parquet(f"{path}/v{newest}"), updates, keys, order, by_arrival)
+    if len(done) < full_every:
+        latest(updates, keys, order).write.mode("overwrite").parquet(f"{path}/{UPDATES}-{step}")
     else:
-        merged = latest(updates, keys, order)
-    merged.write.mode("overwrite").parquet(f"{path}/v{version}")
+        rows = _rows(spark, path, done).unionByName(updates.withColumn("_step", F.lit(step)))
+        _resolved(rows, keys, order, by_arrival).write.mode("overwrite").parquet(f"{path}/{FULL}-{step}")
 
 
-def merge_each_batch(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def merge_each_batch(
+    path: str, keys: Sequence[str], order: Sequence[str], by_arrival: bool = True
+) -> Callable[[DataFrame, int], None]:
     """For writeStream.foreachBatch: merges every micro-batch into the keyed table."""
-    return lambda batch, number: merge_keyed(batch, path, keys, order, number)
+    return lambda batch, number: merge_keyed(batch, path, keys, order, number, by_arrival)

@@ -12,15 +12,12 @@ def file_stream(
     schema: StructType | str,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
-    only: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """A folder as a stream. One file per batch replays a queue one batch at a time; unset takes all."""
+    """A folder (or one file) as a stream. One file per batch replays a queue one batch at a time; unset takes all."""
     reader = spark.readStream.schema(schema).format(fmt).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if only:
-        reader = reader.option("pathGlobFilter", only)
     return reader.load(path)
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.session import ROCKSDB, pin_utc, scratch_dir
 from tidemark.sources.streams import file_stream
@@ -26,49 +28,57 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """A warehouse table as a stream; zone-less times become timestamps."""
+def table_stream(spark: SparkSession, folder: str, name: str, gigabytes_per_batch: int = 16) -> DataFrame:
+    """A warehouse table as a stream, so many gigabytes of files at a time, oldest files first.
+
+    Zone-less times become timestamps. Rows of later batches that are behind the watermark are late
+    like on any stream, so files should be in time order up to the watermark's delay.
+    """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    stream = file_stream(spark, folder, schema, files_per_batch=files_per_batch, only=f"{name}.parquet")
+    either = f"{folder}/{name}.parque[t]"  # as a pattern it may name a folder of files or one file
+    stream = file_stream(spark, either, schema, maxBytesPerTrigger=str(gigabytes_per_batch << 30))
     times = {f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"}
     return stream.withColumns(times) if times else stream
 
 
-def with_end(stream: DataFrame, ts: str, **values) -> DataFrame:
-    """Adds one row at the end of time, so that a bounded replay emits all it holds.
+@dataclass(frozen=True)
+class End:
+    """The last row of a bounded replay, held back until all other input is processed."""
+
+    row: DataFrame
+    path: str
+
+    def release(self) -> None:
+        self.row.write.mode("append").parquet(self.path)
+
+
+def with_end(stream: DataFrame, ts: str, **values) -> tuple[DataFrame, End]:
+    """Adds a row at the end of time, so that a bounded replay emits all it holds.
 
     The row must pass every filter on the way, or the watermark does not move: give its columns by
-    name. Its own window never closes, so it is in no windowed result.
+    name. Its own window never closes, so it is in no windowed result. The row is a second file
+    source, empty until the runner has processed everything else and releases it.
     """
     spark = stream.sparkSession
-    fields = {
-        f.name: F.lit(END_OF_TIME) if f.name == ts else F.lit(values.get(f.name)) for f in stream.schema
-    }
-    path = scratch_dir(spark, "end")
+    fields = {f.name: F.lit(END_OF_TIME) if f.name == ts else F.lit(values.get(f.name)) for f in stream.schema}
     row = spark.range(1).select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in stream.schema])
-    row.write.parquet(path)
-    return stream.union(file_stream(spark, path, row.schema))
+    path = scratch_dir(spark, "end")
+    row.limit(0).write.parquet(path)
+    return stream.union(file_stream(spark, path, row.schema)), End(row, path)
 
 
 def run_to_table(
     stream: DataFrame,
     spark: SparkSession,
+    ends: Sequence[End] = (),
     mode: str = "append",
     checkpoint: str | None = None,
     out: str | None = None,
 ) -> DataFrame:
     """Processes all input there is, then stops. Results go to files, not through the driver."""
-    checkpoint = checkpoint or scratch_dir(spark, "checkpoint")
     out = out or scratch_dir(spark, "out")
-    query = (
-        stream.writeStream.outputMode(mode)
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    _finish(query)
+    start = lambda writer: writer.outputMode(mode).format("parquet").option("path", out)
+    _run(stream, spark, start, ends, checkpoint)
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -76,23 +86,52 @@ def run_each_batch(
     stream: DataFrame,
     spark: SparkSession,
     action: Callable[[DataFrame, int], None],
+    ends: Sequence[End] = (),
     mode: str = "update",
     checkpoint: str | None = None,
 ) -> None:
     """Hands every micro-batch to ``action`` as a table with its batch number, then stops."""
-    query = (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(action)
-        .option("checkpointLocation", checkpoint or scratch_dir(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    _finish(query)
-
-
-def _finish(query) -> None:
-    try:
-        query.awaitTermination()
-    finally:
-        if query.isActive:
+    _run(stream, spark, lambda writer: writer.outputMode(mode).foreachBatch(action), ends, checkpoint)
+
+
+def run_batches_to_table(
+    stream: DataFrame,
+    spark: SparkSession,
+    transform: Callable[[DataFrame], DataFrame],
+    ends: Sequence[End] = (),
+    checkpoint: str | None = None,
+) -> DataFrame:
+    """Applies a table operator to each micro-batch of finished rows and collects the results.
+
+    In append mode a finished window comes out with all its keys in one micro-batch, so operators
+    per window, such as a ranking, are complete. A repeated batch overwrites its own folder.
+    """
+    out = scratch_dir(spark, "out")
+    schemas = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        result = transform(batch)
+        schemas.append(result.schema)
+        result.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    run_each_batch(stream, spark, write, ends, "append", checkpoint)
+    return spark.read.schema(schemas[0]).parquet(f"{out}/batch=*")
+
+
+def _run(
+    stream: DataFrame,
+    spark: SparkSession,
+    configure: Callable[[DataStreamWriter], DataStreamWriter],
+    ends: Sequence[End],
+    checkpoint: str | None,
+) -> None:
+    checkpoint = checkpoint or scratch_dir(spark, "checkpoint")
+    for last in (False, True) if ends else (False,):
+        if last:
+            for end in ends:
+                end.release()
+        query = configure(stream.writeStream).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        try:
+            query.awaitTermination()
+        finally:
             query.stop()

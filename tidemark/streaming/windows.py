@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.durations import micros, spark_interval
 from tidemark.operators.aggregates import bitmap_offset, distinct_per_window
+from tidemark.operators.ranking import top_n
 
 
 def window_counts(
@@ -19,21 +20,14 @@ def window_counts(
     return stream.withWatermark(ts, spark_interval(delay)).groupBy(window, *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_n_per_window(counts: DataFrame, key: str, n: int) -> DataFrame:
-    """Second stage over finished windows: the n highest counts, ties by key.
+def ranked_windows(key: str, n: int) -> Callable[[DataFrame], DataFrame]:
+    """Second stage for ``run_batches_to_table``: the n highest counts of each finished window."""
 
-    Window functions are not allowed on streams, so each window's (count, key) pairs are gathered:
-    one entry per key, not per row. For key sets too large for that, write ``counts`` to a table and
-    rank on reading.
-    """
-    pairs = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("neg"), F.col(key).alias("key"))))
-    top = counts.groupBy("window").agg(F.slice(pairs, 1, n).alias("top"))
-    return top.select("window", F.posexplode("top").alias("at", "best")).select(
-        F.col("window.end").alias("window_end"),
-        F.col("best.key").alias(key),
-        (-F.col("best.neg")).alias("n"),
-        (F.col("at") + 1).alias("rank"),
-    )
+    def rank(counts: DataFrame) -> DataFrame:
+        ended = counts.select(F.col("window.end").alias("window_end"), key, "n")
+        return top_n(ended, ["window_end"], [F.desc("n"), F.asc(key)], n)
+
+    return rank
 
 
 def distinct_users(

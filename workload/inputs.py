@@ -190,7 +190,7 @@ def sink_upsert(spark, folder):
     keyed.merge_keyed(first, path, ["id"], ["event_id"], 0)
     keyed.merge_keyed(second, path, ["id"], ["event_id"], 1)
     keyed.merge_keyed(second, path, ["id"], ["event_id"], 1)
-    return keyed.read_keyed(spark, path).drop("event_id")
+    return keyed.read_keyed(spark, path, ["id"], ["event_id"]).drop("event_id")
 
 
 @query(

@@ -20,7 +20,14 @@ from tidemark.sources.external import change_records
 from tidemark.sources.streams import file_stream
 from tidemark.streaming import processors
 from tidemark.streaming import windows as streamed
-from tidemark.streaming.runner import run_each_batch, run_to_table, stream_session, table_stream, with_end
+from tidemark.streaming.runner import (
+    run_batches_to_table,
+    run_each_batch,
+    run_to_table,
+    stream_session,
+    table_stream,
+    with_end,
+)
 from tidemark.tables import (
     as_actions,
     as_behaviours,
@@ -29,6 +36,7 @@ from tidemark.tables import (
     as_orders_and_payments,
     as_readings,
     load,
+    side,
 )
 from workload.eventtime import (
     AVERAGES,
@@ -52,7 +60,7 @@ from workload.registry import BEHAVIOURS, HOUR, READINGS, query
 
 
 def events(spark, folder, event_type="view", **values):
-    """The events as a stream, ended by a row that passes the query's filter."""
+    """The events as a stream and its end: a row that passes the query's filter."""
     stream = table_stream(stream_session(spark), folder, "events")
     return with_end(stream, "ts", event_id=-1, event_type=event_type, props='{"k": -1}', **values)
 
@@ -73,7 +81,7 @@ def stream_replayed_batches(spark, folder):
         spark,
         keyed.merge_each_batch(totals, ["event_type"], ["n"]),
     )
-    return keyed.read_keyed(spark, totals)
+    return keyed.read_keyed(spark, totals, ["event_type"], ["n"])
 
 
 @query("stream_word_count", WORD_COUNT)
@@ -83,24 +91,26 @@ def stream_word_count(spark, folder):
     counts = count_by(words(documents.select("text"), "text"), ["word"])
     totals = scratch_dir(spark, "totals")
     run_each_batch(counts, spark, keyed.merge_each_batch(totals, ["word"], ["n"]))
-    return keyed.read_keyed(spark, totals)
+    return keyed.read_keyed(spark, totals, ["word"], ["n"])
 
 
 @query("stream_hot_items", HOT_ITEMS)
 def stream_hot_items(spark, folder):
-    seen = as_behaviours(events(spark, folder)).where("behaviour = 'view'")
+    stream, end = events(spark, folder)
+    seen = as_behaviours(stream).where("behaviour = 'view'")
     counts = streamed.window_counts(seen, "ts", 0, "1 hour", "5 minutes", ["item_id"])
-    return ranked_rows(run_to_table(streamed.top_n_per_window(counts, "item_id", 5), spark), "item_id")
+    return ranked_rows(run_batches_to_table(counts, spark, streamed.ranked_windows("item_id", 5), [end]), "item_id")
 
 
 @query("stream_page_views", PAGE_VIEWS)
 def stream_page_views(spark, folder):
     """Salted counts per window, then a second stage that adds them up."""
-    seen = as_behaviours(events(spark, folder)).where("behaviour = 'view'")
+    stream, end = events(spark, folder)
+    seen = as_behaviours(stream).where("behaviour = 'view'")
     salted = seen.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(10)))
     counts = streamed.window_counts(salted, "ts", 0, "1 hour", None, ["salt"])
     total = counts.groupBy("window").agg(F.sum("n").alias("n")).select(epoch(F.col("window.end")).alias("window_end"), "n")
-    return run_to_table(total, spark)
+    return run_to_table(total, spark, [end])
 
 
 @query(
@@ -109,8 +119,9 @@ def stream_page_views(spark, folder):
         FROM {BEHAVIOURS} WHERE behaviour = 'view' GROUP BY 1""",
 )
 def stream_unique_visitors(spark, folder):
-    seen = as_behaviours(events(spark, folder, user_id=-1)).where("behaviour = 'view'")
-    found = run_to_table(streamed.distinct_users(seen, "ts", 0, "1 hour", "user_id"), spark)
+    stream, end = events(spark, folder, user_id=-1)
+    seen = as_behaviours(stream).where("behaviour = 'view'")
+    found = run_to_table(streamed.distinct_users(seen, "ts", 0, "1 hour", "user_id"), spark, [end])
     return found.select(epoch("window_end").alias("window_end"), "uv")
 
 
@@ -120,8 +131,9 @@ def stream_unique_visitors(spark, folder):
         FROM {BEHAVIOURS} WHERE behaviour = 'view' GROUP BY 1""",
 )
 def stream_unique_visitors_bitmap(spark, folder):
-    seen = as_behaviours(events(spark, folder, user_id=-1)).where("behaviour = 'view'")
-    found = run_to_table(streamed.distinct_users(seen, "ts", 0, "1 hour", "user_id", bitmap=True), spark)
+    stream, end = events(spark, folder, user_id=-1)
+    seen = as_behaviours(stream).where("behaviour = 'view'")
+    found = run_to_table(streamed.distinct_users(seen, "ts", 0, "1 hour", "user_id", bitmap=True), spark, [end])
     return found.select(epoch("window_end").alias("window_end"), "uv")
 
 
@@ -133,40 +145,49 @@ def stream_refreshed_views(spark, folder):
     refreshed = counts.select(epoch(F.col("window.end")).alias("window_end"), "n")
     totals = scratch_dir(spark, "totals")
     run_each_batch(refreshed, spark, keyed.merge_each_batch(totals, ["window_end"], ["n"]))
-    return keyed.read_keyed(spark, totals)
+    return keyed.read_keyed(spark, totals, ["window_end"], ["n"])
 
 
 @query("stream_channel_counts", CHANNELS)
 def stream_channel_counts(spark, folder):
-    actions = as_actions(events(spark, folder, user_id=0)).where("behaviour <> 'error'").withWatermark("ts", "0 seconds")
+    stream, end = events(spark, folder, user_id=0)
+    actions = as_actions(stream).where("behaviour <> 'error'").withWatermark("ts", "0 seconds")
     one = Measure("n", "sum", F.lit(1).cast("bigint"))
-    found = run_to_table(sliding(actions, "ts", "1 hour", "5 minutes", ["channel", "behaviour"], [one]), spark)
+    found = run_to_table(sliding(actions, "ts", "1 hour", "5 minutes", ["channel", "behaviour"], [one]), spark, [end])
     return found.select("channel", "behaviour", epoch("window_end").alias("window_end"), "n")
 
 
 @query("stream_min_row", MIN_ROWS)
 def stream_min_row(spark, folder):
-    rows = as_readings(events(spark, folder, user_id=-1, value=0.0)).withWatermark("ts", "62 seconds")
-    return min_rows(run_to_table(tumbling(rows, "ts", "6 hours", ["id"], [min_row_aggregate()]), spark))
+    stream, end = events(spark, folder, user_id=-1, value=0.0)
+    rows = as_readings(stream).withWatermark("ts", "62 seconds")
+    return min_rows(run_to_table(tumbling(rows, "ts", "6 hours", ["id"], [min_row_aggregate()]), spark, [end]))
 
 
 @query("stream_sessions", SESSIONS)
 def stream_sessions(spark, folder):
-    rows = as_readings(events(spark, folder, user_id=-1)).withWatermark("ts", "0 seconds")
+    stream, end = events(spark, folder, user_id=-1)
+    rows = as_readings(stream).withWatermark("ts", "0 seconds")
     one = Measure("n", "sum", F.lit(1).cast("bigint"))
-    return session_rows(run_to_table(sessions(rows, "ts", "5 hours", ["id"], "event_id", [one]), spark))
+    return session_rows(run_to_table(sessions(rows, "ts", "5 hours", ["id"], "event_id", [one]), spark, [end]))
 
 
-def _sides(spark, folder):
-    """Two event types as two watermarked streams; their end rows match nothing."""
+def _halves(spark, folder, *event_types):
+    """Event types as separate streams with their ends, whose keys match nothing."""
     session = stream_session(spark)
-    for event_type, prefix, key in (("click", "pay", -1), ("view", "receipt", -2)):
-        stream = with_end(table_stream(session, folder, "events"), "ts", event_id=-1, event_type=event_type, user_id=key)
-        yield (
-            stream.where(F.col("event_type") == event_type)
-            .select(F.col("user_id").alias("tx_id"), F.col("event_id").alias(f"{prefix}_id"), F.col("ts").alias(f"{prefix}_ts"))
-            .withWatermark(f"{prefix}_ts", "0 seconds")
-        )
+    for key, event_type in enumerate(event_types, 1):
+        stream = table_stream(session, folder, "events")
+        whole, end = with_end(stream, "ts", event_id=-1, event_type=event_type, user_id=-key)
+        yield whole, end
+
+
+def _sides(spark, folder):
+    (pays, pay_end), (receipts, receipt_end) = _halves(spark, folder, "click", "view")
+    return (
+        side(pays, "click", "pay").withWatermark("pay_ts", "0 seconds"),
+        side(receipts, "view", "receipt").withWatermark("receipt_ts", "0 seconds"),
+        [pay_end, receipt_end],
+    )
 
 
 @query(
@@ -175,30 +196,30 @@ def _sides(spark, folder):
         WHERE receipt_us BETWEEN pay_us - {3 * HOUR} AND pay_us + {5 * HOUR}""",
 )
 def stream_interval_pairs(spark, folder):
-    pays, receipts = _sides(spark, folder)
+    pays, receipts, ends = _sides(spark, folder)
     pairs = interval_join(pays, receipts, ["tx_id"], "pay_ts", "receipt_ts", "-3 hours", "5 hours")
-    return run_to_table(pairs.select("tx_id", "pay_id", "receipt_id"), spark)
+    return run_to_table(pairs.select("tx_id", "pay_id", "receipt_id"), spark, ends)
 
 
 @query("stream_reconcile_payments", RECONCILED)
 def stream_reconcile_payments(spark, folder):
-    pays, receipts = _sides(spark, folder)
+    pays, receipts, ends = _sides(spark, folder)
     found = streamed.reconciled(pays, receipts, "tx_id", "pay_ts", "receipt_ts", "-3 hours", "5 hours")
-    return reconciled_rows(run_to_table(found, spark))
+    return reconciled_rows(run_to_table(found, spark, ends))
 
 
 @query("stream_payment_timeouts", TIMEOUTS)
 def stream_payment_timeouts(spark, folder):
     """Orders and payments as two streams, so a payment arriving before its order does no harm."""
-    session = stream_session(spark)
-    parts = {}
-    for event_type, key in (("signup", -1), ("purchase", -2)):
-        stream = with_end(table_stream(session, folder, "events"), "ts", event_id=-1, event_type=event_type, user_id=key)
-        parts[event_type] = as_orders_and_payments(stream.where(F.col("event_type") == event_type))
-    creates = parts["signup"].select("order_id", F.col("ts").alias("opened_ts"), "event_id").withWatermark("opened_ts", "0 seconds")
-    pays = parts["purchase"].select("order_id", F.col("ts").alias("paid_ts")).withWatermark("paid_ts", "0 seconds")
-    closing = streamed.first_closing(creates, pays, "order_id", "opened_ts", "paid_ts", "1 day")
-    return timeout_rows(alerts.with_result(run_to_table(closing, spark), "1 day"))
+    (signups, signup_end), (purchases, purchase_end) = _halves(spark, folder, "signup", "purchase")
+    creates = as_orders_and_payments(signups).where("event_type = 'create'")
+    pays = as_orders_and_payments(purchases).where("event_type = 'pay'")
+    closing = streamed.first_closing(
+        creates.select("order_id", F.col("ts").alias("opened_ts"), "event_id").withWatermark("opened_ts", "0 seconds"),
+        pays.select("order_id", F.col("ts").alias("paid_ts")).withWatermark("paid_ts", "0 seconds"),
+        "order_id", "opened_ts", "paid_ts", "1 day",
+    )
+    return timeout_rows(alerts.with_result(run_to_table(closing, spark, [signup_end, purchase_end]), "1 day"))
 
 
 @query(
@@ -208,31 +229,33 @@ def stream_payment_timeouts(spark, folder):
 )
 def stream_window_pairs(spark, folder):
     """Two streams joined batch by batch: on key and time window."""
-    pays, receipts = _sides(spark, folder)
+    pays, receipts, ends = _sides(spark, folder)
     left = pays.withColumn("window", F.window("pay_ts", "6 hours"))
     right = receipts.withColumn("window", F.window("receipt_ts", "6 hours"))
-    return run_to_table(left.join(right, ["tx_id", "window"]).select("tx_id", "pay_id", "receipt_id"), spark)
+    pairs = left.join(right, ["tx_id", "window"]).select("tx_id", "pay_id", "receipt_id")
+    return run_to_table(pairs, spark, ends)
 
 
 def _readings(spark, folder):
-    return as_readings(events(spark, folder, user_id=-1, value=0.0))
+    """For keyed processors, which sort a key's rows of one batch in memory: smaller batches."""
+    return as_readings(table_stream(stream_session(spark), folder, "events", gigabytes_per_batch=1))
 
 
 @query("stream_running_count", NUMBERS)
 def stream_running_count(spark, folder):
-    rows = as_readings(table_stream(stream_session(spark), folder, "events"))
+    rows = _readings(spark, folder)
     return run_to_table(processors.apply_processor(rows, "id", processors.RunningCount()), spark)
 
 
 @query("stream_jumps", JUMPS)
 def stream_jumps(spark, folder):
-    rows = as_readings(table_stream(stream_session(spark), folder, "events"))
+    rows = _readings(spark, folder)
     return run_to_table(processors.apply_processor(rows, "id", processors.Jumps(10.0)), spark)
 
 
 @query("stream_rolling_averages", AVERAGES)
 def stream_rolling_averages(spark, folder):
-    rows = as_readings(table_stream(stream_session(spark), folder, "events"))
+    rows = _readings(spark, folder)
     found = run_to_table(processors.apply_processor(rows, "id", processors.CountedAverage(10, 2)), spark)
     return found.select("id", "firing", F.round("avg_temp", 6).alias("avg_temp"))
 
@@ -246,7 +269,7 @@ def stream_rolling_averages(spark, folder):
 )
 def stream_kind_profile(spark, folder):
     """Map state (counts by kind) and reducing state (highest value) of each user."""
-    rows = table_stream(stream_session(spark), folder, "events").select(
+    rows = table_stream(stream_session(spark), folder, "events", gigabytes_per_batch=1).select(
         F.col("user_id").alias("id"), "event_id", "ts", F.col("event_type").alias("kind"), F.col("value").alias("temperature")
     )
     return run_to_table(processors.apply_processor(rows, "id", processors.KindProfile()), spark)
@@ -254,7 +277,7 @@ def stream_kind_profile(spark, folder):
 
 @query("stream_rising_alerts", f"SELECT id, run_start FROM {RUNS}")
 def stream_rising_alerts(spark, folder):
-    rows = as_readings(table_stream(stream_session(spark), folder, "events"))
+    rows = _readings(spark, folder)
     found = run_to_table(processors.apply_processor(rows, "id", processors.RisingAlert(micros("12 hours"))), spark)
     return found.select("id", F.unix_micros("run_start").alias("run_start"))
 
@@ -267,16 +290,18 @@ def stream_rising_alerts(spark, folder):
 )
 def stream_silence_timer(spark, folder):
     """Timers set by every reading and run out after six silent hours."""
-    rows = _readings(spark, folder).withWatermark("ts", "0 seconds")
+    stream, end = events(spark, folder, user_id=-1)
+    rows = as_readings(stream).withWatermark("ts", "0 seconds")
     found = processors.apply_processor(rows, "id", processors.SilenceTimer(6 * 3600), timers=True)
-    return run_to_table(found, spark).where("id <> -1")
+    return run_to_table(found, spark, [end]).where("id <> -1")
 
 
 @query("stream_login_bursts", BURSTS)
 def stream_login_bursts(spark, folder):
-    rows = as_logins(events(spark, folder, event_type="click", user_id=-1)).withWatermark("ts", "0 seconds")
+    stream, end = events(spark, folder, event_type="click", user_id=-1)
+    rows = as_logins(stream).withWatermark("ts", "0 seconds")
     found = processors.apply_processor(rows, "user_id", processors.FailBursts(6 * 3600), timers=True)
-    return run_to_table(found, spark)
+    return run_to_table(found, spark, [end])
 
 
 @query("stream_change_sync", SYNC)
@@ -286,5 +311,5 @@ def stream_change_sync(spark, folder):
     changes = change_records(values, "id bigint, name string, age int")
     path = scratch_dir(spark, "images")
     run_each_batch(changes, spark, sync.sync_each_batch(path, "id", ["event_id"]), mode="append")
-    images = keyed.read_keyed(spark, path).where("type <> 'delete'")
-    return images.select("id", F.to_json(F.struct("name", "age")).alias("cf1"))
+    rows = sync.read_synchronised(spark, path, "id", ["event_id"], "cf1", ["name", "age"])
+    return rows.select("id", F.to_json("cf1").alias("cf1"))
