@@ -53,7 +53,23 @@ def remark_by(counts: DataFrame, keys: list[str], city: str, n: str, top: int =
 
 
 def register(spark: SparkSession) -> None:
-    """SQL names: int_avg(bigint), avg_temp(double), city_remark(text)."""
+    """SQL names: int_avg(bigint), avg_temp(double), city_remark(text), city_remark_of(cities, total).
+
+    Spark does not mix the first three, Python aggregates, with built-in ones in one query. Next to
+    count(*) use city_remark_of on counts by city: city_remark_of(collect_list(struct(n, city)), sum(n)).
+    """
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION city_remark_of(cities ARRAY<STRUCT<n: BIGINT, city: STRING>>, total BIGINT)
+        RETURNS STRING RETURN concat_ws(',',
+            transform(slice(array_sort(cities, (a, b) -> CASE
+                    WHEN a.n > b.n THEN -1 WHEN a.n < b.n THEN 1
+                    WHEN a.city < b.city THEN -1 WHEN a.city > b.city THEN 1 ELSE 0 END), 1, 2),
+                c -> concat(c.city, ' ', c.n * 100 div total, '%')),
+            if(size(cities) > 2, concat('{REST} ', 100 - aggregate(
+                slice(array_sort(transform(cities, c -> -c.n)), 1, 2), 0L, (s, n) -> s + (-n * 100 div total)), '%'), NULL))
+        """
+    )
 
     @F.pandas_udf("bigint")
     def int_avg(values: pd.Series) -> int:

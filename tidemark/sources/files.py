@@ -34,7 +34,7 @@ def text_lines(spark: SparkSession, path: str, min_partitions: int | None = None
 
 def whole_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its path and full content."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def json_lines(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -45,7 +45,8 @@ def json_lines(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 def delimited(spark: SparkSession, path: str, schema: str, sep: str = ",", corrupt: str | None = None) -> DataFrame:
     """Positional records without header. Empty fields are null.
 
-    With ``corrupt`` rows that do not fit the schema are kept, their text in a column of that name.
+    A row that does not fit the schema fails the read. With ``corrupt`` it is kept, its text in a
+    column of that name. Spark parses only columns that a query reads, so only those can fail.
     """
     reader = spark.read.option("sep", sep)
     if corrupt:
