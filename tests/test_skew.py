@@ -47,6 +47,8 @@ def ordered(frame=True):
 
 
 WIDTHS = ["7 seconds", "10 minutes", "1 day"]
+# All keys cut, only the hot one, none.
+HEAVY = [1, 600, 10_000]
 ONE = F.lit
 
 
@@ -54,9 +56,10 @@ def ones(name="n"):
     return Measure(name, "sum", F.lit(1).cast("bigint"))
 
 
+@pytest.mark.parametrize("heavy", HEAVY)
 @pytest.mark.parametrize("width", WIDTHS)
-def test_running(events, width):
-    found = running(events, ["id"], ORDER, by_time("ts", width), [ones(), Measure("hi", "max", F.col("temperature"))])
+def test_running(events, width, heavy):
+    found = running(events, ["id"], ORDER, by_time("ts", width, heavy), [ones(), Measure("hi", "max", F.col("temperature"))])
     expected = events.withColumn("n", F.count(F.lit(1)).over(ordered())).withColumn("hi", F.max("temperature").over(ordered()))
     same(found, expected)
 
@@ -69,9 +72,10 @@ def test_running_without_keys(events, width):
     same(found, expected)
 
 
+@pytest.mark.parametrize("heavy", HEAVY)
 @pytest.mark.parametrize("width", WIDTHS)
-def test_previous(events, width):
-    found = previous(events, ["id"], ORDER, by_time("ts", width), {"temperature": "before", "ts": "before_ts"})
+def test_previous(events, width, heavy):
+    found = previous(events, ["id"], ORDER, by_time("ts", width, heavy), {"temperature": "before", "ts": "before_ts"})
     lagged = {new: F.lag(old).over(ordered(False)) for old, new in (("temperature", "before"), ("ts", "before_ts"))}
     same(found, events.withColumns(lagged))
 
@@ -79,25 +83,27 @@ def test_previous(events, width):
 @pytest.mark.parametrize("width", WIDTHS)
 def test_running_max_row(events, width):
     slim = events.select("id", "event_id", "temperature", "ts")
-    found = aggregates.running_max_row(slim, ["id"], "temperature", ["event_id"], by_number("event_id", {"7 seconds": 3, "10 minutes": 200, "1 day": 5000}[width]))
+    found = aggregates.running_max_row(slim, ["id"], "temperature", ["event_id"], by_number("event_id", {"7 seconds": 3, "10 minutes": 200, "1 day": 5000}[width], 600))
     so_far = Window.partitionBy("id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
     best = F.max(F.struct("temperature", -F.col("event_id"))).over(so_far)
     expected = slim.select("id", "event_id", best["temperature"].alias("max_temperature"), (-best["col2"]).alias("max_event_id"))
     same(found, expected)
 
 
+@pytest.mark.parametrize("heavy", HEAVY)
 @pytest.mark.parametrize("width", WIDTHS)
-def test_rising_runs(events, width):
-    found = patterns.rising_runs(events, ["id"], *ORDER, "temperature", "1 second", width)
+def test_rising_runs(events, width, heavy):
+    found = patterns.rising_runs(events, ["id"], *ORDER, "temperature", "1 second", width, heavy)
     starts = F.when(F.col("temperature") >= F.lag("temperature").over(ordered(False)), 0).otherwise(1)
     runs = events.withColumn("starts", starts).withColumn("nr", F.sum("starts").over(ordered())).groupBy("id", "nr")
     expected = runs.agg(F.min("ts").alias("run_start"), F.max("ts").alias("run_end"), F.count(F.lit(1)).alias("n_rows"))
     same(found, expected.where("run_end > run_start").drop("nr"))
 
 
+@pytest.mark.parametrize("heavy", HEAVY)
 @pytest.mark.parametrize("gap", ["3 seconds", "20 seconds", "2 hours"])
-def test_sessions(events, gap):
-    found = windows.sessions(events, "ts", gap, ["id"], "event_id", [ones()])
+def test_sessions(events, gap, heavy):
+    found = windows.sessions(events, "ts", gap, ["id"], "event_id", [ones()], heavy)
     native = events.groupBy(F.session_window("ts", gap).alias("w"), "id").agg(F.count(F.lit(1)).alias("n"))
     same(found, native.select("id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n"))
 
@@ -109,9 +115,10 @@ def test_sliding(events, size, slide):
     same(found, native.select("id", F.col("w.end").alias("window_end"), "n", "hi"))
 
 
+@pytest.mark.parametrize("heavy", HEAVY)
 @pytest.mark.parametrize(("size", "slide"), [(10, 2), (6, 4), (3, 3)])
-def test_counted_windows(events, size, slide):
-    found = windows.counted(events, ["id"], ORDER, by_time("ts", "10 minutes"), size, slide, [Measure("total", "sum", F.col("temperature")), ones()])
+def test_counted_windows(events, size, slide, heavy):
+    found = windows.counted(events, ["id"], ORDER, by_time("ts", "10 minutes", heavy), size, slide, [Measure("total", "sum", F.col("temperature")), ones()])
     last = Window.partitionBy("id").orderBy(*ORDER).rowsBetween(1 - size, 0)
     expected = (
         events.withColumn("nth", F.row_number().over(ordered(False)))
@@ -123,6 +130,14 @@ def test_counted_windows(events, size, slide):
     same(found, expected)
 
 
+def test_sliding_with_gaps(events):
+    """Windows shorter than their slide leave rows out."""
+    found = windows.sliding(events, "ts", "4 seconds", "10 seconds", ["id"], [ones()])
+    inside = events.where(F.unix_seconds("ts") % 10 < 4).withColumn("end", F.unix_seconds("ts") - F.unix_seconds("ts") % 10 + 4)
+    expected = inside.groupBy("id", F.timestamp_seconds("end").alias("window_end")).agg(F.count(F.lit(1)).alias("n"))
+    same(found, expected)
+
+
 @pytest.mark.parametrize("width", ["2 seconds", "1 hour"])
 @pytest.mark.parametrize(("times", "inclusive"), [(2, True), (2, False), (3, True)])
 def test_consecutive(events, width, times, inclusive):
@@ -148,9 +163,10 @@ def test_followed_by(events, width):
     same(found, expected)
 
 
+@pytest.mark.parametrize("heavy", HEAVY)
 @pytest.mark.parametrize(("within", "width"), [(3, "1 second"), (20, "1 hour"), (3600, "10 minutes")])
-def test_bursts(events, within, width):
-    found = patterns.bursts(events.where("id IS NOT NULL"), "id", *ORDER, F.col("status") == "fail", within, 2, width)
+def test_bursts(events, within, width, heavy):
+    found = patterns.bursts(events.where("id IS NOT NULL"), "id", *ORDER, F.col("status") == "fail", within, 2, width, heavy)
     by_key, expected = {}, []
     for r in events.orderBy(*ORDER).collect():
         if r["id"] is not None:

@@ -20,7 +20,7 @@ def java_split(column: str | Column, separator: str) -> Column:
     else:
         kept = F.regexp_replace(text, rf"(?:{pattern})+\z", "")
     nothing = F.array().cast("array<string>")
-    return F.when(text == "", F.array(F.lit(""))).when(kept == "", nothing).otherwise(F.split(kept, pattern))
+    return F.when((kept != "") | (text == ""), F.split(kept, pattern)).when(text.isNotNull(), nothing)
 
 
 def _char_codes(text: Column) -> Column:

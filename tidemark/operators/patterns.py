@@ -13,7 +13,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.durations import micros
-from tidemark.operators.sequences import SLICE, Measure, by_time, islands, running, with_halo
+from tidemark.operators.sequences import (
+    HEAVY_ROWS,
+    MERGE,
+    SLICE,
+    Measure,
+    apart,
+    by_time,
+    islands,
+    sliced_running,
+    with_halo,
+)
 
 
 def consecutive(
@@ -84,7 +94,8 @@ def followed_by(
 
 
 def rising_runs(
-    df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, at_least: str | int, width: str | int = "1 hour"
+    df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, at_least: str | int, width: str | int = "1 hour",
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Runs in which the value never falls, lasting ``at_least``: keys, start, end, number of rows."""
     measures = [
@@ -93,7 +104,7 @@ def rising_runs(
         Measure("n_rows", "sum", F.lit(1).cast("bigint")),
     ]
     falls = lambda a, b: b[value] < a[value]
-    runs = islands(df, keys, [ts, tie], by_time(ts, width), falls, [value], measures)
+    runs = islands(df, keys, [ts, tie], by_time(ts, width, heavy_rows), falls, [value], measures)
     return runs.where(F.unix_micros("run_end") - F.unix_micros("run_start") >= micros(at_least))
 
 
@@ -106,6 +117,7 @@ def bursts(
     within: int,
     at_least: int = 2,
     width: str | int = "1 hour",
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Failure counts in windows that open at a first failure and are called off by a success.
 
@@ -115,49 +127,77 @@ def bursts(
     failures are independent. A stretch is first counted per second, which bounds it by its length
     in seconds however many rows it has.
     """
+    slices = by_time(ts, max(micros(width) // 1_000_000, within), heavy_rows)
     second = lambda c: F.unix_seconds(c)
-    here = Window.partitionBy(key, SLICE).orderBy(ts, tie)
-    near = with_halo(df.select(key, ts, tie, fails.alias("_fail")), ts, max(micros(width) // 1_000_000, within), within, within)
-    follows = F.coalesce(F.lag("_fail").over(here), F.lit(False)) & (
-        second(F.col(ts)) - F.lag(second(F.col(ts))).over(here) <= within
-    )
-    failed = (
-        near.withColumns(
+
+    def marked(df: DataFrame, group: Sequence[str]) -> DataFrame:
+        """Whether a row goes on a stretch, and when a success follows it."""
+        w = Window.partitionBy(*group).orderBy(ts, tie)
+        near = second(F.col(ts)) - F.lag(second(F.col(ts))).over(w) <= within
+        return df.withColumns(
             {
-                "_follows": follows,
-                "_cancel": F.when(~F.lead("_fail").over(here), F.lead(second(F.col(ts))).over(here)),
+                "_follows": F.coalesce(F.lag("_fail").over(w) & near, F.lit(False)),
+                "_cancel": F.when(~F.lead("_fail").over(w), F.lead(second(F.col(ts))).over(w)),
             }
         )
-        .where("_own AND _fail")
-        .drop(SLICE, "_own")
-    )
-    stretch = Measure("_stretch", "sum", F.when(F.col("_follows"), 0).otherwise(1).cast("bigint"))
-    numbered = running(failed, [key], [ts, tie], by_time(ts, width), [stretch])
-    per_second = numbered.groupBy(key, "_stretch", second(F.col(ts)).alias("_second")).agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_cancel").alias("_cancel")
-    )
-    in_order = F.array_sort(F.collect_list(F.struct("_second", "_n")))
-    stretches = (
-        per_second.groupBy(key, "_stretch")
-        .agg(in_order.alias("_rows"), F.sum("_n").alias("_total"), F.max("_cancel").alias("_cancel"))
-        .where(F.col("_total") >= at_least)
-        .select(key, "_cancel", F.col("_rows._second").alias("_seconds"), F.col("_rows._n").alias("_counts"))
-    )
 
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    starts = F.when(F.col("_follows"), 0).otherwise(1).cast("bigint")
+    measures = [
+        Measure("_stretch", "sum", F.when(F.col("_fail"), starts)),
+        Measure("_first", "max", F.when(F.col("_fail") & ~F.col("_follows"), second(F.col(ts)))),
+    ]
+
+    def whole(df: DataFrame) -> DataFrame:
+        so_far = Window.partitionBy(key).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
+        numbered = marked(df, [key]).withColumns({m.name: MERGE[m.merge](m.part).over(so_far) for m in measures})
+        return found(numbered.where("_fail"))
+
+    def sliced(df: DataFrame) -> DataFrame:
+        near = marked(with_halo(df, ts, slices.width // 1_000_000, within, within), [key, SLICE])
+        failed = near.where("_own AND _fail").drop(SLICE, "_own")
+        return found(sliced_running(failed, [key], [ts, tie], slices, measures))
+
+    names = [key, "first_second", "last_second", "n_fails"]
+    types = {key: df.schema[key].dataType.simpleString()}
+    schema = ", ".join(f"{n} {types.get(n, 'bigint')}" for n in names)
+
+    def found(failed: DataFrame) -> DataFrame:
+        """The first window of every stretch, and the windows cut from what is left of long ones."""
+        at = second(F.col(ts))
+        in_first = at <= F.col("_first") + within
+        first = (
+            failed.where(in_first)
+            .groupBy(key, "_stretch", F.col("_first").alias("first_second"))
+            .agg(F.max(at).alias("last_second"), F.count(F.lit(1)).alias("n_fails"), F.max("_cancel").alias("_cancel"))
+            .where((F.col("n_fails") >= at_least) & F.coalesce(F.col("_cancel") > F.col("first_second") + within, F.lit(True)))
+        )
+        per_second = failed.where(~in_first).groupBy(key, "_stretch", at.alias("_second")).agg(
+            F.count(F.lit(1)).alias("_n"), F.max("_cancel").alias("_cancel")
+        )
+        left = per_second.groupBy(key, "_stretch").agg(
+            F.max("_cancel").alias("_cancel"), F.array_sort(F.collect_list(F.struct("_second", "_n"))).alias("_rows")
+        )
+        cut = left.select(key, "_cancel", "_rows._second", "_rows._n").mapInPandas(_windows_of(names, within, at_least), schema)
+        return first.select(*names).unionByName(cut)
+
+    return apart(df.select(key, ts, tie, fails.alias("_fail")), [key], slices, whole, sliced)
+
+
+def _windows_of(names: Sequence[str], within: int, at_least: int):
+    """Cuts stretches of failures, given as seconds and counts, into windows that follow each other."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for k, cancel, seconds, counts in batch.itertuples(index=False):
+            for key, cancel, seconds, counts in batch.itertuples(index=False):
                 opened, n = seconds[0], 0
                 for at, count in zip(seconds, counts, strict=True):
                     if at > opened + within:
-                        found.append((k, opened, last, n))
+                        found.append((key, opened, last, n))
                         opened, n = at, 0
                     last, n = at, n + count
                 if not cancel <= opened + within:
-                    found.append((k, opened, last, n))
+                    found.append((key, opened, last, n))
             yield pd.DataFrame([f for f in found if f[3] >= at_least], columns=names)
 
-    names = [key, "first_second", "last_second", "n_fails"]
-    key_type = df.schema[key].dataType.simpleString()
-    return stretches.mapInPandas(windows, f"{key} {key_type}, first_second bigint, last_second bigint, n_fails bigint")
+    return cut

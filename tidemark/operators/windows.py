@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.durations import micros, spark_interval
-from tidemark.operators.sequences import MERGE, Measure, Slices, by_time, islands, running
+from tidemark.operators.sequences import HEAVY_ROWS, MERGE, Measure, Slices, apart, by_time, islands, sliced_running
 
 
 def epoch(ts: str | Column) -> Column:
@@ -54,12 +54,11 @@ def sliding(
     up = lambda p: p + F.pmod(-p, F.lit(step))
     block_length = -(-length // step) * step
     block_of = lambda p: p - F.pmod(p, F.lit(block_length))
-    spread = (
-        panes.withColumns({"_from": up(pane + (pane_length - length)), "_to": down(pane)})
-        .where(F.col("_from") <= F.col("_to"))
-        .withColumn("_block", F.explode(F.sequence(block_of(F.col("_from")), block_of(F.col("_to")), F.lit(block_length))))
-        .repartition(*keys, "_block")
-    )
+    placed = panes.withColumns({"_from": up(pane + (pane_length - length)), "_to": down(pane)})
+    if length < step:  # some panes are in no window
+        placed = placed.where(F.col("_from") <= F.col("_to"))
+    blocks = F.sequence(block_of(F.col("_from")), block_of(F.col("_to")), F.lit(block_length))
+    spread = placed.withColumn("_block", F.explode(blocks)).repartition(*keys, "_block")
     starts = F.sequence(
         F.greatest("_from", "_block"), F.least(F.col("_to"), F.col("_block") + (block_length - step)), F.lit(step)
     )
@@ -72,7 +71,8 @@ def sliding(
 
 
 def sessions(
-    df: DataFrame, ts: str, gap: str | int, keys: Sequence[str], tie: str, measures: Sequence[Measure]
+    df: DataFrame, ts: str, gap: str | int, keys: Sequence[str], tie: str, measures: Sequence[Measure],
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Windows that close after a silence longer than the gap; they end one gap after the last row."""
     if df.isStreaming:
@@ -87,7 +87,7 @@ def sessions(
     silent = lambda a, b: F.unix_micros(b[ts]) - F.unix_micros(a[ts]) > quiet
     width = max(quiet, micros("1 hour"))
     bounds = [Measure("session_start", "min", F.col(ts)), Measure("session_end", "max", F.col(ts))]
-    found = islands(df, keys, [ts, tie], by_time(ts, width // 1_000_000), silent, [ts], [*bounds, *measures])
+    found = islands(df, keys, [ts, tie], by_time(ts, width // 1_000_000, heavy_rows), silent, [ts], [*bounds, *measures])
     return found.withColumn("session_end", F.timestamp_micros(F.unix_micros("session_end") + quiet))
 
 
@@ -105,27 +105,38 @@ def counted(
     The first firings hold fewer rows; rows after the last full slide do not fire.
     """
     merged = [MERGE[m.merge](m.name).alias(m.name) for m in measures]
-    numbered = running(df, keys, order, slices, [Measure("_nth", "sum", F.lit(1).cast("bigint"))])
-    pane_rows = gcd(size, slide)
-    panes = (
-        numbered.select(
-            *keys,
-            F.floor((F.col("_nth") - 1) / pane_rows).cast("bigint").alias("_pane"),
-            *[m.part.alias(m.name) for m in measures],
+
+    def whole(df: DataFrame) -> DataFrame:
+        by_key = Window.partitionBy(*keys).orderBy(*order)
+        last = by_key.rowsBetween(1 - size, Window.currentRow)
+        numbered = df.withColumns(
+            {"_nth": F.row_number().over(by_key)} | {m.name: MERGE[m.merge](m.part).over(last) for m in measures}
         )
-        .groupBy(*keys, "_pane")
-        .agg(*merged, F.count(F.lit(1)).alias("_filled"))
-    )
-    per_slide, per_size = slide // pane_rows, size // pane_rows
-    # Firing f covers panes up to f * per_slide - 1; it happens once that last pane is full.
-    first = F.floor(F.col("_pane") / per_slide).cast("bigint") + 1
-    last = F.floor((F.col("_pane") + per_size) / per_slide).cast("bigint")
-    closes = (F.pmod("_pane", F.lit(per_slide)) == per_slide - 1) & (F.col("_filled") == pane_rows)
-    fired = (
-        panes.withColumn("_closes", F.when(closes, first))
-        .where(first <= last)
-        .withColumn("firing", F.explode(F.sequence(first, last)))
-        .groupBy(*keys, "firing")
-        .agg(*merged, F.max("_closes").alias("_closed"))
-    )
-    return fired.where(F.col("_closed") == F.col("firing")).drop("_closed")
+        firing = F.floor(F.col("_nth") / slide).cast("bigint").alias("firing")
+        return numbered.where(F.col("_nth") % slide == 0).select(*keys, firing, *[m.name for m in measures])
+
+    def sliced(df: DataFrame) -> DataFrame:
+        """Rows are numbered across slices and added up in panes, each of which serves several firings."""
+        numbered = sliced_running(df, keys, order, slices, [Measure("_nth", "sum", F.lit(1).cast("bigint"))])
+        pane_rows = gcd(size, slide)
+        pane = F.floor((F.col("_nth") - 1) / pane_rows).cast("bigint").alias("_pane")
+        panes = (
+            numbered.select(*keys, pane, *[m.part.alias(m.name) for m in measures])
+            .groupBy(*keys, "_pane")
+            .agg(*merged, F.count(F.lit(1)).alias("_filled"))
+        )
+        per_slide, per_size = slide // pane_rows, size // pane_rows
+        # Firing f covers panes up to f * per_slide - 1; it happens once that last pane is full.
+        first = F.floor(F.col("_pane") / per_slide).cast("bigint") + 1
+        last = F.floor((F.col("_pane") + per_size) / per_slide).cast("bigint")
+        closes = (F.pmod("_pane", F.lit(per_slide)) == per_slide - 1) & (F.col("_filled") == pane_rows)
+        fired = (
+            panes.withColumn("_closes", F.when(closes, first))
+            .where(first <= last)
+            .withColumn("firing", F.explode(F.sequence(first, last)))
+            .groupBy(*keys, "firing")
+            .agg(*merged, F.max("_closes").alias("_closed"))
+        )
+        return fired.where(F.col("_closed") == F.col("firing")).drop("_closed")
+
+    return apart(df, keys, slices, whole, sliced)

@@ -87,10 +87,13 @@ def hot_products_by_region(sales: DataFrame, products: DataFrame, cities: DataFr
     """Per area the products of rank 1..max_rank by sales, each with its main cities.
 
     ``sales`` has one row per sale (product_id, city_id); it is counted by both before the
-    dimensions are joined, so no hot product or city is joined row by row.
+    dimensions are joined, so no hot product or city is joined row by row. Remarks are made for the
+    ranked products only.
     """
     counts = count_by(sales, ["product_id", "city_id"])
     named = counts.join(cities, "city_id").join(products, "product_id")
     by_city = named.groupBy("area", "product_name", "city_name").agg(F.sum("n").alias("n"))
-    remarks = remark_by(by_city, ["area", "product_name"], "city_name", "n")
-    return top_ranked(remarks, ["area"], "n", max_rank)
+    totals = by_city.groupBy("area", "product_name").agg(F.sum("n").alias("_total"))
+    ranks = top_ranked(totals, ["area"], "_total", max_rank).drop("_total")
+    ranked = by_city.join(ranks, ["area", "product_name"])
+    return remark_by(ranked, ["area", "product_name", "rank"], "city_name", "n")

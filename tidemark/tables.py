@@ -86,9 +86,9 @@ def as_visits(events: DataFrame) -> DataFrame:
 
     As in the visit log "-1" and "null" stand for none, and lists are comma separated.
     """
-    kind, item = F.col("event_type"), F.get_json_object("props", "$.k").cast("bigint")
+    kind, item = F.col("event_type"), F.col("item")
     two = lambda second: F.concat_ws(",", item.cast("string"), second.cast("string"))
-    return events.select(
+    return events.withColumn("item", F.get_json_object("props", "$.k").cast("bigint")).select(
         "event_id",
         F.col("user_id").alias("session_id"),
         F.when(kind == "click", item.cast("string")).otherwise("-1").alias("click_category_id"),

@@ -182,7 +182,7 @@ def bucket_sum_of_maxima_by_key(spark, folder):
 )
 def bucket_running_count(spark, folder):
     events = load(spark, folder, "events").select("event_id", "user_id")
-    return buckets.numbered_in_bucket(events, "user_id", 8, by_number("event_id", 1_000_000), ["event_id"]).select(
+    return buckets.numbered_in_bucket(events, "user_id", 8, by_number("event_id", 1_000_000, heavy_rows=1000), ["event_id"]).select(
         "event_id", "bucket", "nth"
     )
 
