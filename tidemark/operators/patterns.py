@@ -26,6 +26,11 @@ from tidemark.operators.sequences import (
 )
 
 
+def _slice_seconds(width: str | int, within: str | int) -> int:
+    """Slices at least four times as long as their halo, so that copies stay few."""
+    return max(micros(width), 4 * micros(within)) // 1_000_000
+
+
 def consecutive(
     df: DataFrame,
     keys: Sequence[str],
@@ -44,7 +49,7 @@ def consecutive(
     """
     here = Window.partitionBy(*keys, SLICE).orderBy(ts, tie)
     near = with_halo(
-        df.select(*keys, ts, tie, matches.alias("_match")), ts, max(micros(width), micros(within)) // 1_000_000, within
+        df.select(*keys, ts, tie, matches.alias("_match")), ts, _slice_seconds(width, within), within
     )
     steps = range(1, times)
     span = F.unix_micros(ts) - F.unix_micros("first_ts")
@@ -79,7 +84,7 @@ def followed_by(
     near = with_halo(
         df.select(*keys, ts, tie, opens.alias("_opens"), closes.alias("_closes")).where("_opens OR _closes"),
         ts,
-        max(micros(width), limit) // 1_000_000,
+        _slice_seconds(width, within),
         0,
         within,
     )
@@ -127,7 +132,7 @@ def bursts(
     failures are independent. A stretch is first counted per second, which bounds it by its length
     in seconds however many rows it has.
     """
-    slices = by_time(ts, max(micros(width) // 1_000_000, within), heavy_rows)
+    slices = by_time(ts, _slice_seconds(width, within), heavy_rows)
     second = lambda c: F.unix_seconds(c)
 
     def marked(df: DataFrame, group: Sequence[str]) -> DataFrame:
