@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators.joins import interval_join
+from tidemark.operators.lateness import tag_late
 from tidemark.operators.sequences import Measure
 from tidemark.operators.windows import epoch, sessions, sliding, tumbling
 from tidemark.plans import alerts, popularity, traffic
@@ -15,6 +18,7 @@ from tidemark.sinks.keyed import merge_each_batch, merge_keyed, read_keyed
 from tidemark.sources.streams import file_stream, line_stream
 from tidemark.streaming import processors
 from tidemark.streaming import windows as streamed
+from tidemark.streaming.lateness import late_each_batch, read_rows
 from tidemark.streaming.runner import run_batches_to_table, run_each_batch, run_to_table, stream_session, with_end
 from tidemark.tables import load
 
@@ -209,3 +213,20 @@ def test_tumbling_minimum_row(spark, stream, table):
     coldest = lambda: F.min_by(F.struct("temperature", "event_id"), F.struct("temperature", "event_id")).alias("row")
     found = run_to_table(tumbling(replay.withWatermark("ts", "62 seconds"), "ts", "1 day", ["kind"], [coldest()]), spark, [end])
     same(found.select("kind", "window_end", "row.event_id"), tumbling(table, "ts", "1 day", ["kind"], [coldest()]).select("kind", "window_end", "row.event_id"))
+
+
+def test_late_rows_over_batches(spark, tmp_path):
+    """Rows arriving over several batches are judged as if they had arrived in one."""
+    draw = random.Random(3)
+    made = [(i, 1_000_000 + 7 * i - draw.choice([0, 0, 0, 60, 300, 900])) for i in range(600)]
+    source, path = tmp_path / "in", str(tmp_path / "out")
+    lateness = {"arrival": "n", "size": 15, "slide": 15, "disorder": 2, "lateness": 60, "arrivals_per_slice": 20}
+    for part in range(3):
+        df = spark.createDataFrame(made[part * 200 : part * 200 + 200], "n bigint, s bigint")
+        df.withColumn("ts", F.timestamp_seconds("s")).coalesce(1).write.mode("append").parquet(str(source))
+    stream = file_stream(stream_session(spark), str(source), "n bigint, s bigint, ts timestamp", files_per_batch=1)
+    run_each_batch(stream, spark, late_each_batch(path, "ts", **lateness), mode="append")
+    table = spark.read.parquet(str(source))
+    expected = tag_late(table, ts="ts", **lateness).select("n", "is_late")
+    assert expected.where("is_late").count() > 50
+    same(read_rows(spark, path), expected)

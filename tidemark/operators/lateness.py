@@ -19,14 +19,17 @@ def tag_late(
     lateness: str | int,
     arrivals_per_slice: int = 1_000_000,
     tie: str | None = None,
+    seen_before: int | None = None,
 ) -> DataFrame:
     """Adds ``is_late``: true if even the last window of the row was closed when it arrived.
 
     The watermark is the highest event time among earlier arrivals less the disorder bound; a window
-    is closed once the watermark reaches its end plus the allowed lateness.
+    is closed once the watermark reaches its end plus the allowed lateness. ``seen_before`` is the
+    highest event time, in microseconds, of arrivals that are not in the table.
     """
     seen = Measure("_highest", "max", F.unix_micros(F.col(ts)))
     ranked = running(df, [], [arrival, *([tie] if tie else [])], by_number(arrival, arrivals_per_slice), [seen], exclusive=True)
     last_end = Slices(F.unix_micros(F.col(ts)), micros(slide)).start() + micros(size)
     closed_at = last_end + micros(lateness) + micros(disorder)
-    return ranked.withColumn("is_late", F.coalesce(closed_at <= F.col("_highest"), F.lit(False))).drop("_highest")
+    highest = F.greatest("_highest", F.lit(seen_before).cast("bigint"))
+    return ranked.withColumn("is_late", F.coalesce(closed_at <= highest, F.lit(False))).drop("_highest")

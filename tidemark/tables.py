@@ -160,3 +160,9 @@ def cities(spark: SparkSession, folder: str) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city_name"), F.col("r_name").alias("area")
     )
+
+
+def as_arrivals(events: DataFrame) -> DataFrame:
+    """Events in an order of arrival that is up to 50 places off their order in time."""
+    arrival = F.col("event_id") + F.pmod(F.col("event_id") * 7919, F.lit(50))
+    return events.select("event_id", arrival.alias("arrival"), "ts")

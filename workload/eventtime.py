@@ -11,6 +11,7 @@ from tidemark.plans import alerts, sync, traffic
 from tidemark.sources.external import change_records
 from tidemark.tables import (
     as_actions,
+    as_arrivals,
     as_change_values,
     behaviours,
     load,
@@ -149,18 +150,17 @@ def session_windows(spark, folder):
 ARRIVALS = "(SELECT event_id, event_id + (event_id * 7919) % 50 AS arrival, epoch_us(ts) AS us FROM events)"
 
 
-@query(
-    "late_rows",
-    f"""SELECT event_id, coalesce((us // {HOUR} + 1) * {HOUR} + {HOUR // 60} <= highest - {HOUR // 2}, false) AS is_late
-        FROM (SELECT *, max(us) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-              AS highest FROM {ARRIVALS})""",
-)
+LATE = f"""SELECT event_id, coalesce((us // {HOUR} + 1) * {HOUR} + {HOUR // 60} <= highest - {HOUR // 2}, false) AS is_late
+    FROM (SELECT *, max(us) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+          AS highest FROM {ARRIVALS})"""
+
+LATENESS = ("arrival", "ts", "1 hour", "1 hour", "30 minutes", "1 minute")
+
+
+@query("late_rows", LATE)
 def late_rows(spark, folder):
     """Rows in a disordered arrival order, split into those in time and those late for their hour."""
-    arrived = load(spark, folder, "events").select(
-        "event_id", (F.col("event_id") + F.pmod(F.col("event_id") * 7919, F.lit(50))).alias("arrival"), "ts"
-    )
-    tagged = tag_late(arrived, "arrival", "ts", "1 hour", "1 hour", "30 minutes", "1 minute", tie="event_id")
+    tagged = tag_late(as_arrivals(load(spark, folder, "events")), *LATENESS, tie="event_id")
     return tagged.select("event_id", "is_late")
 
 

@@ -20,6 +20,7 @@ from tidemark.sources.external import change_records
 from tidemark.sources.streams import file_stream
 from tidemark.streaming import processors
 from tidemark.streaming import windows as streamed
+from tidemark.streaming.lateness import late_each_batch, read_rows
 from tidemark.streaming.runner import (
     run_batches_to_table,
     run_each_batch,
@@ -30,6 +31,7 @@ from tidemark.streaming.runner import (
 )
 from tidemark.tables import (
     as_actions,
+    as_arrivals,
     as_behaviours,
     as_change_values,
     as_logins,
@@ -43,6 +45,8 @@ from workload.eventtime import (
     BURSTS,
     CHANNELS,
     JUMPS,
+    LATE,
+    LATENESS,
     MIN_ROWS,
     NUMBERS,
     PAGE_VIEWS,
@@ -304,6 +308,16 @@ def stream_login_bursts(spark, folder):
     return run_to_table(found, spark, [end])
 
 
+@query("stream_late_rows", LATE)
+def stream_late_rows(spark, folder):
+    arrived = as_arrivals(table_stream(stream_session(spark), folder, "events"))
+    path = scratch_dir(spark, "late")
+    names = ("arrival", "ts", "size", "slide", "disorder", "lateness")
+    split = late_each_batch(path, tie="event_id", **dict(zip(names, LATENESS, strict=True)))
+    run_each_batch(arrived, spark, split, mode="append")
+    return read_rows(spark, path).select("event_id", "is_late")
+
+
 @query("stream_change_sync", SYNC)
 def stream_change_sync(spark, folder):
     """Change records merged batch by batch into last images, read as wide rows."""
