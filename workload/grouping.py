@@ -148,11 +148,11 @@ def count_by_two_keys(spark, folder):
 
 @query(
     "count_and_average",
-    f"SELECT id, count(*) AS n, round(avg(temperature), 6) AS avg_temp FROM {READINGS} GROUP BY id",
+    f"SELECT id, count(*) AS n, round(avg(temperature), 8) AS avg_temp FROM {READINGS} GROUP BY id",
 )
 def count_and_average(spark, folder):
     return readings(spark, folder).groupBy("id").agg(
-        F.count("id").alias("n"), F.round(F.avg("temperature"), 6).alias("avg_temp")
+        F.count("id").alias("n"), F.round(F.avg("temperature"), 8).alias("avg_temp")
     )
 
 

@@ -306,7 +306,7 @@ def average_functions(spark, folder):
 
 @query(
     "average_functions_sql",
-    """SELECT user_id, CAST(sum(length(event_type)) // count(*) AS BIGINT) AS int_avg, round(avg(value), 4) AS avg_temp
+    """SELECT user_id, CAST(sum(length(event_type)) // count(*) AS BIGINT) AS int_avg, round(avg(value), 8) AS avg_temp
        FROM events GROUP BY user_id""",
 )
 def average_functions_sql(spark, folder):
@@ -314,7 +314,7 @@ def average_functions_sql(spark, folder):
     agg_functions.register(spark)
     load(spark, folder, "events").createOrReplaceTempView("average_input")
     return spark.sql(
-        """SELECT user_id, int_avg(CAST(length(event_type) AS BIGINT)) AS int_avg, round(avg_temp(value), 4) AS avg_temp
+        """SELECT user_id, int_avg(CAST(length(event_type) AS BIGINT)) AS int_avg, round(avg_temp(value), 8) AS avg_temp
            FROM average_input GROUP BY user_id"""
     )
 
