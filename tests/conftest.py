@@ -13,7 +13,11 @@ from tidemark.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     checkpoints = tmp_path_factory.mktemp("shared")
-    session = local_session(8, "tests", **{"spark.checkpoint.dir": str(checkpoints)})
+    session = local_session(
+        8,
+        "tests",
+        **{"spark.checkpoint.dir": str(checkpoints), "spark.sql.warehouse.dir": str(checkpoints / "tables")},
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

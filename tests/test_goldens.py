@@ -332,3 +332,29 @@ def test_change_records(spark):
     changes = external.change_records(values, "id bigint, name string, age int")
     found = synchronised(changes, "id", ["seq"], "cf1", ["name", "age"])
     assert [(r["id"], r["cf1"]["name"], r["cf1"]["age"]) for r in found.collect()] == [(1, "b", 6)]
+
+
+def test_kept_visits_give_the_same(spark):
+    visits = spark.createDataFrame(
+        [("s1", "7", "null", "null"), ("s1", "7", "null", "null"), ("s2", "7", "null", "null"), ("s3", "-1", "7,8", "null")],
+        "session_id string, click_category_id string, order_category_ids string, pay_category_ids string",
+    )
+    kept = popularity.category_sessions(visits, keep=True)
+    assert rows(kept, "category_id", "session_id", "n", "rank") == [("7", "s1", 2, 1), ("7", "s2", 1, 2)]
+    assert visits.storageLevel.useDisk
+    visits.unpersist()
+    assert rows(popularity.category_sessions(visits)) == rows(kept)
+
+
+def test_observed_sum(spark):
+    df, seen = aggregates.observed(spark.range(5), total=F.sum("id"))
+    assert df.where("id > 2").count() == 2
+    assert seen.get == {"total": 10}
+
+
+def test_loaded_table_is_replaced(spark, folder):
+    path = folder("city_info.txt", data.CITIES)
+    for _ in range(2):
+        external.load_table(spark, "city_loaded", path, files.SCHEMAS["city_info"])
+    assert spark.table("city_loaded").count() == 26
+    spark.sql("DROP TABLE city_loaded")

@@ -130,6 +130,15 @@ def test_counted_windows(events, size, slide, heavy):
     same(found, expected)
 
 
+@pytest.mark.parametrize(("size", "slide"), [("1 hour", "5 minutes"), ("9 seconds", "3 seconds"), ("50 seconds", "20 seconds"), ("1 hour", "7 seconds")])
+def test_sliding_whole_numbers(events, size, slide):
+    """Whole numbers are summed from changes; zero and negative sums are rows too."""
+    signed = Measure("total", "sum", F.when(F.col("status") == "fail", 1).otherwise(-2).cast("bigint"))
+    found = windows.sliding(events, "ts", size, slide, ["id"], [ones(), signed])
+    native = events.groupBy(F.window("ts", size, slide).alias("w"), "id").agg(F.count(F.lit(1)).alias("n"), F.sum(signed.part).alias("total"))
+    same(found, native.select("id", F.col("w.end").alias("window_end"), "n", "total"))
+
+
 def test_sliding_with_gaps(events):
     """Windows shorter than their slide leave rows out."""
     found = windows.sliding(events, "ts", "4 seconds", "10 seconds", ["id"], [ones()])

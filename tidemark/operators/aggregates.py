@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import polynomial_hash
@@ -26,6 +26,12 @@ def as_map(counts: DataFrame, key: str, value: str, part: Column, out: str = "co
     return counts.groupBy(part.alias("part")).agg(F.map_from_entries(entries).alias(out))
 
 
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """The table unchanged, and aggregates over it that are there once an action has run on it."""
+    observation = Observation()
+    return df.observe(observation, *[c.alias(name) for name, c in metrics.items()]), observation
+
+
 def branch_counts(df: DataFrame, keys: Sequence[str], branches: dict[str, Column]) -> DataFrame:
     """How many rows of each key fall in each branch, in one pass."""
     return df.groupBy(*keys).agg(*[F.count_if(c).alias(name) for name, c in branches.items()])

@@ -7,11 +7,15 @@ from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from tidemark.durations import micros, spark_interval
 from tidemark.operators.sequences import HEAVY_ROWS, MERGE, Measure, Slices, apart, by_time, islands, sliced_running
 
 
+EXACT = (IntegralType, DecimalType)
+
+
 def epoch(ts: str | Column) -> Column:
     """Whole epoch seconds of a timestamp."""
     return F.unix_seconds(F.col(ts) if isinstance(ts, str) else ts)
@@ -59,15 +63,49 @@ def sliding(
         placed = placed.where(F.col("_from") <= F.col("_to"))
     blocks = F.sequence(block_of(F.col("_from")), block_of(F.col("_to")), F.lit(block_length))
     spread = placed.withColumn("_block", F.explode(blocks)).repartition(*keys, "_block")
-    starts = F.sequence(
-        F.greatest("_from", "_block"), F.least(F.col("_to"), F.col("_block") + (block_length - step)), F.lit(step)
+    begin = F.greatest("_from", "_block")
+    stop = F.least(F.col("_to") + step, F.col("_block") + block_length)
+    parts = df.select(*[m.part.alias(m.name) for m in measures]).schema
+    if all(m.merge == "sum" and isinstance(f.dataType, EXACT) and not f.nullable for m, f in zip(measures, parts, strict=True)):
+        totals = _by_changes(spread, keys, begin, stop, F.col("_block") + block_length, step, [m.name for m in measures])
+    else:
+        totals = (
+            spread.withColumn("_start", F.explode(F.sequence(begin, stop - step, F.lit(step))))
+            .groupBy(*keys, "_block", "_start")
+            .agg(*merged)
+        )
+    return totals.select(
+        *keys, F.timestamp_micros(F.col("_start") + length).alias("window_end"), *[m.name for m in measures]
     )
-    return (
-        spread.withColumn("_start", F.explode(starts))
-        .groupBy(*keys, "_block", "_start")
-        .agg(*merged)
-        .select(*keys, F.timestamp_micros(F.col("_start") + length).alias("window_end"), *[m.name for m in measures])
+
+
+def _by_changes(
+    spread: DataFrame, keys: Sequence[str], begin: Column, stop: Column, end: Column, step: int, names: Sequence[str]
+) -> DataFrame:
+    """Sums per window start from where panes come in and drop out, without one row per pane and window.
+
+    A pane adds its value at the first start it counts for and takes it back after the last. Their
+    running sum in a block holds from one change to the next, and only there is it spread over the
+    starts. Subtraction has to be exact, so this serves whole numbers without
+    nulls only.
+    """
+    change = lambda at, sign: F.struct(
+        at.alias("_start"), F.lit(sign).cast("bigint").alias("_panes"), *[(F.col(n) * sign).alias(n) for n in names]
+    )
+    values = ["_panes", *names]
+    block = [*keys, "_block"]
+    changes = (
+        spread.select(*block, end.alias("_end"), F.inline(F.array(change(begin, 1), change(stop, -1))))
+        .where(F.col("_start") < F.col("_end"))
+        .groupBy(*block, "_end", "_start")
+        .agg(*[F.sum(v).alias(v) for v in values])
     )
+    in_order = Window.partitionBy(*block).orderBy("_start")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    following = F.coalesce(F.lead("_start").over(in_order), F.col("_end"))
+    runs = changes.withColumns({v: F.sum(v).over(so_far) for v in values} | {"_next": following})
+    starts = F.sequence(F.col("_start"), F.col("_next") - step, F.lit(step))
+    return runs.where(F.col("_panes") > 0).withColumn("_start", F.explode(starts))
 
 
 def sessions(

@@ -73,8 +73,9 @@ def hot_categories(visits: DataFrame, n: int = 10) -> DataFrame:
 def category_sessions(visits: DataFrame, n_categories: int = 10, n_sessions: int = 10, keep: bool = False) -> DataFrame:
     """In each of the hottest categories the sessions with most clicks; ties by session.
 
-    With ``keep`` the visits are stored while both passes read them (worth it if they are costly to
-    make; two column-pruned scans are cheaper than storing a large table).
+    With ``keep`` the visits are stored while both passes read them, until the caller's
+    ``visits.unpersist()``. That is worth it if they are costly to make; two column-pruned scans are
+    cheaper than storing a large table.
     """
     source = visits.persist(StorageLevel.DISK_ONLY) if keep else visits
     hot = hot_categories(source, n_categories)
