@@ -6,13 +6,49 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bytebpe, counting
-from tidemark.llm.common import table
+from tidemark.llm import bytebpe, chat, counting, idfiles, mixing, quality
+from tidemark.llm.common import table, text_of
 from workload.registry import query
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+PROBE = r"\### Assistant: </turn> ok"
+
+
+@query(
+    "op1_chat_format",
+    r"""WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    escaped AS (SELECT *, regexp_replace(regexp_replace(text, '#(\\*)## ', '#\\\1## ', 'g'), '<(\\*)/turn>', '<\\\1/turn>', 'g') AS t,
+        regexp_replace(regexp_replace(regexp_replace(role, '#(\\*)## ', '#\\\1## ', 'g'), '<(\\*)/turn>', '<\\\1/turn>', 'g'),
+            ':(\\*) ', ':\\\1 ', 'g') AS r FROM rows)
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(length(r) + length(t) + 14) AS BIGINT) AS formatted_chars
+    FROM escaped GROUP BY conv_id""",
+)
+def chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).alias("conv_id"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(PROBE)
+    )
+    made = chat.format_conversations(given.union(probe))
+    learned = chat.learned_text(F.col("formatted"), F.col("loss"))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return made.withColumn("learned", learned).select(
+        "conv_id",
+        "n_turns",
+        F.sha2(F.array_join(said, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query("op2_byte_bpe")
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -25,6 +61,51 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_source_mix")
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    sized = mixing.with_size(table(spark, folder, "documents")).select("doc_id", "source", "size")
+    return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_id_files")
+def id_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = idfiles.fresh_folder(spark)
+    idfiles.write_ids(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return idfiles.read_ids(spark, path, checksums=True)
+
+
+@query(
+    "op9_quality_rules",
+    r"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+    split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+    spots AS (SELECT r, unnest(generate_series(1, len(words) - 7)) AS i, words FROM split WHERE len(words) >= 8),
+    windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, words[i:i + 7]) AS often FROM spots),
+    repeated AS (SELECT r, count(DISTINCT i + k) AS n FROM windows, range(8) AS offsets(k) WHERE often > 1 GROUP BY r),
+    measured AS (SELECT s.r, doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+        CAST(length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words FROM split AS s LEFT JOIN repeated USING (r)),
+    failed AS (SELECT source, unnest(['w', 'r', 's', 'd', 'l']) AS rule, unnest([n_words < 20, 100 * n_repeat_words > 30 * n_words,
+        10 * n_symbols > n_words, 10 * n_dup_lines > 3 * n_lines, word_chars < 3 * n_words OR word_chars > 10 * n_words]) AS bad
+        FROM measured),
+    hosts AS (SELECT source, rule, count(*) AS n, count(*) FILTER (bad) AS f FROM failed GROUP BY ALL),
+    pooled AS (SELECT rule, sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS q, count(*) / sum(n) AS c FROM hosts GROUP BY rule),
+    prior AS (SELECT rule, m, CASE WHEN m = 0 OR m = 1 THEN 1.0
+        ELSE greatest(m * (1 - m) / greatest(q - m * m - m * (1 - m) * c, m * (1 - m) / 1e6) - 1, 1.0) END AS k FROM pooled),
+    rejected AS (SELECT source, bool_or((f + m * k) / (n + k) > 0.5) AS out FROM hosts JOIN prior USING (rule) GROUP BY source),
+    judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT out AS kept
+    FROM judged AS j JOIN rejected AS h ON j.source IS NOT DISTINCT FROM h.source""",
+)
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query("op10_token_counts")
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
