@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bytebpe, chat, counting, idfiles, mixing, quality
-from tidemark.llm.common import table, text_of
+from tidemark.llm import bytebpe, chat, counting, idfiles, mixing, neardup, quality
+from tidemark.llm.common import table
 from workload.registry import query
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -111,3 +111,8 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     counted = counting.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op4_near_duplicates")
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.classes(table(spark, folder, "documents").select("doc_id", "text"))
