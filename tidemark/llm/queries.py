@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bytebpe, chat, counting, idfiles, mixing, neardup, quality
+from tidemark.llm import bytebpe, chat, counting, html, idfiles, mixing, neardup, quality, urls
 from tidemark.llm.common import table
 from workload.registry import query
 
@@ -116,3 +116,24 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_near_duplicates")
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query("op3_url_filter")
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = urls.judge(table(spark, folder, "pages").select("page_id", "url", "html"), RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op5_main_text")
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
