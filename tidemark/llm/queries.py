@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bytebpe, chat, counting, html, idfiles, mixing, neardup, quality, urls
+from tidemark.llm import ann, bytebpe, chat, counting, html, idfiles, mixing, neardup, quality, urls
 from tidemark.llm.common import table
 from workload.registry import query
 
@@ -137,3 +137,8 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = html.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op7_nearest_vectors")
+def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
