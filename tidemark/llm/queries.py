@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,3 +143,8 @@ def main_text(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_nearest_vectors")
 def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
