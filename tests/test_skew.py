@@ -94,9 +94,16 @@ def test_running_max_row(events, width):
 @pytest.mark.parametrize("width", WIDTHS)
 def test_rising_runs(events, width, heavy):
     found = patterns.rising_runs(events, ["id"], *ORDER, "temperature", "1 second", width, heavy)
-    starts = F.when(F.col("temperature") >= F.lag("temperature").over(ordered(False)), 0).otherwise(1)
-    runs = events.withColumn("starts", starts).withColumn("nr", F.sum("starts").over(ordered())).groupBy("id", "nr")
-    expected = runs.agg(F.min("ts").alias("run_start"), F.max("ts").alias("run_end"), F.count(F.lit(1)).alias("n_rows"))
+    before = F.lag("temperature").over(ordered(False))
+    marked = events.withColumn("falls", F.when(F.col("temperature") < before, 1).otherwise(0)).withColumn(
+        "rises", before.isNull() | (F.col("temperature") > before)
+    )
+    runs = marked.withColumn("nr", F.sum("falls").over(ordered())).groupBy("id", "nr")
+    expected = runs.agg(
+        F.min(F.when(F.col("rises"), F.col("ts"))).alias("run_start"),
+        F.max("ts").alias("run_end"),
+        F.sum(F.col("rises").cast("bigint")).alias("n_rises"),
+    )
     same(found, expected.where("run_end > run_start").drop("nr"))
 
 

@@ -1,12 +1,7 @@
-"""Aggregate functions: native expressions first, registered Python forms for SQL compatibility.
-
-A Python grouped aggregate sees a whole group in one task. The native forms are combined in every
-task before the shuffle, so jobs use those; the registered forms are for small, ad-hoc queries.
-"""
+"""Aggregate functions over built-in aggregates, as columns and for SQL. Nothing leaves the JVM."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,11 +48,23 @@ def remark_by(counts: DataFrame, keys: list[str], city: str, n: str, top: int =
 
 
 def register(spark: SparkSession) -> None:
-    """SQL names: int_avg(bigint), avg_temp(double), city_remark(text), city_remark_of(cities, total).
+    """SQL names: int_avg_of(sum, count), avg_of(sum, count) and city_remark_of(cities, total).
 
-    Spark does not mix the first three, Python aggregates, with built-in ones in one query. Next to
-    count(*) use city_remark_of on counts by city: city_remark_of(collect_list(struct(n, city)), sum(n)).
+    They finish what built-in aggregates have summed, so every group is combined before the shuffle:
+    int_avg_of(sum(x), count(x)), city_remark_of(collect_list(struct(n, city)), sum(n)) over counts by city.
     """
+    spark.sql(
+        """
+        CREATE OR REPLACE TEMPORARY FUNCTION int_avg_of(total BIGINT, n BIGINT) RETURNS BIGINT
+        RETURN if(n = 0, NULL, total div n)
+        """
+    )
+    spark.sql(
+        """
+        CREATE OR REPLACE TEMPORARY FUNCTION avg_of(total DOUBLE, n BIGINT) RETURNS DOUBLE
+        RETURN if(n = 0, NULL, total / n)
+        """
+    )
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION city_remark_of(cities ARRAY<STRUCT<n: BIGINT, city: STRING>>, total BIGINT)
@@ -70,25 +77,3 @@ def register(spark: SparkSession) -> None:
                 slice(array_sort(transform(cities, c -> -c.n)), 1, 2), 0L, (s, n) -> s + (-n * 100 div total)), '%'), NULL))
         """
     )
-
-    @F.pandas_udf("bigint")
-    def int_avg(values: pd.Series) -> int:
-        values = values.dropna()
-        return None if values.empty else int(values.sum()) // len(values)
-
-    @F.pandas_udf("double")
-    def avg_temp(values: pd.Series) -> float:
-        return float(values.mean())
-
-    @F.pandas_udf("string")
-    def remark(values: pd.Series) -> str:
-        counts = sorted(values.value_counts().items(), key=lambda x: (-x[1], x[0]))
-        shown = [(city, n * 100 // len(values)) for city, n in counts[:2]]
-        parts = [f"{city} {share}%" for city, share in shown]
-        if len(counts) > 2:
-            parts.append(f"{REST} {100 - sum(share for _, share in shown)}%")
-        return ",".join(parts)
-
-    spark.udf.register("int_avg", int_avg)
-    spark.udf.register("avg_temp", avg_temp)
-    spark.udf.register("city_remark", remark)

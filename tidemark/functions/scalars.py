@@ -80,7 +80,8 @@ def register(spark: SparkSession) -> None:
         """
         CREATE OR REPLACE TEMPORARY FUNCTION string_hash(s STRING, factor INT) RETURNS INT RETURN
         cast((pmod(
-            aggregate(transform(if(s = '', array(), split(s, '')), c -> ascii(c)), 0L,
+            aggregate(flatten(transform(if(s = '', array(), split(s, '')), c -> if(ascii(c) < 65536, array(ascii(c)),
+                          array(55296 + shiftright(ascii(c) - 65536, 10), 56320 + ((ascii(c) - 65536) & 1023))))), 0L,
                       (a, c) -> pmod(a * 31 + c, 4294967296L)) * factor + 2147483648L,
             4294967296L) - 2147483648L) AS INT)
         """

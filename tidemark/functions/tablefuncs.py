@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +16,14 @@ def split_rows(df: DataFrame, column: str, separator: str) -> DataFrame:
 
 
 def register(spark: SparkSession, separator: str = "_") -> None:
-    """SQL name: split_words(text), used as ``FROM t, LATERAL split_words(t.c)``."""
-
-    @F.udtf(returnType="word string, length int")
-    class SplitWords:
-        def eval(self, text: str) -> Iterator[tuple[str, int]]:
-            parts = text.split(separator)
-            while len(parts) > 1 and parts[-1] == "":
-                parts.pop()
-            if text == "" or parts != [""]:
-                for part in parts:
-                    yield part, len(part)
-
-    spark.udtf.register("split_words", SplitWords)
+    """SQL name: split_words(text), used as ``FROM t, LATERAL split_words(t.c)``. Null has no parts."""
+    literal = separator.replace("\\", "\\\\").replace("'", "\\'")
+    pattern = re.escape(separator).replace("\\", "\\\\").replace("'", "\\'")
+    kept = f"regexp_replace(s, '(?:{pattern})+$', '')" if len(separator) > 1 else f"rtrim('{literal}', s)"
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION split_words(s STRING) RETURNS TABLE(word STRING, length INT)
+        RETURN SELECT word, length(word) FROM (SELECT explode(
+            if({kept} <> '' OR s = '', split({kept}, '{pattern}'), CAST(array() AS ARRAY<STRING>))) AS word)
+        """
+    )

@@ -55,7 +55,7 @@ def unmatched(
     upper: str | int,
     width: str | int = "1 hour",
 ) -> DataFrame:
-    """Rows without any partner of the same key in [ts + lower, ts + upper].
+    """Rows without any partner of the same key in [ts + lower, ts + upper]. A row with a null key has none.
 
     No pairs are formed. Rows are placed at the end of their interval among the partners; the
     latest partner up to there is in the interval or none is. Only partners at most one interval
@@ -68,7 +68,7 @@ def unmatched(
     asked = asked.withColumn(SLICE, begin(F.col("_at")))
     at = F.unix_micros(F.col(partner_ts))
     given = (
-        partners.select(*keys, at.alias("_at"), at.alias("_seen"), F.lit(0).alias("_is_row"))
+        partners.dropna(subset=list(keys)).select(*keys, at.alias("_at"), at.alias("_seen"), F.lit(0).alias("_is_row"))
         .withColumn(SLICE, F.explode(F.sequence(begin(F.col("_at")), begin(F.col("_at") + (high - low)), F.lit(step))))
     )
     so_far = Window.partitionBy(*keys, SLICE).orderBy("_at", "_is_row").rowsBetween(Window.unboundedPreceding, 0)

@@ -21,6 +21,7 @@ from tidemark.operators.sequences import (
     apart,
     by_time,
     islands,
+    previous,
     sliced_running,
     with_halo,
 )
@@ -75,12 +76,15 @@ def followed_by(
     within: str | int,
     width: str | int = "1 hour",
 ) -> DataFrame:
-    """For each opening row the first closing row of its key after it, less than ``within`` later.
+    """For each opening row the first closing row of its key at its time or later, less than ``within`` later.
 
     One row per opening row: keys, ``opened_ts``, the tie column, and ``closed_ts`` (null when the
-    time ran out). Rows of another kind may lie in between.
+    time ran out). Rows of another kind may lie in between. Null keys belong to nobody: such an
+    opening row stays open.
     """
     limit = micros(within)
+    for key in keys:
+        closes = closes & F.col(key).isNotNull()
     near = with_halo(
         df.select(*keys, ts, tie, opens.alias("_opens"), closes.alias("_closes")).where("_opens OR _closes"),
         ts,
@@ -88,7 +92,7 @@ def followed_by(
         0,
         within,
     )
-    later = Window.partitionBy(*keys, SLICE).orderBy(F.desc(ts), F.desc(tie)).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys, SLICE).orderBy(F.desc(ts)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     next_close = F.min(F.when(F.col("_closes"), F.col(ts))).over(later)
     in_time = F.unix_micros("_next") - F.unix_micros(ts) < limit
     return (
@@ -102,14 +106,21 @@ def rising_runs(
     df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, at_least: str | int, width: str | int = "1 hour",
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Runs in which the value never falls, lasting ``at_least``: keys, start, end, number of rows."""
+    """Runs in which the value never falls, lasting ``at_least``: keys, start, end, number of rises.
+
+    A run starts at its first rise: after a fall, rows at the same level only wait for one. The
+    first row of a key counts as a rise.
+    """
+    slices = by_time(ts, width, heavy_rows)
+    beside = previous(df.select(*keys, ts, tie, value), keys, [ts, tie], slices, {value: "_before"})
+    rises = F.coalesce(F.col(value) > F.col("_before"), F.lit(True))
     measures = [
-        Measure("run_start", "min", F.col(ts)),
+        Measure("run_start", "min", F.when(rises, F.col(ts))),
         Measure("run_end", "max", F.col(ts)),
-        Measure("n_rows", "sum", F.lit(1).cast("bigint")),
+        Measure("n_rises", "sum", rises.cast("bigint")),
     ]
     falls = lambda a, b: b[value] < a[value]
-    runs = islands(df, keys, [ts, tie], by_time(ts, width, heavy_rows), falls, [value], measures)
+    runs = islands(beside, keys, [ts, tie], slices, falls, [value], measures)
     return runs.where(F.unix_micros("run_end") - F.unix_micros("run_start") >= micros(at_least))
 
 

@@ -26,10 +26,14 @@ LOG_TIME = "dd/MM/yyyy:HH:mm:ss"
 
 
 def text_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """One row per line of a file or folder; ``min_partitions`` asks for at least that many tasks."""
+    """One row per line of a file or folder, however lines end (LF, CRLF or CR).
+
+    ``min_partitions`` asks for at least that many tasks, in a sibling session: it is a setting.
+    """
     if min_partitions:
+        spark = spark.newSession()
         spark.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
-    return spark.read.text(path, lineSep="\n")
+    return spark.read.text(path)
 
 
 def whole_files(spark: SparkSession, path: str) -> DataFrame:

@@ -123,7 +123,7 @@ class KindProfile(_Ordered):
 
 
 class RisingAlert(_Ordered):
-    """One alert per run in which the value never falls, once the run lasts long enough."""
+    """One alert per run in which the value never falls, once it lasts long enough since its first rise."""
 
     schema = "id bigint, run_start timestamp"
 
@@ -137,9 +137,11 @@ class RisingAlert(_Ordered):
         start, last, alerted = self.run.get() if self.run.exists() else (None, None, False)
         out = []
         for at, value in zip(_epoch_micros(rows["ts"]), rows["temperature"], strict=True):
-            if last is None or value < last:
+            if last is not None and value < last:
+                start = None
+            elif start is None and (last is None or value > last):
                 start, alerted = int(at), False
-            if not alerted and at - start >= self.at_least:
+            if start is not None and not alerted and at - start >= self.at_least:
                 alerted = True
                 out.append((key[0], start))
             last = float(value)

@@ -75,8 +75,11 @@ def run_to_table(
     checkpoint: str | None = None,
     out: str | None = None,
 ) -> DataFrame:
-    """Processes all input there is, then stops. Results go to files, not through the driver."""
-    out = out or scratch_dir(spark, "out")
+    """Processes all input there is, then stops. Results go to files, not through the driver.
+
+    With a checkpoint they stay next to it, and a later run adds to them.
+    """
+    out = out or _results(spark, checkpoint)
     start = lambda writer: writer.outputMode(mode).format("parquet").option("path", out)
     _run(stream, spark, start, ends, checkpoint)
     return spark.read.schema(stream.schema).parquet(out)
@@ -104,18 +107,22 @@ def run_batches_to_table(
     """Applies a table operator to each micro-batch of finished rows and collects the results.
 
     In append mode a finished window comes out with all its keys in one micro-batch, so operators
-    per window, such as a ranking, are complete. A repeated batch overwrites its own folder.
+    per window, such as a ranking, are complete. A repeated batch overwrites its own folder. With a
+    checkpoint the results stay next to it, and a later run adds to them.
     """
-    out = scratch_dir(spark, "out")
-    schemas = []
+    out = _results(spark, checkpoint)
+    schema = transform(spark.createDataFrame([], stream.schema)).schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{out}/batch=none")
 
     def write(batch: DataFrame, number: int) -> None:
-        result = transform(batch)
-        schemas.append(result.schema)
-        result.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        transform(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     run_each_batch(stream, spark, write, ends, "append", checkpoint)
-    return spark.read.schema(schemas[0]).parquet(f"{out}/batch=*")
+    return spark.read.schema(schema).parquet(f"{out}/batch=*")
+
+
+def _results(spark: SparkSession, checkpoint: str | None) -> str:
+    return f"{checkpoint.rstrip('/')}-results" if checkpoint else scratch_dir(spark, "out")
 
 
 def _run(

@@ -242,19 +242,58 @@ def temperature_jumps(spark, folder):
     return alerts.temperature_jumps(readings(spark, folder)).select("id", "before", "after")
 
 
-RUNS = f"""(SELECT id, min(us) AS run_start, max(us) AS run_end, count(*) AS n_rows
-    FROM (SELECT *, sum(starts) OVER (PARTITION BY id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS nr
-        FROM (SELECT *, CASE WHEN temperature >= lag(temperature) OVER (PARTITION BY id ORDER BY us, event_id)
-                        THEN 0 ELSE 1 END AS starts FROM {READINGS}))
-    GROUP BY id, nr HAVING max(us) - min(us) >= {12 * HOUR})"""
+# A fall ends a run. The next one starts at the first reading above its predecessor; equal readings neither start nor end one.
+RISES = """(SELECT id, min(us) FILTER (rises) AS run_start, max(us) AS run_end, CAST(count(*) FILTER (rises) AS BIGINT) AS n_rises
+    FROM (SELECT *, sum(falls) OVER (PARTITION BY id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS nr
+        FROM (SELECT *, before IS NULL OR temperature > before AS rises, CASE WHEN temperature < before THEN 1 ELSE 0 END AS falls
+            FROM (SELECT *, lag(temperature) OVER (PARTITION BY id ORDER BY us, event_id) AS before FROM {readings})))
+    GROUP BY id, nr HAVING max(us) - min(us) FILTER (rises) >= {least})"""
+RUNS = RISES.format(readings=READINGS, least=12 * HOUR)
 
 
-@query("temperature_rises", f"SELECT id, run_start, run_end, n_rows FROM {RUNS}")
-def temperature_rises(spark, folder):
-    found = alerts.temperature_rises(readings(spark, folder), "12 hours")
+def rise_rows(found):
     return found.select(
-        "id", F.unix_micros("run_start").alias("run_start"), F.unix_micros("run_end").alias("run_end"), "n_rows"
+        "id", F.unix_micros("run_start").alias("run_start"), F.unix_micros("run_end").alias("run_end"), "n_rises"
+    )
+
+
+@query("temperature_rises", f"SELECT id, run_start, run_end, n_rises FROM {RUNS}")
+def temperature_rises(spark, folder):
+    return rise_rows(alerts.temperature_rises(readings(spark, folder), "12 hours"))
+
+
+FLAT = f"(SELECT id, ts, us, floor(temperature / 40) AS temperature, event_id FROM {READINGS})"
+
+
+@query(
+    "temperature_rises_flat",
+    f"SELECT id, run_start, run_end, n_rises FROM {RISES.format(readings=FLAT, least=12 * HOUR)}",
+)
+def temperature_rises_flat(spark, folder):
+    """Readings in coarse steps, so that many neighbours are equal."""
+    flat = readings(spark, folder).withColumn("temperature", F.floor(F.col("temperature") / 40))
+    return rise_rows(alerts.temperature_rises(flat, "12 hours"))
+
+
+@query(
+    "payment_timeouts_ties",
+    f"""SELECT coalesce(c.order_id, -1) AS order_id, c.s AS opened, c.event_id,
+        CASE WHEN min(p.s) IS NOT NULL THEN 'payed' ELSE 'timeout:' || ((c.s + {6 * 3600}) * 1000) END AS result
+    FROM (SELECT nullif(user_id % 50, 7) AS order_id, epoch_us(ts) // {HOUR} * 3600 AS s, event_id FROM events
+          WHERE event_type = 'signup') c
+    LEFT JOIN (SELECT nullif(user_id % 50, 7) AS order_id, epoch_us(ts) // {HOUR} * 3600 AS s FROM events
+               WHERE event_type = 'purchase') p ON c.order_id = p.order_id AND p.s >= c.s AND p.s < c.s + {6 * 3600}
+    GROUP BY c.order_id, c.s, c.event_id""",
+)
+def payment_timeouts_ties(spark, folder):
+    """Orders and payments by the full hour, so that many are equally timed, some without an order."""
+    orders = orders_and_payments(spark, folder).withColumns(
+        {
+            "order_id": F.nullif(F.col("order_id") % 50, F.lit(7)),
+            "ts": F.timestamp_seconds(F.floor(F.unix_seconds("ts") / 3600) * 3600),
+        }
     )
+    return timeout_rows(alerts.payment_timeouts(orders, "6 hours")).fillna(-1, "order_id")
 
 
 NUMBERS = f"SELECT id, event_id, row_number() OVER (PARTITION BY id ORDER BY us, event_id) AS nth FROM {READINGS}"

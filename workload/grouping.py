@@ -95,6 +95,25 @@ def reconcile_payments(spark, folder):
     return reconciled_rows(alerts.reconciled_payments(*_sides(spark, folder), "3 hours", "5 hours"))
 
 
+SPARSE = "(SELECT nullif(tx_id % 40, 7) AS tx_id, * EXCLUDE (tx_id) FROM {})"
+
+
+@query(
+    "reconcile_sparse_keys",
+    f"""SELECT coalesce(p.tx_id, r.tx_id, -1) AS tx_id, coalesce(pay_id, -1) AS pay_id,
+    coalesce(receipt_id, -1) AS receipt_id, CASE WHEN receipt_id IS NULL THEN 'unmatched_pay'
+    WHEN pay_id IS NULL THEN 'unmatched_receipt' ELSE 'matched' END AS branch
+    FROM {SPARSE.format(PAYS)} p FULL JOIN {SPARSE.format(RECEIPTS)} r
+    ON p.tx_id = r.tx_id AND receipt_us BETWEEN pay_us - 60000000 AND pay_us + 300000000""",
+)
+def reconcile_sparse_keys(spark, folder):
+    """Some payments and receipts have no transaction: they match nothing and are shown as unmatched."""
+    pays, receipts = (
+        rows.withColumn("tx_id", F.nullif(F.col("tx_id") % 40, F.lit(7))) for rows in _sides(spark, folder)
+    )
+    return reconciled_rows(alerts.reconciled_payments(pays, receipts, "1 minute", "5 minutes")).fillna(-1, "tx_id")
+
+
 @query(
     "lateral_split_join",
     """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) GROUP BY word""",

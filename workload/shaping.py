@@ -306,16 +306,19 @@ def average_functions(spark, folder):
 
 @query(
     "average_functions_sql",
-    """SELECT user_id, CAST(sum(length(event_type)) // count(*) AS BIGINT) AS int_avg, round(avg(value), 8) AS avg_temp
+    """SELECT user_id, CAST(trunc(sum(event_id % 7 - length(event_type)) / count(*)) AS BIGINT) AS int_avg,
+              round(avg(value), 8) AS avg_temp
        FROM events GROUP BY user_id""",
 )
 def average_functions_sql(spark, folder):
-    """The aggregate functions as registered for SQL (one group per task and call)."""
+    """The aggregate functions as registered for SQL, on values of either sign."""
     agg_functions.register(spark)
     load(spark, folder, "events").createOrReplaceTempView("average_input")
     return spark.sql(
-        """SELECT user_id, int_avg(CAST(length(event_type) AS BIGINT)) AS int_avg, round(avg_temp(value), 8) AS avg_temp
-           FROM average_input GROUP BY user_id"""
+        """SELECT user_id, int_avg, round(avg_temp, 8) AS avg_temp FROM (
+               SELECT user_id, int_avg_of(sum(event_id % 7 - length(event_type)), count(*)) AS int_avg,
+                      avg_of(sum(value), count(value)) AS avg_temp
+               FROM average_input GROUP BY user_id)"""
     )
 
 
