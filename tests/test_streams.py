@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.durations import micros
 from tidemark.operators.joins import interval_join
 from tidemark.operators.lateness import tag_late
 from tidemark.operators.sequences import Measure
@@ -19,7 +20,14 @@ from tidemark.sources.streams import file_stream, line_stream
 from tidemark.streaming import processors
 from tidemark.streaming import windows as streamed
 from tidemark.streaming.lateness import late_each_batch, read_rows
-from tidemark.streaming.runner import run_batches_to_table, run_each_batch, run_to_table, stream_session, with_end
+from tidemark.streaming.runner import (
+    disorder,
+    run_batches_to_table,
+    run_each_batch,
+    run_to_table,
+    stream_session,
+    with_end,
+)
 from tidemark.tables import load
 
 EVENTS = "event_id bigint, user_id bigint, kind string, temperature double, ts timestamp"
@@ -39,6 +47,17 @@ def source(spark):
     return path
 
 
+@pytest.fixture(scope="module")
+def shuffled(spark, source):
+    """The same events in files that are not in time order."""
+    events = spark.read.schema(EVENTS).parquet(source)
+    path = scratch_dir(spark, "shuffled")
+    for part in (2, 0, 3, 1):
+        piece = events.where(F.pmod(F.floor(F.col("event_id") / 250), F.lit(4)) == part)
+        piece.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @pytest.fixture
 def table(spark, source):
     return spark.read.schema(EVENTS).parquet(source)
@@ -111,48 +130,83 @@ def test_interval_join(spark, source, table):
     same(found, expected)
 
 
-@pytest.mark.parametrize("processor", ["count", "jumps", "averages", "rising", "bursts"])
-def test_processors(spark, source, stream, table, processor):
+def processed(name, table):
+    """A processor, the key it runs by, and what it must find."""
     readings = table.withColumnRenamed("user_id", "id")
-    live = file_stream(stream_session(spark), source, EVENTS, files_per_batch=1).withColumnRenamed("user_id", "id")
-    if processor == "count":
-        found = processors.apply_processor(live, "id", processors.RunningCount())
-        expected = alerts.reading_numbers(readings).select("id", "event_id", "nth")
-    elif processor == "jumps":
-        found = processors.apply_processor(live, "id", processors.Jumps(20.0))
-        expected = alerts.temperature_jumps(readings, 20.0).select("id", "before", "after")
-    elif processor == "averages":
-        found = processors.apply_processor(live, "id", processors.CountedAverage(10, 2))
+    if name == "count":
+        return processors.RunningCount(), "id", alerts.reading_numbers(readings).select("id", "event_id", "nth")
+    if name == "jumps":
+        return processors.Jumps(20.0), "id", alerts.temperature_jumps(readings, 20.0).select("id", "before", "after")
+    if name == "averages":
         expected = alerts.rolling_averages(readings, 10, 2).withColumn("avg_temp", F.round("avg_temp", 6))
-    elif processor == "rising":
-        found = processors.apply_processor(live, "id", processors.RisingAlert(12 * 3600 * 1_000_000))
+        return processors.CountedAverage(10, 2), "id", expected
+    if name == "rising":
         expected = alerts.temperature_rises(readings, "12 hours").select("id", "run_start")
-    else:
-        replay, end = stream
-        status = F.when(F.col("kind") == "error", "fail").otherwise("success").alias("status")
-        logins = lambda df: df.select("user_id", "event_id", F.date_trunc("second", "ts").alias("ts"), status)
-        marked = logins(replay).withWatermark("ts", "0 seconds")
-        found = processors.apply_processor(marked, "user_id", processors.FailBursts(86400), timers=True)
-        same(run_to_table(found, spark, [end]), alerts.login_bursts(logins(table), 86400))
-        return
-    found = run_to_table(found, spark)
-    if processor == "averages":
+        return processors.RisingAlert(12 * 3600 * 1_000_000), "id", expected
+    if name == "silence":
+        table.createOrReplaceTempView("silence_input")
+        expected = table.sparkSession.sql(
+            """SELECT user_id AS id, s AS last_second FROM (SELECT user_id, unix_seconds(ts) AS s,
+                 lead(unix_seconds(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS later FROM silence_input)
+               WHERE later IS NULL OR later - s > 86400"""
+        )
+        return processors.SilenceTimer(86400), "id", expected
+    return processors.FailBursts(86400), "user_id", alerts.login_bursts(logins_of(table), 86400)
+
+
+def logins_of(df):
+    status = F.when(F.col("kind") == "error", "fail").otherwise("success").alias("status")
+    return df.select("user_id", "event_id", F.date_trunc("second", "ts").alias("ts"), status)
+
+
+@pytest.mark.parametrize("name", ["count", "jumps", "averages", "rising", "silence", "bursts"])
+@pytest.mark.parametrize("files", ["source", "shuffled"])
+def test_processors(spark, request, table, name, files):
+    """One file a batch, in time order or not: every row counts, in its place."""
+    path = request.getfixturevalue(files)
+    processor, key, expected = processed(name, table)
+    made = file_stream(stream_session(spark), path, EVENTS, files_per_batch=1)
+    replay, end = with_end(made, "ts", event_id=-1, user_id=-1, kind="error", temperature=0.0)
+    replay = logins_of(replay) if name == "bursts" else replay.withColumnRenamed("user_id", "id")
+    found = run_to_table(processors.apply_processor(replay.withWatermark("ts", disorder(spark, path, "ts")), key, processor), spark, [end])
+    if name == "averages":
         found = found.withColumn("avg_temp", F.round("avg_temp", 6))
     assert expected.count() > 0
     same(found, expected)
 
 
-def test_silence_timer(spark, stream, table):
-    replay, end = stream
-    rows_ = replay.withColumnRenamed("user_id", "id").withWatermark("ts", "0 seconds")
-    found = run_to_table(processors.apply_processor(rows_, "id", processors.SilenceTimer(86400), timers=True), spark, [end])
-    table.createOrReplaceTempView("silence_input")
-    expected = spark.sql(
-        """SELECT user_id AS id, s AS last_second FROM (SELECT user_id, unix_seconds(ts) AS s,
-             lead(unix_seconds(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS later FROM silence_input)
-           WHERE later IS NULL OR later - s > 86400"""
-    )
-    same(found.where("id <> -1"), expected)
+def test_disorder(spark, source, shuffled, tmp_path):
+    hours = lambda path: micros(disorder(spark, path, "ts")) / 3.6e9
+    assert hours(shuffled) > 24 > hours(source)
+    one = str(tmp_path / "one")
+    spark.range(9).select(F.timestamp_seconds("id").alias("ts")).coalesce(1).write.parquet(one)
+    assert disorder(spark, one, "ts") == "1 milliseconds"
+
+
+def test_counts_of_shuffled_files(spark, shuffled, table):
+    made = file_stream(stream_session(spark), shuffled, EVENTS, files_per_batch=1)
+    replay, end = with_end(made, "ts", event_id=-1, user_id=-1, kind="view", temperature=0.0)
+    counts = streamed.window_counts(replay, "ts", disorder(spark, shuffled, "ts"), "1 hour", None, [])
+    found = run_to_table(counts.select("n"), spark, [end])
+    assert found.agg(F.sum("n")).first()[0] == table.count()
+
+
+def test_results_stay_over_restarts(spark, source, tmp_path):
+    """A run without new files, and one with some, give all rows so far."""
+    path, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+
+    def run():
+        made = file_stream(stream_session(spark), path, "n bigint")
+        return [
+            run_to_table(made, spark, checkpoint=checkpoint + "-a").count(),
+            run_batches_to_table(made, spark, lambda df: df, checkpoint=checkpoint + "-b").count(),
+        ]
+
+    spark.range(10).withColumnRenamed("id", "n").write.parquet(path)
+    assert run() == [10, 10]
+    assert run() == [10, 10]
+    spark.range(5).withColumnRenamed("id", "n").write.mode("append").parquet(path)
+    assert run() == [15, 15]
 
 
 def test_restart_keeps_totals(spark, tmp_path):

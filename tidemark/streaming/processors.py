@@ -1,14 +1,18 @@
-"""Keyed stateful processors: state per key, event-time timers, rows handled in event-time order.
+"""Keyed stateful processors: rows wait in state until the watermark has passed them, then step in event-time order.
 
-Native operators are preferred; these serve what they cannot express on a stream. A key's rows of
-one micro-batch are sorted in its task, so the trigger's batch size bounds the memory.
+So results depend neither on how rows are cut into batches nor on their order inside the watermark's
+delay. Native operators are preferred; these serve what they cannot express on a stream. A key's rows
+of one batch and those that wait are sorted in its task, so the trigger's batch size and the delay
+bound the memory.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -17,44 +21,95 @@ def _epoch_micros(ts: pd.Series) -> pd.Series:
     return ts.astype("datetime64[us]").astype("int64")
 
 
-def _in_order(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(order)
+def _packed(rows: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
 class _Ordered(StatefulProcessor):
-    """Hands each key's rows to ``step`` in order; ``schema`` describes what it returns."""
+    """Hands each key's rows to ``steps`` in order, once; ``schema`` describes what it returns.
+
+    ``steps`` gets rows that nothing can come before any more, perhaps none, and the watermark in
+    milliseconds, up to which time has passed. ``wake`` names the time at which something is due
+    although no row comes.
+    """
 
     schema: str
     order = ["ts", "event_id"]
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.open(handle)
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        """Names the processor's own state."""
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        out = self.steps(key, _in_order(rows, self.order))
-        if not out.empty:
+        yield from self._advance(key, list(rows), timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
+
+    def _advance(self, key, rows: list[pd.DataFrame], watermark: int) -> Iterator[pd.DataFrame]:
+        held = [pa.ipc.open_stream(w[0]).read_pandas() for w in self.waiting.get()] if self.waiting.exists() else []
+        together = [part for part in (*held, *rows) if len(part)]
+        wake, ready = None, None
+        if together:
+            merged = pd.concat(together, ignore_index=True).sort_values(self.order)
+            passed = (_epoch_micros(merged["ts"]) <= watermark * 1000).to_numpy()
+            ready, later = merged[passed], merged[~passed]
+            if len(later):
+                wake = -(-int(_epoch_micros(later["ts"]).iloc[0]) // 1000)
+                self.waiting.put([(_packed(later),)])
+            elif held:
+                self.waiting.clear()
+        out = self.steps(key, ready, watermark)
+        due = [t for t in (wake, self.wake()) if t is not None and t > watermark]
+        if due:
+            self.handle.registerTimer(min(due))
+        if out is not None and not out.empty:
             yield out
 
-    def steps(self, key, rows: pd.DataFrame) -> pd.DataFrame:
+    def steps(self, key, rows: pd.DataFrame | None, watermark: int) -> pd.DataFrame | None:
         raise NotImplementedError
 
+    def wake(self) -> int | None:
+        return None
+
     def close(self) -> None:
         pass
 
 
-class RunningCount(_Ordered):
+class _OnRows(_Ordered):
+    """Acts on rows only."""
+
+    def steps(self, key, rows, watermark):
+        return None if rows is None or rows.empty else self.each(key, rows)
+
+    def each(self, key, rows: pd.DataFrame) -> pd.DataFrame:
+        raise NotImplementedError
+
+
+class RunningCount(_OnRows):
     """Numbers the rows of a key. Value state."""
 
     schema = "id bigint, event_id bigint, nth bigint"
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n bigint")
 
-    def steps(self, key, rows):
+    def each(self, key, rows):
         n = self.count.get()[0] if self.count.exists() else 0
         out = pd.DataFrame({"id": key[0], "event_id": rows["event_id"], "nth": range(n + 1, n + 1 + len(rows))})
         self.count.update((n + len(rows),))
         return out
 
 
-class Jumps(_Ordered):
+class Jumps(_OnRows):
     """Neighbouring values of a key at least ``threshold`` apart. Value state."""
 
     schema = "id bigint, before double, after double"
@@ -62,10 +117,10 @@ class Jumps(_Ordered):
     def __init__(self, threshold: float) -> None:
         self.threshold = threshold
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "value double")
 
-    def steps(self, key, rows):
+    def each(self, key, rows):
         values = rows["temperature"]
         before = values.shift(fill_value=self.last.get()[0] if self.last.exists() else float("nan"))
         self.last.update((float(values.iloc[-1]),))
@@ -73,7 +128,7 @@ class Jumps(_Ordered):
         return pd.DataFrame({"id": key[0], "before": before[jump], "after": values[jump]})
 
 
-class CountedAverage(_Ordered):
+class CountedAverage(_OnRows):
     """Average of the last ``size`` values after every ``slide`` rows. List and value state."""
 
     schema = "id bigint, firing bigint, avg_temp double"
@@ -81,34 +136,33 @@ class CountedAverage(_Ordered):
     def __init__(self, size: int, slide: int) -> None:
         self.size, self.slide = size, slide
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.recent = handle.getListState("recent", "value double")
         self.count = handle.getValueState("count", "n bigint")
 
-    def steps(self, key, rows):
+    def each(self, key, rows):
         kept = [v[0] for v in self.recent.get()] if self.recent.exists() else []
         n = self.count.get()[0] if self.count.exists() else 0
-        out = []
-        for value in rows["temperature"]:
-            kept = [*kept, float(value)][-self.size :]
-            n += 1
-            if n % self.slide == 0:
-                out.append((key[0], n // self.slide, sum(kept) / len(kept)))
-        self.recent.put([(v,) for v in kept])
-        self.count.update((n,))
-        return pd.DataFrame(out, columns=["id", "firing", "avg_temp"])
+        values = np.array([*kept, *rows["temperature"].astype("float64")])
+        numbers = np.arange(n + 1, n + 1 + len(rows))
+        fires = numbers[numbers % self.slide == 0]
+        ends = fires - n + len(kept)
+        averages = [values[max(0, end - self.size) : end].mean() for end in ends]
+        self.recent.put([(float(v),) for v in values[-self.size :]])
+        self.count.update((n + len(rows),))
+        return pd.DataFrame({"id": key[0], "firing": fires // self.slide, "avg_temp": averages})
 
 
-class KindProfile(_Ordered):
+class KindProfile(_OnRows):
     """Per row the count of its kind so far and the highest value so far. Map and reducing state."""
 
     schema = "id bigint, event_id bigint, kind string, nth_of_kind bigint, highest double"
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.kinds = handle.getMapState("kinds", "kind string", "n bigint")
         self.highest = handle.getValueState("highest", "value double")
 
-    def steps(self, key, rows):
+    def each(self, key, rows):
         top = rows["temperature"].cummax()
         if self.highest.exists():
             top = top.clip(lower=self.highest.get()[0])
@@ -122,7 +176,7 @@ class KindProfile(_Ordered):
         )
 
 
-class RisingAlert(_Ordered):
+class RisingAlert(_OnRows):
     """One alert per run in which the value never falls, once it lasts long enough since its first rise."""
 
     schema = "id bigint, run_start timestamp"
@@ -130,10 +184,10 @@ class RisingAlert(_Ordered):
     def __init__(self, at_least_micros: int) -> None:
         self.at_least = at_least_micros
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "start bigint, value double, alerted boolean")
 
-    def steps(self, key, rows):
+    def each(self, key, rows):
         start, last, alerted = self.run.get() if self.run.exists() else (None, None, False)
         out = []
         for at, value in zip(_epoch_micros(rows["ts"]), rows["temperature"], strict=True):
@@ -151,35 +205,32 @@ class RisingAlert(_Ordered):
 
 
 class SilenceTimer(_Ordered):
-    """Restarts a timer on every row; reports each time it ran out.
-
-    A row later than the pending timer means the timer ran out first, whatever batch the row is in.
-    """
+    """Restarts a timer on every row; reports each time it ran out."""
 
     schema = "id bigint, last_second bigint"
 
     def __init__(self, delay_seconds: int) -> None:
         self.delay = delay_seconds
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getValueState("pending", "second bigint")
 
-    def steps(self, key, rows):
+    def steps(self, key, rows, watermark):
         pending = self.pending.get()[0] if self.pending.exists() else None
-        if pending is not None:
-            self.handle.deleteTimer((pending + self.delay) * 1000)
-        seconds = _epoch_micros(rows["ts"]) // 1_000_000
-        before = seconds.shift(fill_value=seconds.iloc[0] if pending is None else pending)
-        ran_out = before[seconds - before > self.delay]
-        last = int(seconds.iloc[-1])
-        self.pending.update((last,))
-        self.handle.registerTimer((last + self.delay) * 1000)
-        return pd.DataFrame({"id": key[0], "last_second": ran_out.astype("int64")})
+        seconds = [] if rows is None else (_epoch_micros(rows["ts"]) // 1_000_000).tolist()
+        chain = pd.Series(([] if pending is None else [pending]) + seconds, dtype="int64")
+        ran_out = chain[chain.shift(-1) - chain > self.delay].tolist()
+        if len(chain):
+            last = int(chain.iloc[-1])
+            if (last + self.delay + 1) * 1000 <= watermark:
+                ran_out.append(last)
+                self.pending.clear()
+            else:
+                self.pending.update((last,))
+        return pd.DataFrame({"id": key[0], "last_second": ran_out})
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"id": [key[0]], "last_second": [self.pending.get()[0]]})
-        self.pending.clear()
+    def wake(self):
+        return (self.pending.get()[0] + self.delay + 1) * 1000 if self.pending.exists() else None
 
 
 class FailBursts(_Ordered):
@@ -190,50 +241,43 @@ class FailBursts(_Ordered):
     def __init__(self, within: int, at_least: int = 2) -> None:
         self.within, self.at_least = within, at_least
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", "first bigint, last bigint, n bigint")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.window = handle.getValueState("open", "first bigint, last bigint, n bigint")
 
     def _closes_at(self, first: int) -> int:
         return (first + self.within + 1) * 1000
 
-    def steps(self, key, rows):
-        first, last, n = self.open.get() if self.open.exists() else (None, None, 0)
-        if first is not None:
-            self.handle.deleteTimer(self._closes_at(first))
+    def steps(self, key, rows, watermark):
+        first, last, n = self.window.get() if self.window.exists() else (None, None, 0)
         out = []
-        for at, status in zip(_epoch_micros(rows["ts"]) // 1_000_000, rows["status"], strict=True):
-            at = int(at)
+        seconds = [] if rows is None else (_epoch_micros(rows["ts"]) // 1_000_000).tolist()
+        for at, status in zip(seconds, [] if rows is None else rows["status"], strict=True):
             if first is not None and at > first + self.within:
-                out.append((first, last, n))
+                out.append((key[0], first, last, n))
                 first, n = None, 0
             if status == "fail":
                 first, last, n = at if first is None else first, at, n + 1
             else:
                 first, n = None, 0
+        if first is not None and self._closes_at(first) <= watermark:
+            out.append((key[0], first, last, n))
+            first = None
         if first is None:
-            self.open.clear()
+            self.window.clear()
         else:
-            self.open.update((first, last, n))
-            self.handle.registerTimer(self._closes_at(first))
-        return self._warnings(key, out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        warnings = self._warnings(key, [self.open.get()])
-        self.open.clear()
-        if not warnings.empty:
-            yield warnings
+            self.window.update((first, last, n))
+        found = [f for f in out if f[3] >= self.at_least]
+        return pd.DataFrame(found, columns=["user_id", "first_second", "last_second", "n_fails"])
 
-    def _warnings(self, key, found) -> pd.DataFrame:
-        rows = [(key[0], *f) for f in found if f[2] >= self.at_least]
-        return pd.DataFrame(rows, columns=["user_id", "first_second", "last_second", "n_fails"])
+    def wake(self):
+        return self._closes_at(self.window.get()[0]) if self.window.exists() else None
 
 
-def apply_processor(stream: DataFrame, key: str, processor: _Ordered, timers: bool = False) -> DataFrame:
-    """Runs a processor per key over a stream (with event-time timers, the stream needs a watermark)."""
+def apply_processor(stream: DataFrame, key: str, processor: _Ordered) -> DataFrame:
+    """Runs a processor per key over a stream, which needs a watermark on its time."""
     return stream.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.schema,
         outputMode="append",
-        timeMode="eventTime" if timers else "none",
+        timeMode="eventTime",
     )

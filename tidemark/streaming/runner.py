@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ def table_stream(spark: SparkSession, folder: str, name: str, gigabytes_per_batc
     """A warehouse table as a stream, so many gigabytes of files at a time, oldest files first.
 
     Zone-less times become timestamps. Rows of later batches that are behind the watermark are late
-    like on any stream, so files should be in time order up to the watermark's delay.
+    like on any stream: give the watermark the delay that ``disorder`` finds.
     """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     either = f"{folder}/{name}.parque[t]"  # as a pattern it may name a folder of files or one file
@@ -41,6 +42,31 @@ def table_stream(spark: SparkSession, folder: str, name: str, gigabytes_per_batc
     return stream.withColumns(times) if times else stream
 
 
+def disorder(spark: SparkSession, path: str, ts: str) -> str:
+    """The delay with which no row of these Parquet files is late, in whatever batches they are replayed.
+
+    Files are replayed by age. A file's earliest row may follow the latest row of any file that is
+    not younger. One number per file comes to the driver, which lists the files anyway.
+    """
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    files = (
+        spark.read.parquet(path)
+        .groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("age"))
+        .agg(F.min(at).alias("low"), F.max(at).alias("high"))
+        .dropna(subset=["low"])
+        .orderBy("age", F.desc("high"))
+        .collect()
+    )
+    behind, highest = 0, None
+    for _, same_age in groupby(files, key=lambda f: f["age"]):  # in any order among themselves, highest first here
+        group = list(same_age)
+        for i, file in enumerate(group):
+            rival = group[0]["high"] if i else group[1]["high"] if len(group) > 1 else None
+            behind = max([behind, *(high - file["low"] for high in (highest, rival) if high is not None)])
+        highest = group[0]["high"] if highest is None else max(highest, group[0]["high"])
+    return f"{-(-behind // 1000) + 1} milliseconds"
+
+
 @dataclass(frozen=True)
 class End:
     """The last row of a bounded replay, held back until all other input is processed."""

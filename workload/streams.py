@@ -1,6 +1,7 @@
 """Streaming forms. Each replays the events table as a stream and must equal its batch twin's SQL.
 
-The replay ends with a row at the end of time, which closes every window, timer and interval.
+The replay ends with a row at the end of time, which closes every window, timer and interval. Its
+watermarks wait as long as the files are out of time order, so no row is late, whatever the batches.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from tidemark.streaming import processors
 from tidemark.streaming import windows as streamed
 from tidemark.streaming.lateness import late_each_batch, read_rows
 from tidemark.streaming.runner import (
+    disorder,
     run_batches_to_table,
     run_each_batch,
     run_to_table,
@@ -64,9 +66,10 @@ from workload.registry import BEHAVIOURS, HOUR, READINGS, query
 
 
 def events(spark, folder, event_type="view", **values):
-    """The events as a stream and its end: a row that passes the query's filter."""
+    """The events as a stream, its end (a row that passes the query's filter) and the watermark's delay."""
     stream = table_stream(stream_session(spark), folder, "events")
-    return with_end(stream, "ts", event_id=-1, event_type=event_type, props='{"k": -1}', **values)
+    stream, end = with_end(stream, "ts", event_id=-1, event_type=event_type, props='{"k": -1}', **values)
+    return stream, end, disorder(spark, f"{folder}/events.parquet", "ts")
 
 
 @query(
@@ -100,19 +103,19 @@ def stream_word_count(spark, folder):
 
 @query("stream_hot_items", HOT_ITEMS)
 def stream_hot_items(spark, folder):
-    stream, end = events(spark, folder)
+    stream, end, delay = events(spark, folder)
     seen = as_behaviours(stream).where("behaviour = 'view'")
-    counts = streamed.window_counts(seen, "ts", 0, "1 hour", "5 minutes", ["item_id"])
+    counts = streamed.window_counts(seen, "ts", delay, "1 hour", "5 minutes", ["item_id"])
     return ranked_rows(run_batches_to_table(counts, spark, streamed.ranked_windows("item_id", 5), [end]), "item_id")
 
 
 @query("stream_page_views", PAGE_VIEWS)
 def stream_page_views(spark, folder):
     """Salted counts per window, then a second stage that adds them up."""
-    stream, end = events(spark, folder)
+    stream, end, delay = events(spark, folder)
     seen = as_behaviours(stream).where("behaviour = 'view'")
     salted = seen.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(10)))
-    counts = streamed.window_counts(salted, "ts", 0, "1 hour", None, ["salt"])
+    counts = streamed.window_counts(salted, "ts", delay, "1 hour", None, ["salt"])
     total = counts.groupBy("window").agg(F.sum("n").alias("n")).select(epoch(F.col("window.end")).alias("window_end"), "n")
     return run_to_table(total, spark, [end])
 
@@ -123,9 +126,9 @@ def stream_page_views(spark, folder):
         FROM {BEHAVIOURS} WHERE behaviour = 'view' GROUP BY 1""",
 )
 def stream_unique_visitors(spark, folder):
-    stream, end = events(spark, folder, user_id=-1)
+    stream, end, delay = events(spark, folder, user_id=-1)
     seen = as_behaviours(stream).where("behaviour = 'view'")
-    found = run_to_table(streamed.distinct_users(seen, "ts", 0, "1 hour", "user_id"), spark, [end])
+    found = run_to_table(streamed.distinct_users(seen, "ts", delay, "1 hour", "user_id"), spark, [end])
     return found.select(epoch("window_end").alias("window_end"), "uv")
 
 
@@ -135,9 +138,9 @@ def stream_unique_visitors(spark, folder):
         FROM {BEHAVIOURS} WHERE behaviour = 'view' GROUP BY 1""",
 )
 def stream_unique_visitors_bitmap(spark, folder):
-    stream, end = events(spark, folder, user_id=-1)
+    stream, end, delay = events(spark, folder, user_id=-1)
     seen = as_behaviours(stream).where("behaviour = 'view'")
-    found = run_to_table(streamed.distinct_users(seen, "ts", 0, "1 hour", "user_id", bitmap=True), spark, [end])
+    found = run_to_table(streamed.distinct_users(seen, "ts", delay, "1 hour", "user_id", bitmap=True), spark, [end])
     return found.select(epoch("window_end").alias("window_end"), "uv")
 
 
@@ -145,7 +148,8 @@ def stream_unique_visitors_bitmap(spark, folder):
 def stream_refreshed_views(spark, folder):
     """A count refreshed by every batch instead of once at the window's end; late rows refine it."""
     seen = as_behaviours(table_stream(stream_session(spark), folder, "events")).where("behaviour = 'view'")
-    counts = streamed.window_counts(seen, "ts", "1 minute", "1 hour", None, [])
+    delay = disorder(spark, f"{folder}/events.parquet", "ts")
+    counts = streamed.window_counts(seen, "ts", delay, "1 hour", None, [])
     refreshed = counts.select(epoch(F.col("window.end")).alias("window_end"), "n")
     totals = scratch_dir(spark, "totals")
     run_each_batch(refreshed, spark, keyed.merge_each_batch(totals, ["window_end"], ["n"]))
@@ -154,8 +158,8 @@ def stream_refreshed_views(spark, folder):
 
 @query("stream_channel_counts", CHANNELS)
 def stream_channel_counts(spark, folder):
-    stream, end = events(spark, folder, user_id=0)
-    actions = as_actions(stream).where("behaviour <> 'error'").withWatermark("ts", "0 seconds")
+    stream, end, delay = events(spark, folder, user_id=0)
+    actions = as_actions(stream).where("behaviour <> 'error'").withWatermark("ts", delay)
     one = Measure("n", "sum", F.lit(1).cast("bigint"))
     found = run_to_table(sliding(actions, "ts", "1 hour", "5 minutes", ["channel", "behaviour"], [one]), spark, [end])
     return found.select("channel", "behaviour", epoch("window_end").alias("window_end"), "n")
@@ -163,15 +167,15 @@ def stream_channel_counts(spark, folder):
 
 @query("stream_min_row", MIN_ROWS)
 def stream_min_row(spark, folder):
-    stream, end = events(spark, folder, user_id=-1, value=0.0)
-    rows = as_readings(stream).withWatermark("ts", "62 seconds")
+    stream, end, delay = events(spark, folder, user_id=-1, value=0.0)
+    rows = as_readings(stream).withWatermark("ts", delay)
     return min_rows(run_to_table(tumbling(rows, "ts", "6 hours", ["id"], [min_row_aggregate()]), spark, [end]))
 
 
 @query("stream_sessions", SESSIONS)
 def stream_sessions(spark, folder):
-    stream, end = events(spark, folder, user_id=-1)
-    rows = as_readings(stream).withWatermark("ts", "0 seconds")
+    stream, end, delay = events(spark, folder, user_id=-1)
+    rows = as_readings(stream).withWatermark("ts", delay)
     one = Measure("n", "sum", F.lit(1).cast("bigint"))
     return session_rows(run_to_table(sessions(rows, "ts", "5 hours", ["id"], "event_id", [one]), spark, [end]))
 
@@ -187,9 +191,10 @@ def _halves(spark, folder, *event_types):
 
 def _sides(spark, folder):
     (pays, pay_end), (receipts, receipt_end) = _halves(spark, folder, "click", "view")
+    delay = disorder(spark, f"{folder}/events.parquet", "ts")
     return (
-        side(pays, "click", "pay").withWatermark("pay_ts", "0 seconds"),
-        side(receipts, "view", "receipt").withWatermark("receipt_ts", "0 seconds"),
+        side(pays, "click", "pay").withWatermark("pay_ts", delay),
+        side(receipts, "view", "receipt").withWatermark("receipt_ts", delay),
         [pay_end, receipt_end],
     )
 
@@ -218,9 +223,10 @@ def stream_payment_timeouts(spark, folder):
     (signups, signup_end), (purchases, purchase_end) = _halves(spark, folder, "signup", "purchase")
     creates = as_orders_and_payments(signups).where("event_type = 'create'")
     pays = as_orders_and_payments(purchases).where("event_type = 'pay'")
+    delay = disorder(spark, f"{folder}/events.parquet", "ts")
     closing = streamed.first_closing(
-        creates.select("order_id", F.col("ts").alias("opened_ts"), "event_id").withWatermark("opened_ts", "0 seconds"),
-        pays.select("order_id", F.col("ts").alias("paid_ts")).withWatermark("paid_ts", "0 seconds"),
+        creates.select("order_id", F.col("ts").alias("opened_ts"), "event_id").withWatermark("opened_ts", delay),
+        pays.select("order_id", F.col("ts").alias("paid_ts")).withWatermark("paid_ts", delay),
         "order_id", "opened_ts", "paid_ts", "1 day",
     )
     return timeout_rows(alerts.with_result(run_to_table(closing, spark, [signup_end, purchase_end]), "1 day"))
@@ -240,27 +246,27 @@ def stream_window_pairs(spark, folder):
     return run_to_table(pairs, spark, ends)
 
 
-def _readings(spark, folder):
-    """For keyed processors, which sort a key's rows of one batch in memory: smaller batches."""
-    return as_readings(table_stream(stream_session(spark), folder, "events", gigabytes_per_batch=1))
+def _processed(spark, folder, rows_of, key, processor):
+    """A keyed processor, which sorts a key's rows of one batch in memory, over smaller batches."""
+    stream = table_stream(stream_session(spark), folder, "events", gigabytes_per_batch=1)
+    whole, end = with_end(stream, "ts", event_id=-1, event_type="click", user_id=-1, value=0.0)
+    rows = rows_of(whole).withWatermark("ts", disorder(spark, f"{folder}/events.parquet", "ts"))
+    return run_to_table(processors.apply_processor(rows, key, processor), spark, [end])
 
 
 @query("stream_running_count", NUMBERS)
 def stream_running_count(spark, folder):
-    rows = _readings(spark, folder)
-    return run_to_table(processors.apply_processor(rows, "id", processors.RunningCount()), spark)
+    return _processed(spark, folder, as_readings, "id", processors.RunningCount())
 
 
 @query("stream_jumps", JUMPS)
 def stream_jumps(spark, folder):
-    rows = _readings(spark, folder)
-    return run_to_table(processors.apply_processor(rows, "id", processors.Jumps(10.0)), spark)
+    return _processed(spark, folder, as_readings, "id", processors.Jumps(10.0))
 
 
 @query("stream_rolling_averages", AVERAGES)
 def stream_rolling_averages(spark, folder):
-    rows = _readings(spark, folder)
-    found = run_to_table(processors.apply_processor(rows, "id", processors.CountedAverage(10, 2)), spark)
+    found = _processed(spark, folder, as_readings, "id", processors.CountedAverage(10, 2))
     return found.select("id", "firing", F.round("avg_temp", 6).alias("avg_temp"))
 
 
@@ -273,16 +279,15 @@ def stream_rolling_averages(spark, folder):
 )
 def stream_kind_profile(spark, folder):
     """Map state (counts by kind) and reducing state (highest value) of each user."""
-    rows = table_stream(stream_session(spark), folder, "events", gigabytes_per_batch=1).select(
+    rows_of = lambda events: events.select(
         F.col("user_id").alias("id"), "event_id", "ts", F.col("event_type").alias("kind"), F.col("value").alias("temperature")
     )
-    return run_to_table(processors.apply_processor(rows, "id", processors.KindProfile()), spark)
+    return _processed(spark, folder, rows_of, "id", processors.KindProfile())
 
 
 @query("stream_rising_alerts", f"SELECT id, run_start FROM {RUNS}")
 def stream_rising_alerts(spark, folder):
-    rows = _readings(spark, folder)
-    found = run_to_table(processors.apply_processor(rows, "id", processors.RisingAlert(micros("12 hours"))), spark)
+    found = _processed(spark, folder, as_readings, "id", processors.RisingAlert(micros("12 hours")))
     return found.select("id", F.unix_micros("run_start").alias("run_start"))
 
 
@@ -294,18 +299,12 @@ def stream_rising_alerts(spark, folder):
 )
 def stream_silence_timer(spark, folder):
     """Timers set by every reading and run out after six silent hours."""
-    stream, end = events(spark, folder, user_id=-1)
-    rows = as_readings(stream).withWatermark("ts", "0 seconds")
-    found = processors.apply_processor(rows, "id", processors.SilenceTimer(6 * 3600), timers=True)
-    return run_to_table(found, spark, [end]).where("id <> -1")
+    return _processed(spark, folder, as_readings, "id", processors.SilenceTimer(6 * 3600))
 
 
 @query("stream_login_bursts", BURSTS)
 def stream_login_bursts(spark, folder):
-    stream, end = events(spark, folder, event_type="click", user_id=-1)
-    rows = as_logins(stream).withWatermark("ts", "0 seconds")
-    found = processors.apply_processor(rows, "user_id", processors.FailBursts(6 * 3600), timers=True)
-    return run_to_table(found, spark, [end])
+    return _processed(spark, folder, as_logins, "user_id", processors.FailBursts(6 * 3600))
 
 
 @query("stream_late_rows", LATE)
