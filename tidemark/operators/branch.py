@@ -15,8 +15,8 @@ STATIC_ENDINGS = ("css", "js", "png", "ico")
 
 def words(df: DataFrame, text: str, out: str = "word") -> DataFrame:
     """One row per space-separated word of every line of a text column."""
-    lines = df.withColumn("_line", F.explode(F.split(text, "\\n")))
-    return lines.withColumn(out, F.explode(java_split("_line", " "))).drop("_line")
+    parts = F.flatten(F.transform(F.split(text, "\\n"), lambda line: java_split(line, " ")))
+    return df.withColumn(out, F.explode(parts))
 
 
 def flatten_mixed(df: DataFrame, column: str, out: str, element: str = "bigint") -> DataFrame:
@@ -60,3 +60,9 @@ def parse_or_quarantine(df: DataFrame, types: dict[str, str]) -> DataFrame:
     for c in types:
         valid = valid & (F.col(c).isNull() | parsed[c].isNotNull())
     return df.withColumn("is_valid", valid).withColumns(parsed)
+
+
+def hash_sample(df: DataFrame, name: Column, fraction: float) -> DataFrame:
+    """Rows of which the first 32 bits of their name's MD5 lie under the fraction; no shuffle, no seed of a partition."""
+    number = F.conv(F.substring(F.md5(name.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.where(number < fraction * 4294967296)

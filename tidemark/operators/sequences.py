@@ -44,17 +44,23 @@ class Slices:
     position: Column
     width: int
     heavy_rows: int = HEAVY_ROWS
+    column: str | None = None
+
+    def check(self, order: Sequence[str]) -> None:
+        """Slices in another order than the rows would change results for heavy keys only."""
+        if self.column is not None and (not order or order[0] != self.column):
+            raise ValueError(f"rows are cut by {self.column} but ordered by {list(order)}")
 
     def start(self) -> Column:
         return self.position - F.pmod(self.position, F.lit(self.width))
 
 
 def by_time(ts: str = "ts", width: str | int = "1 hour", heavy_rows: int = HEAVY_ROWS) -> Slices:
-    return Slices(F.unix_micros(F.col(ts)), micros(width), heavy_rows)
+    return Slices(F.unix_micros(F.col(ts)), micros(width), heavy_rows, ts)
 
 
 def by_number(column: str, width: int, heavy_rows: int = HEAVY_ROWS) -> Slices:
-    return Slices(F.col(column).cast("bigint"), width, heavy_rows)
+    return Slices(F.col(column).cast("bigint"), width, heavy_rows, column)
 
 
 @dataclass(frozen=True)
@@ -104,6 +110,7 @@ def running(
 
     Without keys all rows are one sequence; the summaries of its slices are then sliced once more.
     """
+    slices.check(order)
     frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     return apart(
         df,
@@ -160,6 +167,7 @@ def previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: Slices, columns: dict[str, str]
 ) -> DataFrame:
     """Adds, under new names, columns of the row before this one in its key (null on the first)."""
+    slices.check(order)
     lagged = lambda w: {new: F.lag(old).over(w) for old, new in columns.items()}
 
     def sliced(df: DataFrame) -> DataFrame:
@@ -196,6 +204,7 @@ def islands(
     the first and the last run of a slice can go on in another slice, so only those are put in
     sequence per key; every other run is already whole and stays spread over the cluster.
     """
+    slices.check(order)
     fields = [*order, *[v for v in values if v not in order]]
     merged = [MERGE[m.merge](m.name).alias(m.name) for m in measures]
     current = {v: F.col(v) for v in values}

@@ -34,7 +34,8 @@ def sliding(
 ) -> DataFrame:
     """Aggregates per key and sliding window; columns are the keys, ``window_end`` and the measures.
 
-    A stream goes through Spark's own window(). A table is first reduced to panes (the greatest
+    A stream goes through Spark's own window(), twice: tumbling panes first, and windows over those.
+    A table is first reduced to panes (the greatest
     length dividing size and slide), so that the size/slide-fold growth applies to pane totals and
     not to rows. Panes travel to at most two blocks of one window length, and are spread over
     their windows only there, so the shuffle carries two copies of a pane however small the slide.
@@ -42,8 +43,10 @@ def sliding(
     merged = [MERGE[m.merge](m.name).alias(m.name) for m in measures]
     if df.isStreaming:
         parts = [MERGE[m.merge](m.part).alias(m.name) for m in measures]
-        window = F.window(ts, spark_interval(size), spark_interval(slide)).alias("window")
-        return df.groupBy(window, *keys).agg(*parts).withColumn("window_end", F.col("window.end"))
+        pane = F.window(ts, f"{gcd(micros(size), micros(slide))} microseconds").alias("pane")
+        panes = df.groupBy(pane, *keys).agg(*parts).withColumn("pane_time", F.window_time("pane"))
+        window = F.window("pane_time", spark_interval(size), spark_interval(slide)).alias("window")
+        return panes.groupBy(window, *keys).agg(*merged).withColumn("window_end", F.col("window.end"))
     length, step = micros(size), micros(slide)
     pane_length = gcd(length, step)
     start = Slices(F.unix_micros(F.col(ts)), pane_length).start()

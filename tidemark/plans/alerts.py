@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.branch import tag_branch
 from tidemark.operators.joins import interval_join, reconcile
 from tidemark.operators.patterns import bursts, consecutive, followed_by, rising_runs
-from tidemark.operators.sequences import Measure, by_time, previous, running
+from tidemark.operators.sequences import HEAVY_ROWS, Measure, by_time, previous, running
 from tidemark.operators.windows import counted
 
 FAILED = "fail"
@@ -22,8 +22,9 @@ def login_failures(logins: DataFrame, times: int = 2, within: str = "2 seconds",
     return consecutive(logins, ["user_id"], "ts", "event_id", F.col("status") == FAILED, times, within, inclusive)
 
 
-def login_bursts(logins: DataFrame, within: int = 2, at_least: int = 2) -> DataFrame:
-    return bursts(logins, "user_id", "ts", "event_id", F.col("status") == FAILED, within, at_least)
+def login_bursts(logins: DataFrame, within: int = 2, at_least: int = 2, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    failed = F.col("status") == FAILED
+    return bursts(logins, "user_id", "ts", "event_id", failed, within, at_least, heavy_rows=heavy_rows)
 
 
 def payment_timeouts(orders: DataFrame, within: str = "15 minutes") -> DataFrame:
@@ -55,16 +56,20 @@ def temperature_branches(readings: DataFrame, limit: float = 30.0) -> DataFrame:
     return tag_branch(readings, F.col("temperature") > limit, "high", "low")
 
 
-def temperature_jumps(readings: DataFrame, threshold: float = 10.0, width: str = "1 hour") -> DataFrame:
+def temperature_jumps(
+    readings: DataFrame, threshold: float = 10.0, width: str = "1 hour", heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """Neighbouring readings of a sensor at least ``threshold`` apart."""
-    pairs = previous(readings, ["id"], ["ts", "event_id"], by_time("ts", width), {"temperature": "before"})
+    pairs = previous(readings, ["id"], ["ts", "event_id"], by_time("ts", width, heavy_rows), {"temperature": "before"})
     return pairs.where(F.abs(F.col("temperature") - F.col("before")) >= threshold).select(
         "id", "ts", "before", F.col("temperature").alias("after")
     )
 
 
-def temperature_rises(readings: DataFrame, at_least: str = "10 seconds", width: str = "1 hour") -> DataFrame:
-    return rising_runs(readings, ["id"], "ts", "event_id", "temperature", at_least, width)
+def temperature_rises(
+    readings: DataFrame, at_least: str = "10 seconds", width: str = "1 hour", heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    return rising_runs(readings, ["id"], "ts", "event_id", "temperature", at_least, width, heavy_rows)
 
 
 def reading_numbers(readings: DataFrame, width: str = "1 hour") -> DataFrame:
@@ -73,8 +78,10 @@ def reading_numbers(readings: DataFrame, width: str = "1 hour") -> DataFrame:
     return running(readings, ["id"], ["ts", "event_id"], by_time("ts", width), [one])
 
 
-def rolling_averages(readings: DataFrame, size: int = 10, slide: int = 2, width: str = "1 hour") -> DataFrame:
+def rolling_averages(
+    readings: DataFrame, size: int = 10, slide: int = 2, width: str = "1 hour", heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """Average of a sensor's last ``size`` readings after every ``slide`` readings."""
     parts = [Measure("_sum", "sum", F.col("temperature")), Measure("_n", "sum", F.lit(1).cast("bigint"))]
-    fired = counted(readings, ["id"], ["ts", "event_id"], by_time("ts", width), size, slide, parts)
+    fired = counted(readings, ["id"], ["ts", "event_id"], by_time("ts", width, heavy_rows), size, slide, parts)
     return fired.select("id", "firing", (F.col("_sum") / F.col("_n")).alias("avg_temp"))

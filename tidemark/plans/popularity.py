@@ -13,6 +13,7 @@ from tidemark.operators.joins import members_of
 from tidemark.operators.ranking import first_rows, top_n, top_ranked
 from tidemark.operators.sequences import Measure
 from tidemark.operators.windows import sliding
+from tidemark.session import scratch_dir
 
 
 def _ones(name: str = "n") -> Measure:
@@ -89,11 +90,15 @@ def hot_products_by_region(sales: DataFrame, products: DataFrame, cities: DataFr
 
     ``sales`` has one row per sale (product_id, city_id); it is counted by both before the
     dimensions are joined, so no hot product or city is joined row by row. Remarks are made for the
-    ranked products only.
+    ranked products only. The counts by area, product and city, far fewer than the sales, are
+    written once to the shared folder, as three steps read them.
     """
     counts = count_by(sales, ["product_id", "city_id"])
     named = counts.join(cities, "city_id").join(products, "product_id")
     by_city = named.groupBy("area", "product_name", "city_name").agg(F.sum("n").alias("n"))
+    path = scratch_dir(sales.sparkSession, "by_city")
+    by_city.write.parquet(path)
+    by_city = sales.sparkSession.read.parquet(path)
     totals = by_city.groupBy("area", "product_name").agg(F.sum("n").alias("_total"))
     ranks = top_ranked(totals, ["area"], "_total", max_rank).drop("_total")
     ranked = by_city.join(ranks, ["area", "product_name"])

@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 from tidemark.durations import micros, spark_interval
 from tidemark.operators.aggregates import bitmap_offset, distinct_per_window
 from tidemark.operators.ranking import top_n
+from tidemark.operators.sequences import Measure
+from tidemark.operators.windows import sliding
 
 
 def window_counts(
     stream: DataFrame, ts: str, delay: str | int, size: str | int, slide: str | int | None, keys: Sequence[str]
 ) -> DataFrame:
-    """Counts per key and window of a stream whose rows are at most ``delay`` late."""
-    window = F.window(ts, spark_interval(size), spark_interval(slide if slide is not None else size)).alias("window")
-    return stream.withWatermark(ts, spark_interval(delay)).groupBy(window, *keys).agg(F.count(F.lit(1)).alias("n"))
+    """Counts per key and window of a stream whose rows are at most ``delay`` late.
+
+    Sliding windows are summed from panes, so a pane and not a row goes to each of its windows.
+    """
+    marked, count = stream.withWatermark(ts, spark_interval(delay)), Measure("n", "sum", F.lit(1).cast("bigint"))
+    if slide is not None and slide != size:
+        return sliding(marked, ts, size, slide, keys, [count]).drop("window_end")
+    return marked.groupBy(F.window(ts, spark_interval(size)).alias("window"), *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def ranked_windows(key: str, n: int) -> Callable[[DataFrame], DataFrame]:

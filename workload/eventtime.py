@@ -327,3 +327,47 @@ def change_sync(spark, folder):
     changes = change_records(values, "id bigint, name string, age int")
     rows = sync.synchronised(changes, "id", ["event_id"], "cf1", ["name", "age"])
     return rows.select("id", F.to_json("cf1").alias("cf1"))
+
+
+@query("temperature_jumps_sliced", JUMPS)
+def temperature_jumps_sliced(spark, folder):
+    """As the plain form, with every key taken as a heavy one; so are the next four."""
+    return alerts.temperature_jumps(readings(spark, folder), width="6 hours", heavy_rows=1).select("id", "before", "after")
+
+
+@query("temperature_rises_sliced", f"SELECT id, run_start, run_end, n_rises FROM {RUNS}")
+def temperature_rises_sliced(spark, folder):
+    return rise_rows(alerts.temperature_rises(readings(spark, folder), "12 hours", "6 hours", heavy_rows=1))
+
+
+@query("rolling_averages_sliced", AVERAGES)
+def rolling_averages_sliced(spark, folder):
+    found = alerts.rolling_averages(readings(spark, folder), 10, 2, "6 hours", heavy_rows=1)
+    return found.select("id", "firing", F.round("avg_temp", 6).alias("avg_temp"))
+
+
+@query("session_windows_sliced", SESSIONS)
+def session_windows_sliced(spark, folder):
+    one = Measure("n", "sum", F.lit(1).cast("bigint"))
+    return session_rows(sessions(readings(spark, folder), "ts", "5 hours", ["id"], "event_id", [one], heavy_rows=1))
+
+
+@query("login_bursts_sliced", BURSTS)
+def login_bursts_sliced(spark, folder):
+    return alerts.login_bursts(logins(spark, folder), 6 * 3600, heavy_rows=1)
+
+
+@query(
+    "channel_counts_fine",
+    f"""SELECT channel, behaviour, count(*) AS windows, CAST(sum(n) AS BIGINT) AS total, max(n) AS most FROM (
+        SELECT channel, behaviour, window_end, count(*) AS n FROM (SELECT
+            CASE user_id % 3 WHEN 0 THEN 'app store' WHEN 1 THEN 'wechat' ELSE 'weibo' END AS channel, behaviour,
+            {ENDS.format(slide=5 * SECONDS, size=HOUR)} AS window_end FROM {BEHAVIOURS} WHERE behaviour <> 'error')
+        GROUP BY ALL) GROUP BY ALL""",
+)
+def channel_counts_fine(spark, folder):
+    """One hour every five seconds: 720 windows a row. What the windows hold, summed up by channel and behaviour."""
+    counts = traffic.channel_counts(as_actions(load(spark, folder, "events")), "error")
+    return counts.groupBy("channel", "behaviour").agg(
+        F.count(F.lit(1)).alias("windows"), F.sum("n").alias("total"), F.max("n").alias("most")
+    )

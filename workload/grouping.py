@@ -8,9 +8,10 @@ from tidemark.functions.tablefuncs import split_rows
 from tidemark.operators import aggregates, ranking
 from tidemark.operators.branch import words
 from tidemark.operators.joins import window_join
-from tidemark.operators.sequences import Measure, by_time, running
+from tidemark.operators.sequences import Measure, by_number, by_time, running
 from tidemark.operators.windows import epoch
 from tidemark.plans import alerts, popularity, traffic
+from tidemark.session import scratch_dir
 from tidemark.sources.files import access_log
 from tidemark.tables import as_log_lines, behaviours, cities, load, products, readings, sales, side, visits
 from workload.inputs import LOG
@@ -142,13 +143,19 @@ def word_count_pairs(spark, folder):
 
 @query(
     "word_count_maps",
-    f"""SELECT part, count(*) AS n_words, CAST(sum(n) AS BIGINT) AS total
-        FROM (SELECT word, left(word, 2) AS part, count(*) AS n FROM {WORDS} GROUP BY ALL) GROUP BY part""",
+    f"""SELECT CAST(part AS BIGINT) AS part, count(*) AS n_words, CAST(sum(n) AS BIGINT) AS total FROM (
+            SELECT CAST('0x' || left(md5(word), 8) AS BIGINT) % greatest((count(*) OVER () + 999) // 1000, 1) AS part, n
+            FROM (SELECT word, count(*) AS n FROM {WORDS} GROUP BY ALL)) GROUP BY part""",
 )
 def word_count_maps(spark, folder):
-    """Counts gathered into maps, one for each two first letters."""
+    """Counts gathered into maps by parts of the words' hashes: as many as keep a map near a thousand words."""
     counts = traffic.word_count(load(spark, folder, "documents"), "text")
-    maps = aggregates.as_map(counts, "word", "n", F.substring("word", 1, 2))
+    path = scratch_dir(spark, "counts")
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    parts = max(1, -(-counts.count() // 1000))
+    number = F.conv(F.substring(F.md5(F.col("word").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    maps = aggregates.as_map(counts, "word", "n", F.pmod(number, F.lit(parts)).cast("bigint"))
     total = F.aggregate(F.map_values("counts"), F.lit(0).cast("bigint"), lambda acc, n: acc + n)
     return maps.select("part", F.size("counts").cast("bigint").alias("n_words"), total.alias("total"))
 
@@ -191,20 +198,28 @@ def max_row_by_key(spark, folder):
     return aggregates.max_row(rows, ["id"], "temperature", ["event_id"])
 
 
-@query(
-    "running_max_row",
-    f"""SELECT id, event_id, arg_max(event_id, (temperature, -event_id)) OVER so_far AS max_event_id,
+MAX_ROWS = f"""SELECT id, event_id, arg_max(event_id, (temperature, -event_id)) OVER so_far AS max_event_id,
                max(temperature) OVER so_far AS max_temperature FROM {READINGS}
-        WINDOW so_far AS (PARTITION BY id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING)""",
-)
-def running_max_row(spark, folder):
-    rows = readings(spark, folder).select("id", "event_id", "temperature", F.unix_micros("ts").alias("us"))
-    slices = by_time("ts")
-    rows = rows.withColumn("ts", F.timestamp_micros("us"))
-    best = aggregates.running_max_row(rows.drop("us"), ["id"], "temperature", ["event_id"], slices)
+        WINDOW so_far AS (PARTITION BY id ORDER BY event_id ROWS UNBOUNDED PRECEDING)"""
+
+
+def _max_rows(spark, folder, slices):
+    rows = readings(spark, folder).select("id", "event_id", "temperature", "ts")
+    best = aggregates.running_max_row(rows, ["id"], "temperature", ["event_id"], slices)
     return best.select("id", "event_id", "max_event_id", "max_temperature")
 
 
+@query("running_max_row", MAX_ROWS)
+def running_max_row(spark, folder):
+    return _max_rows(spark, folder, by_number("event_id", 1_000_000))
+
+
+@query("running_max_row_sliced", MAX_ROWS)
+def running_max_row_sliced(spark, folder):
+    """Every key taken as a heavy one."""
+    return _max_rows(spark, folder, by_number("event_id", 2500, 1))
+
+
 @query(
     "rolling_reduce",
     f"""SELECT id, us // 1000000 AS s, event_id, max(temperature) OVER (PARTITION BY id ORDER BY us, event_id
@@ -277,13 +292,16 @@ def unique_visitors_bitmap_store(spark, folder):
               JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)) WHERE rank < 3""",
 )
 def rank_with_ties(spark, folder):
+    """The counts by area are written once: ranking reads them twice."""
     suppliers, lines = load(spark, folder, "supplier"), load(spark, folder, "lineitem")
     counts = aggregates.count_by(lines, ["l_suppkey"])
     named = counts.join(suppliers, counts.l_suppkey == suppliers.s_suppkey).join(
         cities(spark, folder), F.col("s_nationkey") == F.col("city_id")
     )
     items = F.floor(F.col("n") / 20).cast("bigint").alias("n_items")
-    return ranking.top_ranked(named.select("area", items, "s_name"), ["area"], "n_items", 2)
+    path = scratch_dir(spark, "items")
+    named.select("area", items, "s_name").write.parquet(path)
+    return ranking.top_ranked(spark.read.parquet(path), ["area"], "n_items", 2)
 
 
 HOT = """SELECT window_end, {key}, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY n DESC, {key}) AS rank
@@ -335,6 +353,19 @@ def hot_pages(spark, folder):
     return ranked_rows(popularity.hot_pages(log, slide="1 minute"), "url")
 
 
+FINE_PAGES = HOT.format(
+    key="url", slide=5, size=600, top=3,
+    rows=f"(SELECT url, s FROM {LOG} WHERE method = 'GET' AND NOT regexp_matches(url, '\\.(css|js|png|ico)$'))",
+)
+
+
+@query("hot_pages_fine", f"SELECT url, count(*) AS windows, CAST(sum(n) AS BIGINT) AS total FROM ({FINE_PAGES}) GROUP BY url")
+def hot_pages_fine(spark, folder):
+    """Ten minutes every five seconds; how often each page is among the first three, and with how many views."""
+    top = popularity.hot_pages(access_log(as_log_lines(load(spark, folder, "events"))), slide="5 seconds")
+    return top.groupBy("url").agg(F.count(F.lit(1)).alias("windows"), F.sum("n").alias("total"))
+
+
 @query(
     "top_brands_per_region",
     """SELECT area, p_brand, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY n DESC, p_brand) AS rank

@@ -146,6 +146,17 @@ def union_keep_duplicates(spark, folder):
     return rows.where("temperature > 30").union(rows.where("temperature > 60"))
 
 
+@query(
+    "sample_by_hash",
+    """SELECT event_id, event_type FROM events
+       WHERE CAST('0x' || left(md5('7:' || event_id), 8) AS BIGINT) < 0.4 * 4294967296""",
+)
+def sample_by_hash(spark, folder):
+    """A sample that any run, engine and partitioning repeats: rows whose hash is under a threshold."""
+    rows = load(spark, folder, "events").select("event_id", "event_type")
+    return branch.hash_sample(rows, F.concat(F.lit("7:"), F.col("event_id")), 0.4)
+
+
 @query("sample_with_replacement")
 def sample_with_replacement(spark, folder):
     return load(spark, folder, "events").select("event_id", "event_type").sample(True, 0.4, 7)
