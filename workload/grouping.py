@@ -341,13 +341,13 @@ def hot_items_sql(spark, folder):
     )
 
 
-@query(
-    "hot_pages",
-    HOT.format(
-        key="url", slide=60, size=600, top=3,
-        rows=f"(SELECT url, s FROM {LOG} WHERE method = 'GET' AND NOT regexp_matches(url, '\\.(css|js|png|ico)$'))",
-    ),
-)
+HOT_PAGES = HOT.format(
+    key="url", slide=60, size=600, top=3,
+    rows=f"(SELECT url, s FROM {LOG} WHERE method = 'GET' AND NOT regexp_matches(url, '\\.(css|js|png|ico)$'))",
+)
+
+
+@query("hot_pages", HOT_PAGES)
 def hot_pages(spark, folder):
     log = access_log(as_log_lines(load(spark, folder, "events")))
     return ranked_rows(popularity.hot_pages(log, slide="1 minute"), "url")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.durations import micros
 from tidemark.operators.aggregates import count_by
-from tidemark.operators.branch import words
+from tidemark.operators.branch import without_static, words
 from tidemark.operators.joins import interval_join
 from tidemark.operators.sequences import Measure
 from tidemark.operators.windows import epoch, sessions, sliding, tumbling
@@ -18,6 +18,7 @@ from tidemark.plans import alerts, sync
 from tidemark.session import scratch_dir
 from tidemark.sinks import keyed
 from tidemark.sources.external import change_records
+from tidemark.sources.files import access_log
 from tidemark.sources.streams import file_stream
 from tidemark.streaming import processors
 from tidemark.streaming import windows as streamed
@@ -36,6 +37,7 @@ from tidemark.tables import (
     as_arrivals,
     as_behaviours,
     as_change_values,
+    as_log_lines,
     as_logins,
     as_orders_and_payments,
     as_readings,
@@ -61,7 +63,7 @@ from workload.eventtime import (
     session_rows,
     timeout_rows,
 )
-from workload.grouping import BIT, HOT_ITEMS, PAYS, RECEIPTS, RECONCILED, WORD_COUNT, ranked_rows, reconciled_rows
+from workload.grouping import BIT, HOT_ITEMS, HOT_PAGES, PAYS, RECEIPTS, RECONCILED, WORD_COUNT, ranked_rows, reconciled_rows
 from workload.registry import BEHAVIOURS, HOUR, READINGS, query
 
 
@@ -109,6 +111,17 @@ def stream_hot_items(spark, folder):
     return ranked_rows(run_batches_to_table(counts, spark, streamed.ranked_windows("item_id", 5), [end]), "item_id")
 
 
+@query("stream_hot_pages", HOT_PAGES)
+def stream_hot_pages(spark, folder):
+    """Access-log lines as a stream. Their times are whole seconds, so the watermark waits a second more."""
+    stream = table_stream(stream_session(spark), folder, "events")
+    stream, end = with_end(stream, "ts", event_id=-1, event_type="view", user_id=0, props='{"k": 0}')
+    delay = micros(disorder(spark, f"{folder}/events.parquet", "ts")) + micros("1 second")
+    pages = without_static(access_log(as_log_lines(stream)).where("method = 'GET'"), "url")
+    counts = streamed.window_counts(pages, "ts", f"{delay} microseconds", "10 minutes", "1 minute", ["url"])
+    return ranked_rows(run_batches_to_table(counts, spark, streamed.ranked_windows("url", 3), [end]), "url")
+
+
 @query("stream_page_views", PAGE_VIEWS)
 def stream_page_views(spark, folder):
     """Salted counts per window, then a second stage that adds them up."""
