@@ -228,15 +228,17 @@ def test_restart_keeps_totals(spark, tmp_path):
 
 def test_keyed_merges_and_full_steps(spark, tmp_path):
     path = str(tmp_path / "keyed")
+    assert read_keyed(spark, path, ["k"], ["at"], schema="k bigint, v bigint, at bigint").count() == 0
     expected = {}
-    for step in range(7):
+    for step in range(12):
         made = [(k, step * 10 + k, step) for k in range(step % 3, 6, 2)]
         expected |= {k: v for k, v, _ in made}
         updates = spark.createDataFrame(made, "k bigint, v bigint, at bigint")
         for _ in range(2):  # a repeated batch changes nothing
             merge_keyed(updates, path, ["k"], ["at"], step, full_every=3)
     assert {r["k"]: r["v"] for r in read_keyed(spark, path, ["k"], ["at"]).collect()} == expected
-    assert any(p.name.startswith("full-") for p in (tmp_path / "keyed").iterdir())
+    steps = sorted(int(p.name.split("-")[1]) for p in (tmp_path / "keyed").iterdir())
+    assert any(p.name.startswith("full-") for p in (tmp_path / "keyed").iterdir()) and steps[0] > 0
 
 
 def test_late_updates_do_not_undo_newer_ones(spark, tmp_path):

@@ -2,7 +2,8 @@
 
 A keyed table is a folder of numbered steps. A merge writes only the updates, one row per key, so it
 costs what the updates cost and not what the table costs. Reading takes the newest full step and the
-updates after it, and keeps the last row of each key. Every few merges a full step is written.
+updates after it, and keeps the last row of each key. Every few merges a full step is written, and
+what lies before the full step before it is removed: readers that began earlier still find theirs.
 
 Spark moves a step's files into place when its job commits, and a step counts once its _SUCCESS
 marker is there, so a lost job or a repeated batch leaves nothing half written.
@@ -21,8 +22,8 @@ from tidemark.operators.changes import latest
 UPDATES, FULL = "updates", "full"
 
 
-def _steps(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """Finished steps from the newest full one on, as (number, kind) in order."""
+def _finished(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """All finished steps that are still there, as (number, kind) in order."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -33,7 +34,25 @@ def _steps(spark: SparkSession, path: str) -> list[tuple[int, str]]:
         kind, _, number = status.getPath().getName().partition("-")
         if kind in (UPDATES, FULL) and files.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
             found.append((int(number), kind))
-    found.sort()
+    return sorted(found)
+
+
+def _remove_old(spark: SparkSession, path: str) -> None:
+    """Removes the steps before the last full step but one."""
+    found = _finished(spark, path)
+    full = [number for number, kind in found if kind == FULL]
+    if len(full) < 2:
+        return
+    jvm = spark.sparkContext._jvm
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for number, kind in found:
+        if number < full[-2]:
+            files.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}-{number}"), True)
+
+
+def _steps(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Finished steps from the newest full one on, as (number, kind) in order."""
+    found = _finished(spark, path)
     start = max((i for i, (_, kind) in enumerate(found) if kind == FULL), default=0)
     return found[start:]
 
@@ -48,10 +67,15 @@ def _resolved(rows: DataFrame, keys: Sequence[str], order: Sequence[str], by_arr
 
 
 def read_keyed(
-    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], by_arrival: bool = True
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], by_arrival: bool = True, schema: str | None = None
 ) -> DataFrame:
-    """The table as the merges so far left it."""
-    return _resolved(_rows(spark, path, _steps(spark, path)), keys, order, by_arrival)
+    """The table as the merges so far left it. Before the first merge it is empty, and its schema must be given."""
+    steps = _steps(spark, path)
+    if not steps:
+        if schema is None:
+            raise ValueError(f"nothing was merged into {path} yet, and no schema is given")
+        return spark.createDataFrame([], schema)
+    return _resolved(_rows(spark, path, steps), keys, order, by_arrival)
 
 
 def merge_keyed(
@@ -80,6 +104,7 @@ def merge_keyed(
     else:
         rows = _rows(spark, path, done).unionByName(updates.withColumn("_step", F.lit(step)))
         _resolved(rows, keys, order, by_arrival).write.mode("overwrite").parquet(f"{path}/{FULL}-{step}")
+        _remove_old(spark, path)
 
 
 def merge_each_batch(
