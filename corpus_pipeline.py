@@ -38,8 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and whether they decode to the text."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bytebpe.encode(docs.select(*COLUMNS), ranks, public_tokenizers.PATTERN)
-    decoded = bytebpe.decode(coded, ranks)
+    decoded = bytebpe.encode(docs.select(*COLUMNS), ranks, public_tokenizers.PATTERN, decoded="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return decoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("same"))
 

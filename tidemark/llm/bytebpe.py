@@ -22,16 +22,19 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_column, id_lists, strings, text_of
 from tidemark.llm.splitting import Memo, lines_of
 
-STATES = 250_000
-WORDS = 400_000
+STATES = 100_000
+WORDS = 120_000
 NEVER = 1 << 62
 ID, LOW = 24, (1 << 24) - 1
 #: Bytes read before tokens are emitted; several times the longest token.
 WINDOW = 1024
+#: The state after so many first bytes is looked up whole.
+HEAD = 5
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -67,6 +70,7 @@ class Transducer:
     def _forget(self) -> None:
         self.states, self.numbers = [(0,)], {(0,): 0}
         self.moves: dict[int, int] = {}
+        self.heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}
 
     def _merges(self, number: int, last: bool) -> list[tuple[int, bytes]]:
         """How the bytes of a token merge: each step's rank and the last (or first) part after it. Begins with no step."""
@@ -91,7 +95,7 @@ class Transducer:
     def _compatible(self, left: int, right: int) -> bool:
         known = self.fits.get(left << ID | right)
         if known is None:
-            if len(self.fits) > 10 * self.limit:
+            if len(self.fits) > 4 * self.limit:
                 self.fits.clear()
             known = self.fits[left << ID | right] = self._apart(left - 1, right)
         return known
@@ -147,8 +151,10 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         if len(self.states) > self.limit:
             self._forget()
-        state, ids, last, known = 0, [], [], self.moves.get
-        for byte in piece:
+        ids, known, head = [], self.moves.get, piece[:HEAD]
+        state, last = self.heads.get(head, (0, ()))
+        last = [*last]
+        for byte in piece[HEAD if last else 0 :]:
             move = known(state << 8 | byte)
             if move is None:
                 move = self._move(state, byte)
@@ -159,6 +165,8 @@ class Transducer:
                 certain = set(chains[0]).intersection(*chains[1:])
                 ids += [last[end - 1] for end in sorted(certain)]
                 last = last[max(certain, default=0) :]
+            elif len(last) == HEAD and not ids:
+                self.heads[head] = (state, tuple(last))
         return ids + [last[end - 1] for end in reversed(self._back(last, len(last)))]
 
 
@@ -180,6 +188,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids, as little-endian 32-bit integers."""
+        self.trim()
         lines = lines_of(text) if text else []
         if lines is None:
             return self._chunk(text)
@@ -276,23 +285,42 @@ def _decoder(path: str) -> Decoder:
     return Decoder(read_ranks(path))
 
 
-def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds the token ids of each text; ranks is the path of a rank file, which every executor must hold."""
+def encode(
+    df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """Adds the token ids of each text; ranks is the path of a rank file, which every executor must hold.
+
+    With decoded, a column of that name gets what the ids decode to, in the same pass.
+    """
 
     def run(batch: pa.Array) -> pa.Array:
         encoder = _encoder(ranks, pattern)
         found = id_lists(map(encoder.encode, strings(batch)))
-        encoder.trim()
-        return found
+        if decoded is None:
+            return found
+        return pa.StructArray.from_arrays([found, _texts(found, _decoder(ranks))], names=["ids", "decoded"])
+
+    whole = text_of(df[text])
+    if decoded is None:
+        return df.withColumn(ids, arrow_column(run, "array<int>")(whole))
+    both = df.withColumn("__coded", arrow_column(run, "struct<ids:array<int>,decoded:string>")(whole))
+    return both.withColumns({ids: F.col("__coded.ids"), decoded: F.col("__coded.decoded")}).drop("__coded")
+
 
-    return df.withColumn(ids, arrow_column(run, "array<int>")(text_of(df[text])))
+def _texts(lists: pa.Array, decoder: Decoder) -> pa.Array:
+    ends, numbers = lists.offsets.to_numpy(), lists.values
+    if lists.null_count or numbers.null_count:
+        rows = [[i for i in row or () if i is not None] for row in lists.to_pylist()]
+    else:
+        numbers = numbers.to_numpy()
+        rows = (numbers[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True))
+    return pa.array(map(decoder.decode, rows), pa.string(), size=len(lists))
 
 
 def decode(df: DataFrame, ranks: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Adds the text that the ids of each row stand for."""
 
     def run(batch: pa.Array) -> pa.Array:
-        decoder = _decoder(ranks)
-        return pa.array([decoder.decode([i for i in row or () if i is not None]) for row in batch.to_pylist()], pa.string())
+        return _texts(batch, _decoder(ranks))
 
     return df.withColumn(text, arrow_column(run, "string")(df[ids].cast("array<int>")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,21 +30,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def strings(batch: pa.Array) -> list[str]:
-    """The texts of an Arrow column, null as empty."""
-    return ["" if t is None else t for t in batch.to_pylist()]
+def strings(batch: pa.Array) -> Iterator[str]:
+    """The texts of an Arrow column, null as empty, one at a time."""
+    for text in batch:
+        yield text.as_py() or ""
 
 
 def id_lists(packed: Iterable[bytes]) -> pa.Array:
     """An Arrow list<int32> column from the little-endian bytes of each row."""
     import numpy as np
 
-    packed = list(packed)
-    ends = np.cumsum([0] + [len(p) // 4 for p in packed])
+    whole, ends = bytearray(), [0]
+    for row in packed:
+        whole += row
+        ends.append(len(whole) // 4)
     if ends[-1] >= 2**31:
         raise ValueError("more than 2^31 ids in one batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-    values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-    return pa.ListArray.from_arrays(pa.array(ends.astype("int32")), values)
+    values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(whole)])
+    return pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), values)
 
 
 def arrow_column(function: Callable[[pa.Array], pa.Array], kind: str) -> Callable[..., Column]:

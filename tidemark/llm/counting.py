@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_column, strings, text_of
 from tidemark.llm.splitting import Memo, lines_of
 
-WORDS = 400_000
+WORDS = 150_000
 ID, PLACE = 24, 32
 #: The split of the library's byte-level pre-tokenizer. Below the code point AGREED it is done by the regex module,
 #: beyond by the library, whose Unicode tables are older.
@@ -108,6 +108,7 @@ class Counter:
         return feeds + sum(self.first[words[0]] + sum(map(after, words[1:])) for words in lines)
 
     def count(self, text: str) -> int:
+        self.trim()
         if self.special is None or not any(mark in text for mark in self.marks):
             return self._count(text)
         parts = self.special.split(text)
@@ -128,9 +129,7 @@ def count_tokens(df: DataFrame, vocabulary: str, text: str = "text", limit: int
 
     def run(batch: pa.Array) -> pa.Array:
         counter = _counter(vocabulary)
-        found = pa.array(list(map(counter.count, strings(batch))), pa.int64())
-        counter.trim()
-        return found
+        return pa.array(list(map(counter.count, strings(batch))), pa.int64())
 
     whole = text_of(df[text])
     counted = df.withColumns(

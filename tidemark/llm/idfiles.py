@@ -33,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import strings, text_of
 from tidemark.session import scratch_dir
 
 SEGMENT_IDS, SEGMENT_DOCS = 1 << 21, 1 << 15
 BLOCK = 512
-WORDS = 600_000
+WORDS = 300_000
+#: Texts whose new words go to the library together.
+TEXTS = 512
 LAYOUT = "shard int, segment int, n_docs long, n_ids long, payload binary"
 
 
@@ -187,8 +189,9 @@ def write_ids(df: DataFrame, vocabulary: str, path: str, end: int = 1, key: str
             )
 
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"].to_pylist()]
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(texts), strict=True):
+            some = (list(strings(batch["text"].slice(at, TEXTS))) for at in range(0, len(batch), TEXTS))
+            coded = (ids for texts in some for ids in encoder.encode(texts))
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), coded, strict=True):
                 keys.append(doc_id)
                 lengths.append(len(ids) // 4)
                 parts.append(ids)

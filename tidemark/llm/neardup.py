@@ -50,11 +50,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def _words() -> Memo:
     import xxhash
 
-    return Memo(xxhash.xxh3_64_intdigest, 200_000)
+    return Memo(xxhash.xxh3_64_intdigest, 150_000)
 
 
 def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of a text, as ascending 64-bit hashes, and how often each occurs."""
+    _words().trim()
     words = text.encode().split()
     if not words:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -82,7 +83,6 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
                 cells += np.bincount(_cells(keys), minlength=len(cells)) if len(keys) > 50_000 else 0
                 if len(keys) <= 50_000:
                     np.add.at(cells, _cells(keys), 1)
-            _words().trim()
         used = np.flatnonzero(cells)
         numbers, counts = np.append(used, -1), np.append(cells[used], docs)
         yield pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int32)), pa.array(counts)], names=["cell", "n"])
@@ -177,8 +177,7 @@ def _distinct_texts(rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """One row per text: __key, smallest id, rows with that id, rows, and the bucket of each band."""
 
     def run(batch: pa.Array) -> pa.Array:
-        columns = _bands(strings(batch), idf)
-        _words().trim()
+        columns = _bands(list(strings(batch)), idf)
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     names = [f"b{i}" for i in range(BANDS)]
@@ -215,7 +214,6 @@ def _verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarr
                 known[name] = one is not None and max(similarities(shingles(text), one, idf)) >= LEAST - 1e-9
                 if known[name]:
                     found.append(name)
-        _words().trim()
         others = [members["b"][0].as_py()] * len(found) if len(members) else []
         return pa.table({"a": pa.array(found, pa.binary()), "b": pa.array(others, pa.binary())})
 

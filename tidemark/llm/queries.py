@@ -53,8 +53,7 @@ def chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_byte_bpe")
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = bytebpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    return bytebpe.decode(coded, RANKS).select(
+    return bytebpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

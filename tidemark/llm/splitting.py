@@ -21,15 +21,19 @@ def lines_of(text: str) -> list[list[str]] | None:
 
 
 class Memo(dict):
-    """Remembers a function's results; emptied by trim() when it has grown over its limit."""
+    """Remembers a function's results: those since the last trim() that found it full, and those of the time before."""
 
     def __init__(self, function: Callable[[str], Any], limit: int):
-        self.function, self.limit = function, limit
+        self.function, self.limit, self.older = function, limit, {}
 
     def __missing__(self, key: str) -> Any:
-        value = self[key] = self.function(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
+        self[key] = value
         return value
 
     def trim(self) -> None:
         if len(self) > self.limit:
+            self.older = dict(self)
             self.clear()
