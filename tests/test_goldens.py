@@ -90,7 +90,10 @@ def test_integer_average(spark, folder):
     assert users.agg(agg_functions.integer_average("age")).first()[0] == 30
     agg_functions.register(spark)
     users.createOrReplaceTempView("users")
-    assert spark.sql("SELECT int_avg(age), avg_temp(CAST(age AS DOUBLE)) FROM users").first() == (30, 30.0)
+    averages = "int_avg_of(sum(age), count(age)), avg_of(sum(CAST(age AS DOUBLE)), count(age))"
+    assert spark.sql(f"SELECT {averages} FROM users").first() == (30, 30.0)
+    assert spark.sql(f"SELECT {averages} FROM users WHERE age > 99").first() == (None, None)
+    assert spark.sql("SELECT int_avg_of(sum(n), count(n)) FROM VALUES (-3), (-4) AS t(n)").first()[0] == -3
     assert users.where("age > 99").agg(agg_functions.integer_average("age")).first()[0] is None
 
 
@@ -188,6 +191,8 @@ def test_string_hash_beyond_basic_plane(spark):
     texts = ["", "a", "a😀é", "商品_1", "x" * 300]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(scalars.string_hash("t", 1)).collect()] == [expected(t) for t in texts]
+    scalars.register(spark)
+    assert [r[0] for r in df.selectExpr("string_hash(t, 1)").collect()] == [expected(t) for t in texts]
 
 
 def test_split_rows(spark, sensor):
@@ -196,6 +201,9 @@ def test_split_rows(spark, sensor):
     tablefuncs.register(spark, "_")
     ids.createOrReplaceTempView("ids")
     assert rows(spark.sql("SELECT word, length FROM ids, LATERAL split_words(ids.id)")) == [("10", 2), ("sensor", 6)]
+    odd = "VALUES (''), ('_'), ('a__b_'), (NULL) AS t(s)"
+    split = spark.sql(f"SELECT s, word FROM {odd}, LATERAL split_words(t.s)")
+    assert rows(split) == [("", ""), ("a__b_", ""), ("a__b_", "a"), ("a__b_", "b")]
 
 
 def test_sliding_counts_and_hot_items(behaviours):
