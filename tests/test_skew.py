@@ -173,8 +173,8 @@ def test_followed_by(events, width):
     opens, closes = F.col("status") == "success", F.col("temperature") > 15
     kinds = events.where(~(opens & closes))
     found = patterns.followed_by(kinds, ["id"], *ORDER, opens, closes, "15 seconds", width)
-    later = kinds.where(closes).select(F.col("id").alias("k"), F.col("ts").alias("t"), F.col("event_id").alias("e"))
-    in_time = F.expr("id <=> k AND struct(t, e) > struct(ts, event_id) AND unix_seconds(t) - unix_seconds(ts) < 15")
+    later = kinds.where(closes).select(F.col("id").alias("k"), F.col("ts").alias("t"))
+    in_time = F.expr("id = k AND t >= ts AND unix_seconds(t) - unix_seconds(ts) < 15")
     expected = kinds.where(opens).join(later, in_time, "left").groupBy("id", F.col("ts").alias("opened_ts"), "event_id").agg(F.min("t").alias("closed_ts"))
     same(found, expected)
 
