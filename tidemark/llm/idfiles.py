@@ -41,6 +41,8 @@ BLOCK = 512
 WORDS = 300_000
 #: Texts whose new words go to the library together.
 TEXTS = 512
+#: Words that make one text for it.
+LOT = 256
 LAYOUT = "shard int, segment int, n_docs long, n_ids long, payload binary"
 
 
@@ -144,6 +146,15 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _of_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words with their ids, from one text of them all; a token belongs to the word in which it begins."""
+        starts = np.cumsum([0] + [len(word) + 1 for word in words])
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        cuts = np.searchsorted(np.array([begin for begin, _ in found.offsets]), starts).tolist()
+        for word, a, b in zip(words, cuts[:-1], cuts[1:], strict=True):
+            yield word, ids[a:b].tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.whole:
             return [ids + self.end for ids in self._ids(texts)]
@@ -151,8 +162,8 @@ class Encoder:
         if len(self.known) > WORDS:
             self.known.clear()
         new = list(set().union(*(w for w in words if w)) - self.known.keys())
-        for at in range(0, len(new), 10_000):
-            self.known.update(zip(new[at : at + 10_000], self._ids(new[at : at + 10_000]), strict=True))
+        for at in range(0, len(new), LOT):
+            self.known.update(self._of_words(new[at : at + LOT]))
         known = self.known.__getitem__
         return [
             (self._ids([t])[0] if w is None else b"".join(map(known, w))) + self.end
