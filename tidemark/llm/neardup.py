@@ -8,8 +8,8 @@ its own shingles common: undamped, the single words that a copy changes would ou
 
 Improved consistent weighted sampling draws BANDS * ROWS samples of each text; two texts draw the same sample with a
 probability equal to their weighted Jaccard similarity. ROWS samples make a band; texts that share a band are
-candidates. In every band the texts that collide most over all bands are pivots, and the others are compared with them:
-with the first pivot, then, where components still differ, with further ones. A pair is linked if its weighted Jaccard
+candidates. In every band the texts that collide most over all bands are pivots: all others are compared with the first,
+and those that are not in its component then with the next ones. A pair is linked if its weighted Jaccard
 similarity, or the plain one of its shingle sets, is at least 0.8. Classes are the connected components of the links.
 
 Equal texts are one node, whatever their number; nothing is compared twice for them. Null and empty texts are equal
@@ -36,7 +36,7 @@ SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 10, 3
 CELL_BITS = 18
 DAMP = 0.25
-PIVOTS = 4
+PIVOTS = 16
 MEMBERS = 256
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -224,27 +224,29 @@ def _linked(texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """Node and component of all texts that are like another."""
     buckets = F.explode(F.array(*(F.col(f"b{i}") for i in range(BANDS)))).alias("bucket")
     bands = texts.filter("b0 IS NOT NULL").select("__key", buckets)
-    crowd = bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    # tables that a bucket's rows meet are written first: a join of two plain shuffles can split a hot bucket
+    crowd = kept_table(bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "crowd")
     bands = kept_table(bands.join(crowd, "bucket"), "bands")
-    degree = bands.groupBy(F.col("__key").alias("node")).agg(F.sum("n").alias("degree"))
+    degree = kept_table(bands.groupBy(F.col("__key").alias("node")).agg(F.sum("n").alias("degree")), "degree")
     bands = kept_table(bands.join(degree, bands["__key"] == degree["node"]).select("bucket", "__key", "degree"), "bands")
     order = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "__key")
     first = bands.withColumn("place", F.row_number().over(order)).filter("place = 1")
-    first = first.select("bucket", F.col("__key").alias("b"))
+    first = kept_table(first.select("bucket", F.col("__key").alias("b")), "first")
     pairs = bands.join(first, "bucket").filter("__key != b").select(F.col("__key").alias("a"), "b").distinct()
     links = kept_table(_verified(kept_table(pairs, "pairs"), texts, rows, idf), "links")
     found = components(links)
-    # where a band still holds several components, its members meet the most central member of each of the first few
+    # members that are not with the band's first pivot meet the next ones too, whatever component those are in
     known = found.select(F.col("node").alias("at"), "component")
     here = bands.join(known, bands["__key"] == known["at"], "left").select(
         "bucket", "__key", "degree", F.coalesce("component", "__key").alias("component")
     )
     here = kept_table(here, "bands")
-    central = Window.partitionBy("bucket", "component").orderBy(F.col("degree").desc(), "__key")
-    heads = here.withColumn("place", F.row_number().over(central)).filter("place = 1").drop("place")
-    heads = heads.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PIVOTS)
-    heads = heads.select("bucket", F.col("__key").alias("b"), F.col("component").alias("other"))
-    pairs = here.join(heads, "bucket").filter("component != other").select(
+    ranked = here.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PIVOTS)
+    heads = ranked.select("bucket", F.col("__key").alias("b"), F.col("component").alias("other"), "place")
+    heads = kept_table(heads, "heads")
+    main = heads.filter("place = 1").select("bucket", F.col("other").alias("main"))
+    left = kept_table(here.join(main, "bucket").filter("component <> main").drop("main"), "left")
+    pairs = left.join(heads, "bucket").filter("component <> other").select(
         F.least("__key", "b").alias("a"), F.greatest("__key", "b").alias("b")
     )
     tried = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
