@@ -70,6 +70,41 @@ def test_near_duplicates(spark, corpus):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(expected))
 
 
+def test_no_link_of_a_band_is_lost(spark, monkeypatch):
+    """A large cluster, and more small ones than a round has pivots, all in one band and with a passage in common."""
+    draw = random.Random(12)
+    passage, texts = prose(draw, 30), []
+    for copies in [40] + [2] * 40:
+        base = prose(draw, 100)
+        for _ in range(copies):
+            copy = list(base)
+            copy[draw.randrange(len(copy))] = f"new{draw.randint(0, 10**6)}"
+            texts.append(" ".join(passage + copy))
+    rows = list(enumerate(texts))
+    expected = classes_of([(i, j) for i, a in rows for j, b in rows[:i] if plain_similarity(a, b) >= 0.8], len(rows))
+    one_band = {f"b{i}": F.lit(i).cast("long") for i in range(neardup.BANDS)}
+    signed = neardup._distinct_texts
+    monkeypatch.setattr(neardup, "_distinct_texts", lambda *a: signed(*a).withColumns(one_band))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()} == dict(enumerate(expected))
+
+
+def test_near_texts_share_a_rare_shingle():
+    draw = random.Random(13)
+    idf = np.random.default_rng(13).uniform(1, 1.25, 1 << neardup.CELL_BITS).astype(np.float32)
+    near = 0
+    for i in range(400):
+        base = prose(draw, draw.randint(1, 120)) + ["x"] * (i % 40)
+        other = list(base)
+        for _ in range(draw.randint(0, 3)):
+            other[draw.randrange(len(other))] = "other"
+        a, b = " ".join(base), " ".join(other)
+        if max(neardup.similarities(neardup.shingles(a), neardup.shingles(b), idf)) >= 0.8:
+            near += 1
+            assert set(neardup._prefix(a, idf).tolist()) & set(neardup._prefix(b, idf).tolist())
+    assert near > 50
+
+
 def test_repeated_rows_and_empty_tables(spark):
     rows = [(1, "a b c d e f")] * 4 + [(None, "a b c d e f"), (None, "x"), (2, "x"), (2, "y y y"), (None, "null id")]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -8,18 +8,23 @@ its own shingles common: undamped, the single words that a copy changes would ou
 
 Improved consistent weighted sampling draws BANDS * ROWS samples of each text; two texts draw the same sample with a
 probability equal to their weighted Jaccard similarity. ROWS samples make a band; texts that share a band are
-candidates. In every band the texts that collide most over all bands are pivots: all others are compared with the first,
-and those that are not in its component then with the next ones. A pair is linked if its weighted Jaccard
-similarity, or the plain one of its shingle sets, is at least 0.8. Classes are the connected components of the links.
+candidates. In every band the text that collides most over all bands is the first pivot, with which all others are
+compared. Then, round by round, more of those outside the band's largest component become pivots and are compared with all
+members of other components, until each of them has been a pivot or has come into that component: no link between
+candidates is lost. Pairs without a rare shingle in common (see _prefix) can't be near and are left out. A pair is linked
+if its weighted Jaccard similarity, or the plain one of its shingle sets, is at least 0.8. Classes are the connected
+components of the links.
 
 Equal texts are one node, whatever their number; nothing is compared twice for them. Null and empty texts are equal
 texts. A text without words has no shingle and only equals its copies. Class ids are the smallest doc_id of the class
 (null if it has none); rows with the same doc_id and different texts are told apart. Nothing is capped: a band of any
-size is joined with its pivots by a skew-safe join, and the members of a hot pivot are split over tasks.
+size is joined with its pivots by a skew-safe join, and the members of a hot pivot are split over tasks. The work of the
+rounds is the leftovers times those texts of their band that share rare shingles with them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,7 +41,8 @@ SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 10, 3
 CELL_BITS = 18
 DAMP = 0.25
-PIVOTS = 16
+#: Pivots of a band in the first round of its leftovers, and in any: a round's pairs are bounded, their sum is not.
+PIVOTS, MOST = 16, 256
 MEMBERS = 256
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -189,14 +195,19 @@ def _distinct_texts(rows: DataFrame, idf: np.ndarray) -> DataFrame:
     return ids.groupBy("__key").agg(first, F.sum("rows").alias("copies"), *(F.max(n).alias(n) for n in names))
 
 
+def _given(wanted: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """__key and text of the wanted keys (want); once for each row that repeats the first in full."""
+    wanted = wanted.join(texts, wanted["want"] == texts["__key"]).select("want", F.col("first.id").alias("want_id"))
+    there = (rows["__key"] == wanted["want"]) & rows["__id"].eqNullSafe(wanted["want_id"])
+    return rows.join(wanted, there).select("__key", F.col("__text").alias("text"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """The pairs (a, b) that are similar; b is the pivot, and its members are split over tasks."""
     parts = pairs.groupBy(F.col("b").alias("pivot")).agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
     parts = kept_table(parts, "parts")
     wanted = pairs.select(F.col("a").alias("want")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(texts, wanted["want"] == texts["__key"]).select("want", F.col("first.id").alias("want_id"))
-    there = (rows["__key"] == wanted["want"]) & rows["__id"].eqNullSafe(wanted["want_id"])
-    given = kept_table(rows.join(wanted, there).select("__key", F.col("__text").alias("text")), "given")
+    given = kept_table(_given(wanted, texts, rows), "given")
     member = pairs.join(parts, pairs["b"] == parts["pivot"]).select(
         "a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).alias("part")
     )
@@ -220,6 +231,48 @@ def _verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarr
     return member.groupBy("b", "part").cogroup(pivot.groupBy("to", "to_part")).applyInArrow(similar, "a binary, b binary")
 
 
+def _unsettled(left: DataFrame, found: DataFrame) -> DataFrame:
+    """Bands in which a text outside the largest component (main) has yet to meet another, with the texts' components."""
+    known = found.select(F.col("node").alias("at"), "component")
+    here = left.join(known, left["__key"] == known["at"], "left").select(
+        "bucket", "__key", "degree", "done", F.coalesce("component", "__key").alias("component")
+    )
+    here = kept_table(here, "bands")
+    parts = here.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum((~F.col("done")).cast("long")).alias("open"))
+    largest = F.struct("n", "component")
+    main = parts.groupBy("bucket").agg(
+        F.max_by("component", largest).alias("main"), F.max_by("open", largest).alias("joined"), F.sum("open").alias("open")
+    )
+    main = kept_table(main.filter("open > joined AND open > 1").select("bucket", "main"), "main")
+    return kept_table(here.join(main, "bucket"), "bands")
+
+
+def _prefix(text: str, idf: np.ndarray) -> np.ndarray:
+    """The rarest shingles of a text: texts that are near by either similarity have one of them in common.
+
+    All that two texts share stands, in the order of rarity, behind the first that they share. If that one is not among
+    those given here, what follows is too little for LEAST.
+    """
+    keys, counts = shingles(text)
+    heavy, least = weights(keys, counts, idf), LEAST - 1e-6
+    order = np.lexsort((keys, -idf[_cells(keys)]))
+    tail = heavy.sum() - np.cumsum(heavy[order])
+    return keys[order][: max(len(keys) - math.ceil(least * len(keys)), int((tail >= least * heavy.sum()).sum())) + 1]
+
+
+def _refined(bands: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Bands split by the shingles of prefixes: no near pair is parted, and texts that only share a passage don't meet."""
+
+    def run(batch: pa.Array) -> pa.Array:
+        return pa.array([_prefix(t, idf).view(np.int64) for t in strings(batch)], pa.list_(pa.int64()))
+
+    given = _given(bands.select(F.col("__key").alias("want")).distinct(), texts, rows)
+    rare = given.select(F.col("__key").alias("of"), F.explode(arrow_column(run, "array<long>")("text")).alias("rare"))
+    rare = kept_table(rare.distinct(), "rare")
+    bucket = F.xxhash64("bucket", "rare").alias("bucket")
+    return bands.join(rare, bands["__key"] == rare["of"]).select(bucket, "__key", "degree", "done")
+
+
 def _linked(texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """Node and component of all texts that are like another."""
     buckets = F.explode(F.array(*(F.col(f"b{i}") for i in range(BANDS)))).alias("bucket")
@@ -233,26 +286,36 @@ def _linked(texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
     first = bands.withColumn("place", F.row_number().over(order)).filter("place = 1")
     first = kept_table(first.select("bucket", F.col("__key").alias("b")), "first")
     pairs = bands.join(first, "bucket").filter("__key != b").select(F.col("__key").alias("a"), "b").distinct()
-    links = kept_table(_verified(kept_table(pairs, "pairs"), texts, rows, idf), "links")
+    seen = kept_table(pairs, "pairs")
+    links = kept_table(_verified(seen, texts, rows, idf), "links")
     found = components(links)
-    # members that are not with the band's first pivot meet the next ones too, whatever component those are in
-    known = found.select(F.col("node").alias("at"), "component")
-    here = bands.join(known, bands["__key"] == known["at"], "left").select(
-        "bucket", "__key", "degree", F.coalesce("component", "__key").alias("component")
-    )
-    here = kept_table(here, "bands")
-    ranked = here.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PIVOTS)
-    heads = ranked.select("bucket", F.col("__key").alias("b"), F.col("component").alias("other"), "place")
-    heads = kept_table(heads, "heads")
-    main = heads.filter("place = 1").select("bucket", F.col("other").alias("main"))
-    left = kept_table(here.join(main, "bucket").filter("component <> main").drop("main"), "left")
-    pairs = left.join(heads, "bucket").filter("component <> other").select(
-        F.least("__key", "b").alias("a"), F.greatest("__key", "b").alias("b")
-    )
-    tried = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = kept_table(pairs.distinct(), "pairs")
-    more = kept_table(_verified(pairs, texts, rows, idf), "links")
-    return components(tried.union(more)) if more.head(1) else found
+    left = bands.join(first, "bucket").withColumn("done", F.col("__key") == F.col("b")).drop("b")
+    here = _unsettled(left, found)
+    if not here.head(1):
+        return found
+    # texts outside a band's largest component become pivots in turn, until all have been one or have come into it
+    left = _refined(here, texts, rows, idf)
+    heads = PIVOTS
+    while True:
+        here = _unsettled(left, found)
+        if not here.head(1):
+            return found
+        ranked = here.filter("component <> main AND NOT done").withColumn("place", F.row_number().over(order))
+        pivots = ranked.filter(F.col("place") <= heads).select("bucket", F.col("__key").alias("b"), F.col("component").alias("other"))
+        pivots = kept_table(pivots, "heads")
+        pairs = here.filter("NOT done").join(pivots, "bucket").filter("component <> other")
+        pairs = pairs.select(F.col("__key").alias("a"), "b").distinct()
+        tried = seen.union(seen.select("b", "a")).toDF("a", "b")
+        pairs = kept_table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        was = pivots.select(F.col("bucket").alias("of"), "b")
+        left = here.join(was, (here["bucket"] == was["of"]) & (here["__key"] == was["b"]), "left").select(
+            "bucket", "__key", "degree", (F.col("done") | F.col("b").isNotNull()).alias("done")
+        )
+        more = kept_table(_verified(pairs, texts, rows, idf), "links")
+        seen, links = seen.union(pairs), links.union(more)
+        if more.head(1):
+            found = components(links)
+        heads = min(4 * heads, MOST)
 
 
 def _classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
