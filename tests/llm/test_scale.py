@@ -133,6 +133,19 @@ def test_samples_collide_as_weighted_jaccard():
         assert abs(np.mean(rates) - wanted) < 0.05
 
 
+def test_plain_links_have_bands_of_their_own():
+    """The same shingles, but one text repeats a line: plain similarity 1, weighted under 0.5."""
+    draw = random.Random(14)
+    idf, met = np.ones(1 << neardup.CELL_BITS, np.float32), 0
+    for _ in range(60):
+        line, rest = prose(draw, 40), prose(draw, 60)
+        a, b = " ".join(rest + line * 2), " ".join(rest + line * 50)
+        assert plain_similarity(a, b) >= 0.8
+        columns = neardup._bands([a, b], idf)
+        met += any(x == y for x, y in columns)
+    assert met >= 58
+
+
 def test_components(spark):
     draw = random.Random(2)
     links = [(i, i + 1) for i in range(40)] + [(draw.randint(100, 200), draw.randint(100, 200)) for _ in range(60)]

@@ -6,8 +6,9 @@ frequencies come from a sketch of fixed size: shingles are counted over all docu
 depends on the share of documents and the sketch doesn't grow. idf is damped because a text that is copied often makes
 its own shingles common: undamped, the single words that a copy changes would outweigh all that it shares.
 
-Improved consistent weighted sampling draws BANDS * ROWS samples of each text; two texts draw the same sample with a
-probability equal to their weighted Jaccard similarity. ROWS samples make a band; texts that share a band are
+Improved consistent weighted sampling draws WEIGHTED * ROWS samples of each text; two texts draw the same sample with a
+probability equal to their weighted Jaccard similarity. As many samples are drawn of the plain shingle sets, for pairs that
+only the plain similarity makes near. ROWS samples make a band; texts that share a band are
 candidates. In every band the text that collides most over all bands is the first pivot, with which all others are
 compared. Then, round by round, more of those outside the band's largest component become pivots and are compared with all
 members of other components, until each of them has been a pivot or has come into that component: no link between
@@ -38,7 +39,8 @@ from tidemark.llm.graph import components
 from tidemark.llm.splitting import Memo
 
 SHINGLE, LEAST = 5, 0.8
-BANDS, ROWS = 10, 3
+#: Bands of weighted samples, and all: the others are of unweighted ones.
+WEIGHTED, BANDS, ROWS = 10, 20, 3
 CELL_BITS = 18
 DAMP = 0.25
 #: Pivots of a band in the first round of its leftovers, and in any: a round's pairs are bounded, their sum is not.
@@ -126,7 +128,7 @@ def samples(keys: np.ndarray, log_weights: np.ndarray, starts: np.ndarray) -> np
     """One row per text, one consistent weighted sample (as a 32-bit hash of shingle and level) per column."""
     gamma, log_gamma = _gamma()
     low, half, unit = np.uint64(4095), np.uint64(32), np.float32(2.0**-20)
-    out = np.empty((len(starts), BANDS * ROWS), np.uint64)
+    out = np.empty((len(starts), WEIGHTED * ROWS), np.uint64)
     for k, seed in enumerate(np.arange(1, out.shape[1] + 1, dtype=np.uint64) * _A):
         drawn = _mixed(keys ^ seed)
         drawn *= _A
@@ -141,6 +143,14 @@ def samples(keys: np.ndarray, log_weights: np.ndarray, starts: np.ndarray) -> np
     return out
 
 
+def plain_samples(keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """As samples, from sets of shingles without weights: two texts draw the same with their plain similarity."""
+    out = np.empty((len(starts), (BANDS - WEIGHTED) * ROWS), np.uint64)
+    for k, seed in enumerate(np.arange(1, out.shape[1] + 1, dtype=np.uint64) * _B):
+        out[:, k] = np.minimum.reduceat(_mixed(keys ^ seed) * _A >> np.uint64(32), starts)
+    return out
+
+
 def _bands(texts: list[str], idf: np.ndarray) -> list[list[int | None]]:
     """By band, the bucket of each text; None for a text without words."""
     found = [shingles(t) for t in texts]
@@ -155,7 +165,7 @@ def _bands(texts: list[str], idf: np.ndarray) -> list[list[int | None]]:
         keys = np.concatenate([found[i][0] for i in now])
         starts = np.concatenate([[0], np.cumsum([len(found[i][0]) for i in now])[:-1]])
         heavy = np.log(np.concatenate([weights(*found[i], idf) for i in now])).astype(np.float32)
-        drawn = samples(keys, heavy, starts)
+        drawn = np.hstack([samples(keys, heavy, starts), plain_samples(keys, starts)])
         for band in range(BANDS):
             bucket = np.full(len(now), band + 1, np.uint64)
             for part in drawn[:, band * ROWS : (band + 1) * ROWS].T:
