@@ -271,16 +271,22 @@ def _prefix(text: str, idf: np.ndarray) -> np.ndarray:
 
 
 def _refined(bands: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Bands split by the shingles of prefixes: no near pair is parted, and texts that only share a passage don't meet."""
+    """The bands' texts by shingles of their prefixes: near pairs stay together, and texts that only share a passage don't meet.
+
+    A group holds the texts of all bands that have the shingle, once for each text and not for each of its bands; so none
+    has met the whole group yet.
+    """
 
     def run(batch: pa.Array) -> pa.Array:
         return pa.array([_prefix(t, idf).view(np.int64) for t in strings(batch)], pa.list_(pa.int64()))
 
-    given = _given(bands.select(F.col("__key").alias("want")).distinct(), texts, rows)
+    known = kept_table(bands.groupBy("__key").agg(F.max("degree").alias("degree")), "known")
+    given = _given(known.select(F.col("__key").alias("want")), texts, rows)
     rare = given.select(F.col("__key").alias("of"), F.explode(arrow_column(run, "array<long>")("text")).alias("rare"))
     rare = kept_table(rare.distinct(), "rare")
-    bucket = F.xxhash64("bucket", "rare").alias("bucket")
-    return bands.join(rare, bands["__key"] == rare["of"]).select(bucket, "__key", "degree", "done")
+    return rare.join(known, rare["of"] == known["__key"]).select(
+        F.col("rare").alias("bucket"), "__key", "degree", F.lit(False).alias("done")
+    )
 
 
 def _linked(texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
