@@ -86,6 +86,15 @@ def test_main_text_of_a_page():
     assert found == ["Headé &am", "First line", "Second <b> para graph ©", "one", "two", "a < b", "tail"]
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "with-comments", "site no-header", "sidebar"])
+def test_names_do_not_empty_a_page(name):
+    page = f"<div class='{name}'><div class=ad>buy</div><article><h1 class=entry-header>T</h1><p class=share-price>5</p>"
+    page += "<p>a <math><mi>x</mi></math> b</p><xmp><b>&amp;</xmp></article></div>"
+    assert [text for _, text, _ in html.blocks(page)] == ["T", "5", "a x b", "<b>&amp;"]
+    page = f"<div class='{name}'><p>{'most of the text ' * 9}</p></div><p>rest</p><div class=ad>buy</div>"
+    assert [text for _, text, _ in html.blocks(page)] == [" ".join(["most of the text"] * 9), "rest"]
+
+
 def test_pages(spark):
     rows = [(1, "http://a.b/x", PAGE), (1, "http://a.b/x", PAGE), (2, None, None), (3, "u", ""), (4, "http://c.d/", "just text"), (5, "http://c.d/", "<p>x<script>never ends")]
     shared = "<div class=box>Same everywhere</div><div>Page {0} text</div>"

@@ -2,8 +2,9 @@
 
 Pages are read into blocks: text between the edges of block elements, with the path of open block elements (tags and
 their classes) as its *style node*. Blocks inside elements that are never article text by tag (menus, forms, scripts ...)
-or by a word of class, id or role (advert, comment, cookie ...) are left out, and on a page with an article or main
-element everything outside of it.
+or by a token of class, id or role (advert, comment, cookie ...) are left out, and on a page with an article or main
+element everything outside of it. A name alone doesn't silence an element that holds an article, a main element or more than
+half of the page's text.
 
 The remaining blocks of all pages of a host are merged into one style tree. A node's importance is made of the entropy
 of its presentation (how the number of its blocks varies over pages) and of its content: a content that stands on as many
@@ -20,7 +21,7 @@ their own. New columns take the place of columns of the same name.
 from __future__ import annotations
 
 import re
-from html import unescape
+from html import escape, unescape
 
 import pyarrow as pa
 import xxhash
@@ -37,9 +38,9 @@ BLOCKS = frozenset(
     select summary table tbody td tfoot th thead tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe template svg math object canvas audio video xmp".split())
+RAW = frozenset("script style title textarea noscript iframe template svg object canvas audio video".split())
 NOISE_TAGS = frozenset("nav footer aside form head header menu button select dialog search fieldset".split())
-#: Words of class, id or role.
+#: Whole tokens of class, id or role.
 NOISE_NAMES = frozenset(
     """ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments complementary consent contentinfo
     cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter
@@ -67,11 +68,11 @@ Block = tuple[int, str, bool]
 
 
 def _names(attributes: str) -> tuple[str, set[str]]:
-    """The classes as they stand, and all words of class, id and role."""
+    """The classes as they stand, and all tokens of class, id and role."""
     shown, words = "", set()
     for name, value in NAMED.findall(attributes):
         value = value.strip("\"'").lower()
-        words.update(re.split(r"[^a-z]+", value))
+        words.update(value.split())
         if name.lower() == "class":
             shown = " ".join(value.split())
     return shown, words
@@ -79,19 +80,20 @@ def _names(attributes: str) -> tuple[str, set[str]]:
 
 def blocks(page: str) -> list[Block]:
     """Style node, text, and whether it is plain article text, for each block that may be main text."""
-    found: list[tuple[Block, bool]] = []
-    text: list[str] = []
-    # an open element: tag, style node, within noise, within article, plain since the article
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+    # style node, pieces of text with the named elements they stand in, plain, within article
+    found: list[tuple[int, list[tuple[str, tuple[int, ...]]], bool, bool]] = []
+    text: list[tuple[str, tuple[int, ...]]] = []
+    # an open element: tag, style node, within noise, within article, plain since the article, elements with noise names
+    stack: list[tuple[str, int, bool, bool, bool, tuple[int, ...]]] = [("", 0, False, False, False, ())]
+    named, holders = 0, set()
     at = 0
 
     def flush() -> None:
         if text:
-            _, node, noise, inside, plain = stack[-1]
-            words = " ".join(unescape("".join(text)).split())
+            _, node, noise, inside, plain, _ = stack[-1]
+            if not noise:
+                found.append((node, text.copy(), plain, inside))
             text.clear()
-            if words and not noise:
-                found.append(((node, words, plain), inside))
 
     def close(depth: int) -> None:
         if any(tag in BLOCKS for tag, *_ in stack[depth:]):
@@ -102,7 +104,7 @@ def blocks(page: str) -> list[Block]:
         if token.start() < at:
             continue
         if token.start() > at and not stack[-1][2]:
-            text.append(page[at : token.start()])
+            text.append((page[at : token.start()], stack[-1][5]))
         at = token.end()
         name = token[2]
         if name is None:
@@ -121,8 +123,13 @@ def blocks(page: str) -> list[Block]:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
                 at = end.start() if end else len(page)
             continue
+        if name == "xmp" and not stack[-1][2]:  # its markup is text
+            end = re.compile(r"</xmp(?=[\s/>])", re.I).search(page, at)
+            start, at = at, end.start() if end else len(page)
+            text.append((f" {escape(page[start:at])} ", stack[-1][5]))
+            continue
         if name == "br":
-            text.append(" ")
+            text.append((" ", stack[-1][5]))
         if name in BLOCKS:
             flush()
             closing, barrier = CLOSES.get(name, (set(), set()))
@@ -134,27 +141,49 @@ def blocks(page: str) -> list[Block]:
                     break
         if name in VOID:
             continue
-        _, node, noise, inside, plain = stack[-1]
+        _, node, noise, inside, plain, roots = stack[-1]
         shown, words = _names(token[3]) if "=" in token[3] else ("", set())
+        silent = False
         if name not in KEPT_TAGS:
-            noise = noise or (name in NOISE_TAGS and not (name == "header" and inside)) or bool(words & NOISE_NAMES)
-        elif name == "article" and words & {"comment", "comments", "reply"}:
+            noise = noise or (name in NOISE_TAGS and not (name == "header" and inside))
+            silent = bool(words & NOISE_NAMES)
+        elif name == "article" and words & {"comment", "comments", "comment-body", "reply"}:
             noise = True
-        if noise and not stack[-1][2]:
+        if (noise or silent) and not stack[-1][2]:
             if name not in BLOCKS and text:  # noise inside a block: what stands before it is kept
-                text.append(" ")
-        if name in ("article", "main") or "main" in words and name == "div":
+                text.append((" ", roots))
+        if silent and not noise:
+            named += 1
+            roots = (*roots, named)
+        if name in ("article", "main") and not noise:
+            holders.update(roots)
+        if name in ("article", "main") or name == "div" and "main" in re.split("[^a-z]+", " ".join(words)):
             inside, plain = True, True
         elif name in BLOCKS:
             plain = plain and not words
         if name in BLOCKS:
             node = xxhash.xxh3_64_intdigest(f"{node} {name} {shown}") >> 1
-        stack.append((name, node, noise, inside, plain))
+        stack.append((name, node, noise, inside, plain, roots))
     if at < len(page) and not stack[-1][2]:
-        text.append(page[at:])
+        text.append((page[at:], stack[-1][5]))
     flush()
-    articles = any(inside for _, inside in found)
-    return [block for block, inside in found if inside or not articles]
+    if named:
+        sizes, whole = dict.fromkeys(range(1, named + 1), 0), 0
+        for _, pieces, _, _ in found:
+            for piece, roots in pieces:
+                size = sum(map(len, piece.split()))
+                whole += size
+                for root in roots:
+                    sizes[root] += size
+        silenced = {root for root, size in sizes.items() if root not in holders and 2 * size <= whole}
+        found = [(n, [p for p in pieces if silenced.isdisjoint(p[1])], *rest) for n, pieces, *rest in found]
+    kept = []
+    for node, pieces, plain, inside in found:
+        words = " ".join(unescape("".join(piece for piece, _ in pieces)).split())
+        if words:
+            kept.append(((node, words, plain), inside))
+    articles = any(inside for _, inside in kept)
+    return [block for block, inside in kept if inside or not articles]
 
 
 def _column(function, kind: str):
