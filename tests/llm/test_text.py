@@ -111,6 +111,15 @@ def test_pages(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def test_notices_in_plain_paragraphs(spark):
+    """A line that most pages of a host repeat goes, also in an article; an article that repeats as a whole stays."""
+    rows = [(f"http://a.org/{i}", f"<article><h1>title {i}</h1><p>story {i}</p><p>All rights reserved</p></article>") for i in range(8)]
+    rows += [(f"http://b.org/{i}", "<article><h1>same</h1><p>story</p></article>") for i in range(9)]
+    found = {r["url"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "url string, html string")).collect()}
+    wanted = {u: "same\nstory" if "b.org" in u else f"title {u[-1]}\nstory {u[-1]}" for u, _ in rows}
+    assert found == wanted
+
+
 def test_given_pages_as_planted(spark):
     """On the given pages the article is what stands between its tags."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")

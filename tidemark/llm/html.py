@@ -9,8 +9,9 @@ half of the page's text.
 The remaining blocks of all pages of a host are merged into one style tree. A node's importance is made of the entropy
 of its presentation (how the number of its blocks varies over pages) and of its content: a content that stands on as many
 pages as the node has full entropy and tells nothing, one that stands on a single page tells all. Nodes that enough pages
-share and whose importance is low are removed from each page. Plain paragraphs and headings directly in an article are
-the article itself, also if a site repeats it, and stay.
+share and whose importance is low are removed from each page. Plain paragraphs and headings directly in an article share
+their nodes with all of the article, so there content alone decides: a block is removed if it stands on most of a host's
+different page bodies. Pages that repeat as a whole are one body, and stay.
 
 White space within a block becomes one blank; blocks are joined by line feeds in page order. Character references are
 decoded as HTML has it. Null pages are empty; null urls belong to the host "". Broken markup is read on as browsers do
@@ -230,24 +231,58 @@ def style_nodes(pages: DataFrame, host: str, html: str) -> DataFrame:
     return told.withColumn("importance", (1 - GAMMA) * F.col("presentation") + GAMMA * F.col("content"))
 
 
+def recurring(pages: DataFrame, host: str, html: str, least: int = PAGES) -> DataFrame:
+    """Host and content of blocks that stand on most of a host's page bodies, and on at least so many.
+
+    Pages with the same blocks are one body, so a page that repeats as a whole makes nothing recur.
+    """
+
+    def run(batch: pa.Array) -> pa.Array:
+        said = []
+        for page in batch.to_pylist():
+            contents = [xxhash.xxh3_64_intdigest(words) >> 1 for _, words, _ in blocks(page or "")]
+            body = xxhash.xxh3_64_intdigest(" ".join(map(str, contents))) >> 1
+            said.append({"body": body, "contents": list(dict.fromkeys(contents))})
+        return pa.array(said, pa.struct([("body", pa.int64()), ("contents", pa.list_(pa.int64()))]))
+
+    read = _column(run, "struct<body:long,contents:array<long>>")
+    bodies = pages.select(F.col(host).alias("host"), read(F.col(html)).alias("b")).select("host", "b.*")
+    bodies = kept_table(bodies.filter(F.size("contents") > 0).dropDuplicates(["host", "body"]), "bodies")
+    whole = bodies.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("bodies"))
+    told = bodies.select("host", F.explode("contents").alias("content")).groupBy("host", "content").agg(F.count("*").alias("n"))
+    told = told.filter(F.col("n") >= least).join(whole, F.col("host") == F.col("of"))
+    return told.filter("2 * n > bodies").select("host", "content")
+
+
 def extract(
     df: DataFrame, url: str = "url", html: str = "html", text: str = "text", pages: int = PAGES, low: float = LOW
 ) -> DataFrame:
     """Adds the main text. Nodes that at least so many pages share and whose importance is below low are removed.
 
-    The markup is read twice, for the trees and for the texts, and never shuffled unless a host's removed nodes are too
+    So are blocks whose content stands on at least so many and on most of a host's different page bodies, also in articles;
+    a page that would keep nothing without them keeps them.
+
+    The markup is read three times, for the trees, the contents and the texts, and never shuffled unless a host's removed nodes are too
     many to be broadcast by Spark's own size check.
     """
     hosts = df.select(host_of(df[url]).alias("host"), df[html].alias("html"))
     nodes = style_nodes(hosts, "host", "html").filter((F.col("pages") >= pages) & (F.col("importance") < low))
-    removed = nodes.groupBy(F.col("host").alias("__host")).agg(F.collect_list("node").alias("__removed"))
+    empty = F.lit(None).cast("long")
+    both = nodes.select("host", "node", empty.alias("content")).union(
+        recurring(hosts, "host", "html", pages).select("host", empty.alias("node"), "content")
+    )
+    removed = both.groupBy(F.col("host").alias("__host")).agg(
+        F.struct(F.collect_list("node").alias("nodes"), F.collect_list("content").alias("contents")).alias("__removed")
+    )
     removed = kept_table(removed, "removed")
 
     def run(page: pa.Array, gone: pa.Array) -> pa.Array:
         texts = []
         for said, nodes in zip(page.to_pylist(), gone.to_pylist(), strict=True):
-            out = set(nodes or ())
-            texts.append("\n".join(words for node, words, plain in blocks(said or "") if plain or node not in out))
+            out, often = (set(nodes["nodes"]), set(nodes["contents"])) if nodes else ((), ())
+            kept = [words for node, words, plain in blocks(said or "") if plain or node not in out]
+            once = [words for words in kept if xxhash.xxh3_64_intdigest(words) >> 1 not in often] if often else kept
+            texts.append("\n".join(once or kept))
         return pa.array(texts, pa.string())
 
     joined = df.join(removed, host_of(df[url]) == F.col("__host"), "left")
