@@ -271,7 +271,7 @@ def _prefix(text: str, idf: np.ndarray) -> np.ndarray:
 
 
 def _refined(bands: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
-    """The bands' texts by shingles of their prefixes: near pairs stay together, and texts that only share a passage don't meet.
+    """The bands' texts by shingles of their prefixes: near pairs stay together, and most that share a passage only don't meet.
 
     A group holds the texts of all bands that have the shingle, once for each text and not for each of its bands; so none
     has met the whole group yet.
