@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bytebpe, chat, counting, html, idfiles, mixing, neardup, quality, urls
+from tidemark.llm import ann, bytebpe, chat, counting, html, idfiles, mixing, neardup, quality, substrings, urls
 from tidemark.llm.common import table
 from workload.registry import query
 
@@ -144,6 +144,12 @@ def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+@query("op13_substring_dedup")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    made = substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
