@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bytebpe, chat, counting, html, idfiles, mixing, neardup, quality, substrings, urls
+from tidemark.llm import ann, bytebpe, chat, counting, html, idfiles, mixing, neardup, periods, phrases, quality, substrings, urls
 from tidemark.llm.common import table
 from workload.registry import query
 
@@ -144,6 +144,63 @@ def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+@query(
+    "op11_phrases",
+    r"""WITH pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+    spots AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM pieces),
+    phrases AS (SELECT lang, w[i] AS p, 1 AS k FROM spots
+        UNION ALL SELECT lang, w[i] || ' ' || w[i + 1], 2 FROM spots WHERE i + 1 <= len(w)
+        UNION ALL SELECT lang, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2], 3 FROM spots WHERE i + 2 <= len(w)),
+    f AS (SELECT lang, p, k, CAST(count(*) AS HUGEINT) AS a FROM phrases GROUP BY ALL HAVING count(*) >= 10),
+    parts AS (SELECT *, split_part(p, ' ', 1) AS x, split_part(p, ' ', 2) AS y, split_part(p, ' ', 3) AS z FROM f WHERE k > 1),
+    cuts AS (SELECT lang, p, k, a, 1 AS cut, x AS one, CASE k WHEN 2 THEN y ELSE y || ' ' || z END AS two FROM parts
+        UNION ALL SELECT lang, p, k, a, 2, x || ' ' || y, z FROM parts WHERE k = 3),
+    scores AS (SELECT c.*, g.a AS l, h.a AS r, 1000000 * c.a * c.a // (g.a * h.a) AS score FROM cuts AS c
+        JOIN f AS g ON g.lang = c.lang AND g.p = c.one JOIN f AS h ON h.lang = c.lang AND h.p = c.two),
+    lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+    longer AS (SELECT lang, p, max(a) AS a FROM (SELECT lang, x || ' ' || y AS p, a FROM parts WHERE k = 3
+        UNION ALL SELECT lang, y || ' ' || z, a FROM parts WHERE k = 3) GROUP BY lang, p),
+    alive AS (SELECT s.* FROM lowest AS s LEFT JOIN longer AS o ON o.lang = s.lang AND o.p = s.p
+        WHERE o.a IS NULL OR 100 * o.a < 50 * s.a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase, CAST(a AS BIGINT) AS a,
+        CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+    FROM alive JOIN totals USING (lang) QUALIFY rank <= 2000""",
+)
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("text", "lang"))
+
+
+@query("op12_periodic_runs")
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenth of the texts, by the hash of doc_id, repeats a period of its own from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = table(spark, folder, "documents").select("doc_id", "text", h.alias("h"))
+    split = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.withColumn("w", F.when(F.col("h") % 10 == 0, split)).withColumn("g", F.floor(F.col("h") / 10)).withColumn("n", F.size("w"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    at = lambda i: (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    repeated = F.transform("w", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("w", at(i))))
+    docs = docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+    found = periods.with_runs(docs).withColumn(
+        "best", F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    )
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.p)").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query("op13_substring_dedup")
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     made = substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
