@@ -19,7 +19,15 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     """Writes df once to the shared folder and reads it back: it is not computed again, and its lineage ends here."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def forget(*tables: DataFrame) -> None:
+    """Empties tables of kept_table that nothing reads any more, so that long jobs don't fill the shared folder."""
+    for df in tables:
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(df.kept_at)
 
 
 def text_of(column: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept_table
+from tidemark.llm.common import forget, kept_table
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,6 +28,8 @@ def components(links: DataFrame) -> DataFrame:
         up = hooked.select(F.col("node").alias("root"), F.col("component").alias("top"))
         jumped = hooked.join(up, hooked["component"] == up["root"]).select("node", "was", F.col("top").alias("component"))
         jumped = kept_table(jumped, "components")
-        label = jumped.select("node", "component")
+        forget(label, hooked)
+        label = jumped
         if not jumped.filter(F.col("was") != F.col("component")).head(1):
+            forget(both)
             return label

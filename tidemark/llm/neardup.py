@@ -6,26 +6,26 @@ frequencies come from a sketch of fixed size: shingles are counted over all docu
 depends on the share of documents and the sketch doesn't grow. idf is damped because a text that is copied often makes
 its own shingles common: undamped, the single words that a copy changes would outweigh all that it shares.
 
-Improved consistent weighted sampling draws WEIGHTED * ROWS samples of each text; two texts draw the same sample with a
-probability equal to their weighted Jaccard similarity. As many samples are drawn of the plain shingle sets, for pairs that
-only the plain similarity makes near. ROWS samples make a band; texts that share a band are
-candidates. In every band the text that collides most over all bands is the first pivot, with which all others are
-compared. Then, round by round, more of those outside the band's largest component become pivots and are compared with all
-members of other components, until each of them has been a pivot or has come into that component: no link between
-candidates is lost. Pairs without a rare shingle in common (see _prefix) can't be near and are left out. A pair is linked
-if its weighted Jaccard similarity, or the plain one of its shingle sets, is at least 0.8. Classes are the connected
-components of the links.
+Improved consistent weighted sampling draws BANDS * ROWS samples of each text; two texts draw the same sample with a
+probability equal to their weighted Jaccard similarity. ROWS samples make a band; texts that share a band are candidates,
+which a pair of similarity 0.8 is with a probability of 0.999. A pair is linked if its weighted Jaccard similarity is at
+least 0.8. Classes are the connected components of the links.
+
+In every band the text that collides most over all bands is the pivot, with which all others are compared. That links
+nearly all. What is left are bands whose texts are in different components. For these, all pairs of texts of different
+components are found that the exact bounds leave: in the order of rarity, what follows the first shingle that two texts
+share must suffice for 0.8 in both, and their weights must be in a ratio of 0.8. So no link between candidates is lost,
+and texts that are linked already never meet. Of the texts with a rare shingle in common, those of the most frequent
+component don't meet each other.
 
 Equal texts are one node, whatever their number; nothing is compared twice for them. Null and empty texts are equal
 texts. A text without words has no shingle and only equals its copies. Class ids are the smallest doc_id of the class
 (null if it has none); rows with the same doc_id and different texts are told apart. Nothing is capped: a band of any
-size is joined with its pivots by a skew-safe join, and the members of a hot pivot are split over tasks. The work of the
-rounds is the leftovers times those texts of their band that share rare shingles with them.
+size is joined with its pivot by a skew-safe join, and the members of a hot pivot are split over tasks, by number and bytes.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,45 +34,36 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_column, kept_table, strings, text_of
+from tidemark.llm.common import arrow_column, forget, kept_table, text_of
 from tidemark.llm.graph import components
-from tidemark.llm.splitting import Memo
+from tidemark.llm.wordcodes import grams, lots, mixed, words_of
 
 SHINGLE, LEAST = 5, 0.8
-#: Bands of weighted samples, and all: the others are of unweighted ones.
-WEIGHTED, BANDS, ROWS = 10, 20, 3
+BANDS, ROWS = 10, 3
 CELL_BITS = 18
 DAMP = 0.25
-#: Pivots of a band in the first round of its leftovers, and in any: a round's pairs are bounded, their sum is not.
-PIVOTS, MOST = 16, 256
-MEMBERS = 256
+#: Texts, and bytes of them, that one task compares with a pivot at a time.
+MEMBERS, BYTES = 256, 16 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
+Shingles = tuple[np.ndarray, np.ndarray]
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _B
-    return x ^ (x >> np.uint64(27))
 
+def shingled(texts: pa.Array) -> Iterator[list[Shingles]]:
+    """Lot by lot, each text's distinct shingles, as ascending 64-bit hashes, and how often each occurs."""
+    for i, j in lots(texts):
+        words = words_of(texts.slice(i, j - i))
+        keys, found = grams(words.codes, SHINGLE), []
+        for a, n in zip(words.first.tolist(), words.counts().tolist()):
+            if n >= SHINGLE:
+                found.append(np.unique(keys[a : a + n - SHINGLE + 1], return_counts=True))
+            else:
+                found.append((mixed(grams(words.codes[a : a + n], n) + np.uint64(n)), np.ones(min(n, 1), np.int64)))
+        yield found
 
-@lru_cache(maxsize=1)
-def _words() -> Memo:
-    import xxhash
-
-    return Memo(xxhash.xxh3_64_intdigest, 150_000)
 
-
-def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles of a text, as ascending 64-bit hashes, and how often each occurs."""
-    _words().trim()
-    words = text.encode().split()
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    codes = np.fromiter(map(_words().__getitem__, words), np.uint64, len(words))
-    n = max(1, len(words) - SHINGLE + 1)
-    keys = np.full(n, len(words) if n == 1 and len(words) < SHINGLE else SHINGLE, np.uint64)
-    for i in range(min(SHINGLE, len(words))):
-        keys = (keys ^ (keys >> np.uint64(32))) * _A + codes[i : i + n]
-    return np.unique(_mixed(keys), return_counts=True)
+def shingles(text: str) -> Shingles:
+    return next(shingled(pa.array([text])))[0]
 
 
 def _cells(keys: np.ndarray) -> np.ndarray:
@@ -85,12 +76,9 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, docs = np.zeros(1 << CELL_BITS, np.int64), 0
         for batch in batches:
-            for text in strings(batch["text"]):
-                keys, _ = shingles(text)
-                docs += len(keys) > 0
-                cells += np.bincount(_cells(keys), minlength=len(cells)) if len(keys) > 50_000 else 0
-                if len(keys) <= 50_000:
-                    np.add.at(cells, _cells(keys), 1)
+            for lot in shingled(batch["text"]):
+                docs += sum(len(keys) > 0 for keys, _ in lot)
+                cells += np.bincount(_cells(np.concatenate([keys for keys, _ in lot])), minlength=len(cells))
         used = np.flatnonzero(cells)
         numbers, counts = np.append(used, -1), np.append(cells[used], docs)
         yield pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int32)), pa.array(counts)], names=["cell", "n"])
@@ -128,9 +116,9 @@ def samples(keys: np.ndarray, log_weights: np.ndarray, starts: np.ndarray) -> np
     """One row per text, one consistent weighted sample (as a 32-bit hash of shingle and level) per column."""
     gamma, log_gamma = _gamma()
     low, half, unit = np.uint64(4095), np.uint64(32), np.float32(2.0**-20)
-    out = np.empty((len(starts), WEIGHTED * ROWS), np.uint64)
+    out = np.empty((len(starts), BANDS * ROWS), np.uint64)
     for k, seed in enumerate(np.arange(1, out.shape[1] + 1, dtype=np.uint64) * _A):
-        drawn = _mixed(keys ^ seed)
+        drawn = mixed(keys ^ seed)
         drawn *= _A
         r = gamma[(drawn & low).astype(np.int32)]
         beta = ((drawn >> np.uint64(12)) & np.uint64(0xFFFFF)).astype(np.float32) * unit
@@ -143,66 +131,69 @@ def samples(keys: np.ndarray, log_weights: np.ndarray, starts: np.ndarray) -> np
     return out
 
 
-def plain_samples(keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """As samples, from sets of shingles without weights: two texts draw the same with their plain similarity."""
-    out = np.empty((len(starts), (BANDS - WEIGHTED) * ROWS), np.uint64)
-    for k, seed in enumerate(np.arange(1, out.shape[1] + 1, dtype=np.uint64) * _B):
-        out[:, k] = np.minimum.reduceat(_mixed(keys ^ seed) * _A >> np.uint64(32), starts)
+def _bands(texts: pa.Array, idf: np.ndarray) -> pa.StructArray:
+    """Weight of each text, and by band its bucket; null for a text without words."""
+    weight, buckets, none = [], [[] for _ in range(BANDS)], []
+    for lot in shingled(texts):
+        while lot:
+            take, size = 0, 0
+            while take < len(lot) and (size < 1 << 15 or take == 0):
+                size += len(lot[take][0])
+                take += 1
+            now, lot = lot[:take], lot[take:]
+            sizes = np.array([len(keys) for keys, _ in now])
+            filled = sizes > 0
+            none.append(~filled)
+            all_weights = np.zeros(len(now))
+            drawn = np.zeros((len(now), BANDS * ROWS), np.uint64)
+            if filled.any():
+                keys = np.concatenate([keys for keys, _ in now])
+                starts = (np.cumsum(sizes) - sizes)[filled]
+                heavy = weights(keys, np.concatenate([counts for _, counts in now]), idf)
+                all_weights[filled] = np.add.reduceat(heavy, starts)
+                drawn[filled] = samples(keys, np.log(heavy).astype(np.float32), starts)
+            weight.append(all_weights)
+            for band in range(BANDS):
+                bucket = np.full(len(now), band + 1, np.uint64)
+                for part in drawn[:, band * ROWS : (band + 1) * ROWS].T:
+                    bucket = mixed((bucket ^ part) * _A)
+                buckets[band].append(bucket.view(np.int64))
+    empty = np.concatenate(none) if none else np.zeros(0, bool)
+    columns = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64(), mask=empty) for c in buckets]
+    weight = pa.array(np.concatenate(weight) if weight else np.zeros(0))
+    return pa.StructArray.from_arrays([weight, *columns], names=["weight", *(f"b{i}" for i in range(BANDS))])
+
+
+def similarities(pivot: Shingles, others: list[Shingles], idf: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of a text with each of the others."""
+    sizes = np.array([len(keys) for keys, _ in others], np.int64)
+    out, filled = np.zeros(len(others)), sizes > 0
+    if not len(pivot[0]) or not filled.any():
+        return out
+    mine = weights(*pivot, idf)
+    keys = np.concatenate([keys for keys, _ in others])
+    heavy = weights(keys, np.concatenate([counts for _, counts in others]), idf)
+    at = np.minimum(np.searchsorted(pivot[0], keys), len(mine) - 1)
+    least = np.where(pivot[0][at] == keys, np.minimum(heavy, mine[at]), 0)
+    starts = (np.cumsum(sizes) - sizes)[filled]
+    shared = np.add.reduceat(least, starts)
+    out[filled] = shared / (mine.sum() + np.add.reduceat(heavy, starts) - shared)
     return out
 
 
-def _bands(texts: list[str], idf: np.ndarray) -> list[list[int | None]]:
-    """By band, the bucket of each text; None for a text without words."""
-    found = [shingles(t) for t in texts]
-    columns: list[list[int | None]] = [[None] * len(texts) for _ in range(BANDS)]
-    filled = [i for i, (keys, _) in enumerate(found) if len(keys)]
-    while filled:
-        take, size = 0, 0
-        while take < len(filled) and (size < 1 << 15 or take == 0):
-            size += len(found[filled[take]][0])
-            take += 1
-        now, filled = filled[:take], filled[take:]
-        keys = np.concatenate([found[i][0] for i in now])
-        starts = np.concatenate([[0], np.cumsum([len(found[i][0]) for i in now])[:-1]])
-        heavy = np.log(np.concatenate([weights(*found[i], idf) for i in now])).astype(np.float32)
-        drawn = np.hstack([samples(keys, heavy, starts), plain_samples(keys, starts)])
-        for band in range(BANDS):
-            bucket = np.full(len(now), band + 1, np.uint64)
-            for part in drawn[:, band * ROWS : (band + 1) * ROWS].T:
-                bucket = _mixed((bucket ^ part) * _A)
-            for i, value in zip(now, bucket.view(np.int64).tolist(), strict=True):
-                columns[band][i] = value
-    return columns
-
-
-def similarities(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[float, float]:
-    """Weighted Jaccard similarity of two texts' shingles, and the plain one of the shingle sets."""
-    if not len(a[0]) or not len(b[0]):
-        return 0.0, 0.0
-    x, y = weights(*a, idf), weights(*b, idf)
-    shared, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    least = np.minimum(x[i], y[j]).sum()
-    return float(least / (x.sum() + y.sum() - least)), len(shared) / (len(a[0]) + len(b[0]) - len(shared))
-
-
 def _key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
 def _distinct_texts(rows: DataFrame, idf: np.ndarray) -> DataFrame:
-    """One row per text: __key, smallest id, rows with that id, rows, and the bucket of each band."""
-
-    def run(batch: pa.Array) -> pa.Array:
-        columns = _bands(list(strings(batch)), idf)
-        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
+    """One row per text: __key, smallest id, rows with that id, rows, bytes, weight, and the bucket of each band."""
     names = [f"b{i}" for i in range(BANDS)]
-    signed = rows.select("__id", "__key", arrow_column(run, f"struct<{','.join(f'{n}:long' for n in names)}>")("__text").alias("b"))
-    ids = signed.select("__id", "__key", "b.*").groupBy("__key", "__id").agg(
-        F.count("*").alias("rows"), *(F.max(n).alias(n) for n in names)
-    )
+    kind = f"struct<weight:double,{','.join(f'{n}:long' for n in names)}>"
+    signed = rows.select("__id", "__key", F.octet_length("__text").alias("size"), arrow_column(lambda b: _bands(b, idf), kind)("__text").alias("b"))
+    same = [F.max(n).alias(n) for n in ("size", "weight", *names)]
+    ids = signed.select("__id", "__key", "size", "b.*").groupBy("__key", "__id").agg(F.count("*").alias("rows"), *same)
     first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), "rows")).alias("first")
-    return ids.groupBy("__key").agg(first, F.sum("rows").alias("copies"), *(F.max(n).alias(n) for n in names))
+    return ids.groupBy("__key").agg(first, F.sum("rows").alias("copies"), *same)
 
 
 def _given(wanted: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
@@ -212,126 +203,120 @@ def _given(wanted: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.join(wanted, there).select("__key", F.col("__text").alias("text"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
-    """The pairs (a, b) that are similar; b is the pivot, and its members are split over tasks."""
-    parts = pairs.groupBy(F.col("b").alias("pivot")).agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
-    parts = kept_table(parts, "parts")
-    wanted = pairs.select(F.col("a").alias("want")).union(pairs.select("b")).distinct()
-    given = kept_table(_given(wanted, texts, rows), "given")
+def _verified(pairs: DataFrame, given: DataFrame, idf: np.ndarray) -> DataFrame:
+    """The pairs (a, b, size of a) that are similar; b is the pivot, and its members are split over tasks."""
+    many = F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("size") / BYTES))
+    parts = kept_table(pairs.groupBy(F.col("b").alias("pivot")).agg(many.alias("parts")), "parts")
     member = pairs.join(parts, pairs["b"] == parts["pivot"]).select(
-        "a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).alias("part")
-    )
-    member = member.join(given, member["a"] == given["__key"]).select("a", "b", "part", "text")
-    pivot = parts.select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    pivot = pivot.join(given, pivot["pivot"] == given["__key"]).select(
-        F.col("pivot").alias("to"), F.col("part").alias("to_part"), F.col("text").alias("pivot_text")
+        F.col("a").alias("want"), F.col("b").alias("group"), F.pmod(F.xxhash64("a"), F.col("parts")).alias("part")
     )
+    pivot = parts.select("pivot", F.col("pivot").alias("group"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    wanted = member.union(pivot)
+    each = wanted.join(given, wanted["want"] == given["__key"]).select("group", "part", "want", "text")
+
+    def similar(rows: pa.Table) -> pa.Table:
+        names, group = rows["want"].to_pylist(), rows["group"][0].as_py()
+        texts = rows["text"].combine_chunks()
+        found = set()
+        if group in names:
+            pivot = next(shingled(texts.slice(names.index(group), 1)))[0]
+            at = 0
+            for lot in shingled(texts):
+                near = similarities(pivot, lot, idf) >= LEAST - 1e-9
+                found.update(names[at + i] for i in np.flatnonzero(near))
+                at += len(lot)
+        found = sorted(found - {group})
+        return pa.table({"a": pa.array(found, pa.binary()), "b": pa.array([group] * len(found), pa.binary())})
+
+    return each.groupBy("group", "part").applyInArrow(similar, "a binary, b binary")
+
+
+def _prefix(found: Shingles, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of a text, and what each weighs together with all that are less rare.
+
+    Near texts share one of them: all that two texts share stands, in the order of rarity, from the first that they share
+    on, and that must be enough for LEAST.
+    """
+    keys, counts = found
+    heavy = weights(keys, counts, idf)
+    order = np.lexsort((keys, -idf[_cells(keys)]))
+    tail = np.cumsum(heavy[order][::-1])[::-1]
+    some = tail >= (LEAST - 1e-6) * heavy.sum()
+    return keys[order][some], tail[some]
+
+
+def _rare(texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """From texts with __key and text: each rare shingle, with its tail."""
 
-    def similar(members: pa.Table, pivots: pa.Table) -> pa.Table:
-        one = shingles(pivots["pivot_text"][0].as_py()) if len(pivots) else None
-        found, known = [], {}
-        for name, text in zip(members["a"].to_pylist(), members["text"].to_pylist(), strict=True):
-            if name not in known:
-                known[name] = one is not None and max(similarities(shingles(text), one, idf)) >= LEAST - 1e-9
-                if known[name]:
-                    found.append(name)
-        others = [members["b"][0].as_py()] * len(found) if len(members) else []
-        return pa.table({"a": pa.array(found, pa.binary()), "b": pa.array(others, pa.binary())})
+    def run(batch: pa.Array) -> pa.Array:
+        found = [_prefix(one, idf) for lot in shingled(batch) for one in lot]
+        ends = pa.array(np.append(0, np.cumsum([len(keys) for keys, _ in found])).astype(np.int32))
+        keys = np.concatenate([keys for keys, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
+        tails = np.concatenate([tail for _, tail in found] or [np.zeros(0)])
+        pairs = pa.StructArray.from_arrays([pa.array(keys), pa.array(tails)], names=["rare", "tail"])
+        return pa.ListArray.from_arrays(ends, pairs)
 
-    return member.groupBy("b", "part").cogroup(pivot.groupBy("to", "to_part")).applyInArrow(similar, "a binary, b binary")
+    each = F.explode(arrow_column(run, "array<struct<rare:long,tail:double>>")("text")).alias("r")
+    return texts.select(F.col("__key").alias("of"), each).select("of", "r.*").distinct()
 
 
-def _unsettled(left: DataFrame, found: DataFrame) -> DataFrame:
-    """Bands in which a text outside the largest component (main) has yet to meet another, with the texts' components."""
+def _leftover_pairs(bands: DataFrame, found: DataFrame, given: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Pairs (a, b, size of a) of different components that may be near, among the texts of bands with several components."""
     known = found.select(F.col("node").alias("at"), "component")
-    here = left.join(known, left["__key"] == known["at"], "left").select(
-        "bucket", "__key", "degree", "done", F.coalesce("component", "__key").alias("component")
+    here = bands.join(known, bands["__key"] == known["at"], "left").select(
+        "bucket", "__key", "weight", "size", F.coalesce("component", "__key").alias("component")
     )
     here = kept_table(here, "bands")
-    parts = here.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum((~F.col("done")).cast("long")).alias("open"))
-    largest = F.struct("n", "component")
-    main = parts.groupBy("bucket").agg(
-        F.max_by("component", largest).alias("main"), F.max_by("open", largest).alias("joined"), F.sum("open").alias("open")
-    )
-    main = kept_table(main.filter("open > joined AND open > 1").select("bucket", "main"), "main")
-    return kept_table(here.join(main, "bucket"), "bands")
-
-
-def _prefix(text: str, idf: np.ndarray) -> np.ndarray:
-    """The rarest shingles of a text: texts that are near by either similarity have one of them in common.
-
-    All that two texts share stands, in the order of rarity, behind the first that they share. If that one is not among
-    those given here, what follows is too little for LEAST.
-    """
-    keys, counts = shingles(text)
-    heavy, least = weights(keys, counts, idf), LEAST - 1e-6
-    order = np.lexsort((keys, -idf[_cells(keys)]))
-    tail = heavy.sum() - np.cumsum(heavy[order])
-    return keys[order][: max(len(keys) - math.ceil(least * len(keys)), int((tail >= least * heavy.sum()).sum())) + 1]
-
-
-def _refined(bands: DataFrame, texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
-    """The bands' texts by shingles of their prefixes: near pairs stay together, and most that share a passage only don't meet.
-
-    A group holds the texts of all bands that have the shingle, once for each text and not for each of its bands; so none
-    has met the whole group yet.
-    """
-
-    def run(batch: pa.Array) -> pa.Array:
-        return pa.array([_prefix(t, idf).view(np.int64) for t in strings(batch)], pa.list_(pa.int64()))
-
-    known = kept_table(bands.groupBy("__key").agg(F.max("degree").alias("degree")), "known")
-    given = _given(known.select(F.col("__key").alias("want")), texts, rows)
-    rare = given.select(F.col("__key").alias("of"), F.explode(arrow_column(run, "array<long>")("text")).alias("rare"))
-    rare = kept_table(rare.distinct(), "rare")
-    return rare.join(known, rare["of"] == known["__key"]).select(
-        F.col("rare").alias("bucket"), "__key", "degree", F.lit(False).alias("done")
+    several = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    several = kept_table(several.filter("low <> high").select("bucket"), "several")
+    texts = kept_table(here.join(several, "bucket").select("__key", "weight", "size", "component").distinct(), "unsettled")
+    rare = _rare(texts.select(F.col("__key").alias("want")).join(given, F.col("want") == given["__key"]), idf)
+    rare = kept_table(rare, "rare")
+    each = rare.join(texts, rare["of"] == texts["__key"]).select("rare", "__key", "tail", "weight", "size", "component")
+    by_part = each.groupBy("rare", "component").agg(F.count("*").alias("n"))
+    main = by_part.groupBy("rare").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+    main = kept_table(main.filter("parts > 1").select("rare", "main"), "main")
+    each = kept_table(each.join(main, "rare"), "rare")
+    x = each.filter("component <> main").select("rare", *(F.col(c).alias(f"x_{c}") for c in ("__key", "tail", "weight", "component")))
+    share = (LEAST - 1e-6) / (1 + LEAST)
+    near = (
+        (F.col("component") != F.col("x_component"))
+        & ((F.col("component") == F.col("main")) | (F.col("__key") < F.col("x___key")))
+        & (F.least("tail", "x_tail") >= share * (F.col("weight") + F.col("x_weight")))
+        & (F.least("weight", "x_weight") >= (LEAST - 1e-6) * F.greatest("weight", "x_weight"))
     )
+    pairs = x.withColumnRenamed("rare", "x_rare").join(each, (F.col("x_rare") == F.col("rare")) & near)
+    pairs = kept_table(pairs.select(F.col("__key").alias("a"), F.col("x___key").alias("b"), "size").distinct(), "pairs")
+    forget(here, several, texts, rare, main, each)
+    return pairs
 
 
 def _linked(texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """Node and component of all texts that are like another."""
     buckets = F.explode(F.array(*(F.col(f"b{i}") for i in range(BANDS)))).alias("bucket")
-    bands = texts.filter("b0 IS NOT NULL").select("__key", buckets)
+    bands = texts.filter("b0 IS NOT NULL").select("__key", "weight", "size", buckets)
     # tables that a bucket's rows meet are written first: a join of two plain shuffles can split a hot bucket
     crowd = kept_table(bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "crowd")
-    bands = kept_table(bands.join(crowd, "bucket"), "bands")
-    degree = kept_table(bands.groupBy(F.col("__key").alias("node")).agg(F.sum("n").alias("degree")), "degree")
-    bands = kept_table(bands.join(degree, bands["__key"] == degree["node"]).select("bucket", "__key", "degree"), "bands")
+    crowded = kept_table(bands.join(crowd, "bucket"), "bands")
+    degree = kept_table(crowded.groupBy(F.col("__key").alias("node")).agg(F.sum("n").alias("degree")), "degree")
+    bands = crowded.join(degree, crowded["__key"] == degree["node"]).select("bucket", "__key", "weight", "size", "degree")
+    bands = kept_table(bands, "bands")
+    given = kept_table(_given(degree.select(F.col("node").alias("want")), texts, rows), "given")
     order = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "__key")
     first = bands.withColumn("place", F.row_number().over(order)).filter("place = 1")
-    first = kept_table(first.select("bucket", F.col("__key").alias("b")), "first")
-    pairs = bands.join(first, "bucket").filter("__key != b").select(F.col("__key").alias("a"), "b").distinct()
-    seen = kept_table(pairs, "pairs")
-    links = kept_table(_verified(seen, texts, rows, idf), "links")
+    first = kept_table(first.select("bucket", F.col("__key").alias("b"), F.col("weight").alias("their")), "first")
+    ratio = F.least("weight", "their") >= (LEAST - 1e-6) * F.greatest("weight", "their")
+    pairs = bands.join(first, "bucket").filter((F.col("__key") != F.col("b")) & ratio)
+    pairs = kept_table(pairs.select(F.col("__key").alias("a"), "b", "size").distinct(), "pairs")
+    forget(crowd, crowded, degree, first)
+    links = kept_table(_verified(pairs, given, idf), "links")
     found = components(links)
-    left = bands.join(first, "bucket").withColumn("done", F.col("__key") == F.col("b")).drop("b")
-    here = _unsettled(left, found)
-    if not here.head(1):
-        return found
-    # texts outside a band's largest component become pivots in turn, until all have been one or have come into it
-    left = _refined(here, texts, rows, idf)
-    heads = PIVOTS
-    while True:
-        here = _unsettled(left, found)
-        if not here.head(1):
-            return found
-        ranked = here.filter("component <> main AND NOT done").withColumn("place", F.row_number().over(order))
-        pivots = ranked.filter(F.col("place") <= heads).select("bucket", F.col("__key").alias("b"), F.col("component").alias("other"))
-        pivots = kept_table(pivots, "heads")
-        pairs = here.filter("NOT done").join(pivots, "bucket").filter("component <> other")
-        pairs = pairs.select(F.col("__key").alias("a"), "b").distinct()
-        tried = seen.union(seen.select("b", "a")).toDF("a", "b")
-        pairs = kept_table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        was = pivots.select(F.col("bucket").alias("of"), "b")
-        left = here.join(was, (here["bucket"] == was["of"]) & (here["__key"] == was["b"]), "left").select(
-            "bucket", "__key", "degree", (F.col("done") | F.col("b").isNotNull()).alias("done")
-        )
-        more = kept_table(_verified(pairs, texts, rows, idf), "links")
-        seen, links = seen.union(pairs), links.union(more)
-        if more.head(1):
-            found = components(links)
-        heads = min(4 * heads, MOST)
+    left = _leftover_pairs(bands, found, given, idf)
+    more = kept_table(_verified(left, given, idf), "links")
+    if more.head(1):
+        found = components(links.union(more))
+    forget(bands, given, pairs, left)
+    return found
 
 
 def _classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -348,7 +333,9 @@ def _classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
         F.min(F.struct("first.none", "first.id", F.col("text_key").alias("key"), "first.rows")).alias("best"),
         F.sum("copies").alias("class_size"),
     )
-    return rows, kept_table(named.join(whole, named["class_key"] == whole["class"]).drop("class"), "classes")
+    whole = kept_table(named.join(whole, named["class_key"] == whole["class"]).drop("class"), "classes")
+    forget(texts, known, named)
+    return rows, whole
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

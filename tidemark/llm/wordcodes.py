@@ -58,7 +58,7 @@ def doubled(codes: np.ndarray, upto: int) -> Iterator[tuple[int, np.ndarray]]:
 def grams(codes: np.ndarray, n: int) -> np.ndarray:
     """Numbers of the runs of n words that start at each place."""
     out, at = None, 0
-    if len(codes) < n:
+    if len(codes) < n or not n:
         return np.zeros(0, np.uint64)
     last = len(codes) - n + 1
     for k, numbers in doubled(codes, n):
