@@ -135,3 +135,33 @@ def test_given_pages_as_planted(spark):
 @pytest.mark.parametrize("page", ["<p" * 3000, "<div>" * 3000 + "x", '<a href="x>' * 500, "<!--" * 500, "&#0;&#xFFFFFFF;&bogus;", "<ul><li>" * 500])
 def test_broken_pages(page):
     assert isinstance(html.blocks(page), list)
+
+
+def test_a_main_div_is_more_than_links():
+    """Whole tokens only, and never an element whose text is mostly links."""
+    story = "<div id=content><p>Real text of some length</p><h2>Ingredients</h2><p>salt</p></div>"
+    wanted = ["Real text of some length", "Ingredients", "salt"]
+    assert [t for _, t, _ in html.blocks(f'<div class="main-nav"><a>Home</a></div>{story}')][-3:] == wanted
+    assert [t for _, t, _ in html.blocks(f'<div class="main"><a>Home</a><a>About</a></div>{story}')][-3:] == wanted
+    assert [t for _, t, _ in html.blocks(f'<p>before</p><div class="x main">{story}</div><p>after</p>')] == wanted
+    beside = f'<div class="main-nav"><ul><li><a>Home</a></ul></div><article>{story}</article>'
+    assert [t for _, t, _ in html.blocks(beside)] == wanted
+
+
+@pytest.mark.parametrize("pages", [4, 5, 12])
+def test_headings_that_many_pages_have_stay(spark, pages):
+    page = "<article><p>Share this</p><h1>Cake {0}</h1><h2>Ingredients</h2><p>{0} eggs</p><h2>Method</h2><p>Bake {0}</p><p>All rights reserved</p></article>"
+    df = spark.createDataFrame([(f"http://a.org/{i}", page.format(i)) for i in range(pages)], "url string, html string")
+    for r in html.extract(df).collect():
+        i = r["url"][13:]
+        assert f"Cake {i}\nIngredients\n{i} eggs\nMethod\nBake {i}" in r["text"]
+        assert ("Share" in r["text"]) == ("rights" in r["text"]) == (pages < 5)
+
+
+@pytest.mark.parametrize("page", ["<span>" * 8000 + "</p>" * 8000, "<span>" * 8000 + "<hr>" * 8000, "<b>" * 8000 + "<li>x" * 8000])
+def test_broken_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html.blocks(page)
+    assert time.process_time() - began < 1.0

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_column, id_lists, strings, text_of
 from tidemark.llm.splitting import Memo, lines_of
 
-STATES = 100_000
+STATES = 150_000
 WORDS = 120_000
 NEVER = 1 << 62
 ID, LOW = 24, (1 << 24) - 1
@@ -154,7 +154,16 @@ class Transducer:
         ids, known, head = [], self.moves.get, piece[:HEAD]
         state, last = self.heads.get(head, (0, ()))
         last = [*last]
-        for byte in piece[HEAD if last else 0 :]:
+        rest = piece[len(last) :]
+        if len(piece) < WINDOW and (last or len(piece) < HEAD):  # most pieces: nothing to remember or to emit on the way
+            for byte in rest:
+                move = known(state << 8 | byte)
+                if move is None:
+                    move = self._move(state, byte)
+                state = move >> ID
+                last.append(move & LOW)
+            rest = b""
+        for byte in rest:
             move = known(state << 8 | byte)
             if move is None:
                 move = self._move(state, byte)

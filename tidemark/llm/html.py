@@ -22,6 +22,7 @@ their own. New columns take the place of columns of the same name.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import escape, unescape
 
 import pyarrow as pa
@@ -48,6 +49,8 @@ NOISE_NAMES = frozenset(
     notice notices pager pagination popup promo promotion promoted related reply replies respond search share sharing sidebar
     signup skip social sponsor sponsored subscribe toolbar widget""".split()
 )
+#: A div with one of these tokens is an article, unless its text is mostly links.
+MAIN_NAMES = frozenset(["main", "main-content", "maincontent"])
 KEPT_TAGS = frozenset("html body article main".split())
 #: A start of the key ends open elements of the values, up to the nearest of the barriers.
 CLOSES = {
@@ -82,16 +85,17 @@ def _names(attributes: str) -> tuple[str, set[str]]:
 def blocks(page: str) -> list[Block]:
     """Style node, text, and whether it is plain article text, for each block that may be main text."""
     # style node, pieces of text with the named elements they stand in, plain, within article
-    found: list[tuple[int, list[tuple[str, tuple[int, ...]]], bool, bool]] = []
-    text: list[tuple[str, tuple[int, ...]]] = []
-    # an open element: tag, style node, within noise, within article, plain since the article, elements with noise names
-    stack: list[tuple[str, int, bool, bool, bool, tuple[int, ...]]] = [("", 0, False, False, False, ())]
-    named, holders = 0, set()
+    found: list[tuple[int, list[tuple[str, tuple[int, ...], bool]], bool, tuple[int, ...]]] = []
+    text: list[tuple[str, tuple[int, ...], bool]] = []
+    # an open element: tag, style node, within noise, articles it stands in (0: by tag, else a div of that name), plain since
+    # the article, elements with noise names, within a link
+    stack: list[tuple[str, int, bool, tuple[int, ...], bool, tuple[int, ...], bool]] = [("", 0, False, (), False, (), False)]
+    named, holders, mains, opened = 0, set(), 0, Counter()
     at = 0
 
     def flush() -> None:
         if text:
-            _, node, noise, inside, plain, _ = stack[-1]
+            _, node, noise, inside, plain, _, _ = stack[-1]
             if not noise:
                 found.append((node, text.copy(), plain, inside))
             text.clear()
@@ -99,20 +103,21 @@ def blocks(page: str) -> list[Block]:
     def close(depth: int) -> None:
         if any(tag in BLOCKS for tag, *_ in stack[depth:]):
             flush()
+        opened.subtract(tag for tag, *_ in stack[depth:])
         del stack[depth:]
 
     for token in TOKEN.finditer(page):
         if token.start() < at:
             continue
         if token.start() > at and not stack[-1][2]:
-            text.append((page[at : token.start()], stack[-1][5]))
+            text.append((page[at : token.start()], *stack[-1][5:]))
         at = token.end()
         name = token[2]
         if name is None:
             continue
         name = name.lower()
         if token[1]:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if opened[name] else ():
                 if stack[depth][0] == name:
                     close(depth)
                     break
@@ -127,22 +132,25 @@ def blocks(page: str) -> list[Block]:
         if name == "xmp" and not stack[-1][2]:  # its markup is text
             end = re.compile(r"</xmp(?=[\s/>])", re.I).search(page, at)
             start, at = at, end.start() if end else len(page)
-            text.append((f" {escape(page[start:at])} ", stack[-1][5]))
+            text.append((f" {escape(page[start:at])} ", *stack[-1][5:]))
             continue
         if name == "br":
-            text.append((" ", stack[-1][5]))
+            text.append((" ", *stack[-1][5:]))
         if name in BLOCKS:
             flush()
             closing, barrier = CLOSES.get(name, (set(), set()))
-            for depth in range(len(stack) - 1, 0, -1):
+            ends = opened["p"] or any(opened[tag] for tag in closing)
+            for depth in range(len(stack) - 1, 0, -1) if ends else ():
                 tag = stack[depth][0]
                 if tag == "p" or tag in closing:
                     close(depth)
+                    if not opened["p"] and not any(opened[tag] for tag in closing):
+                        break
                 elif tag in barrier or (tag in BLOCKS and not closing):
                     break
         if name in VOID:
             continue
-        _, node, noise, inside, plain, roots = stack[-1]
+        _, node, noise, inside, plain, roots, linked = stack[-1]
         shown, words = _names(token[3]) if "=" in token[3] else ("", set())
         silent = False
         if name not in KEPT_TAGS:
@@ -152,37 +160,47 @@ def blocks(page: str) -> list[Block]:
             noise = True
         if (noise or silent) and not stack[-1][2]:
             if name not in BLOCKS and text:  # noise inside a block: what stands before it is kept
-                text.append((" ", roots))
+                text.append((" ", roots, linked))
         if silent and not noise:
             named += 1
             roots = (*roots, named)
         if name in ("article", "main") and not noise:
             holders.update(roots)
-        if name in ("article", "main") or name == "div" and "main" in re.split("[^a-z]+", " ".join(words)):
-            inside, plain = True, True
+        if name in ("article", "main"):
+            inside, plain = (*inside, 0), True
+        elif name == "div" and words & MAIN_NAMES:
+            mains += 1
+            inside, plain = (*inside, mains), True
         elif name in BLOCKS:
             plain = plain and not words
         if name in BLOCKS:
             node = xxhash.xxh3_64_intdigest(f"{node} {name} {shown}") >> 1
-        stack.append((name, node, noise, inside, plain, roots))
+        stack.append((name, node, noise, inside, plain, roots, linked or name == "a"))
+        opened[name] += 1
     if at < len(page) and not stack[-1][2]:
-        text.append((page[at:], stack[-1][5]))
+        text.append((page[at:], *stack[-1][5:]))
     flush()
     if named:
         sizes, whole = dict.fromkeys(range(1, named + 1), 0), 0
         for _, pieces, _, _ in found:
-            for piece, roots in pieces:
+            for piece, roots, _ in pieces:
                 size = sum(map(len, piece.split()))
                 whole += size
                 for root in roots:
                     sizes[root] += size
         silenced = {root for root, size in sizes.items() if root not in holders and 2 * size <= whole}
         found = [(n, [p for p in pieces if silenced.isdisjoint(p[1])], *rest) for n, pieces, *rest in found]
-    kept = []
+    kept, sizes = [], Counter()
     for node, pieces, plain, inside in found:
-        words = " ".join(unescape("".join(piece for piece, _ in pieces)).split())
+        words = " ".join(unescape("".join(piece for piece, *_ in pieces)).split())
         if words:
             kept.append(((node, words, plain), inside))
+            for piece, _, linked in pieces if any(inside) else ():
+                size = sum(map(len, piece.split()))
+                for number in inside:
+                    sizes[number] += -size if linked else size
+    # a div is no article for its name alone if its text is mostly links
+    kept = [(block, any(number == 0 or sizes[number] > 0 for number in inside)) for block, inside in kept]
     articles = any(inside for _, inside in kept)
     return [block for block, inside in kept if inside or not articles]
 
@@ -259,8 +277,9 @@ def extract(
 ) -> DataFrame:
     """Adds the main text. Nodes that at least so many pages share and whose importance is below low are removed.
 
-    So are blocks whose content stands on at least so many and on most of a host's different page bodies, also in articles;
-    a page that would keep nothing without them keeps them.
+    So are blocks whose content stands on at least so many and on most of a host's different page bodies, also in articles,
+    but only before the first and after the last block of the page's own: headings and cells that many pages have stay. A
+    page without blocks of its own keeps all.
 
     The markup is read three times, for the trees, the contents and the texts, and never shuffled unless a host's removed nodes are too
     many to be broadcast by Spark's own size check.
@@ -281,8 +300,8 @@ def extract(
         for said, nodes in zip(page.to_pylist(), gone.to_pylist(), strict=True):
             out, often = (set(nodes["nodes"]), set(nodes["contents"])) if nodes else ((), ())
             kept = [words for node, words, plain in blocks(said or "") if plain or node not in out]
-            once = [words for words in kept if xxhash.xxh3_64_intdigest(words) >> 1 not in often] if often else kept
-            texts.append("\n".join(once or kept))
+            own = [i for i, words in enumerate(kept) if xxhash.xxh3_64_intdigest(words) >> 1 not in often] if often else ()
+            texts.append("\n".join(kept[own[0] : own[-1] + 1] if own else kept))
         return pa.array(texts, pa.string())
 
     joined = df.join(removed, host_of(df[url]) == F.col("__host"), "left")

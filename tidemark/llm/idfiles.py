@@ -38,11 +38,11 @@ from tidemark.session import scratch_dir
 
 SEGMENT_IDS, SEGMENT_DOCS = 1 << 21, 1 << 15
 BLOCK = 512
-WORDS = 300_000
+WORDS = 150_000
 #: Texts whose new words go to the library together.
 TEXTS = 512
 #: Words that make one text for it.
-LOT = 256
+LOT = 128
 LAYOUT = "shard int, segment int, n_docs long, n_ids long, payload binary"
 
 
@@ -130,8 +130,8 @@ class Encoder:
     """Ids of whole texts, by the tokenizers library.
 
     The vocabulary's own pre-tokenizer drops white space and no step of it looks across, so a text's ids are its words'
-    ids in order. Words that were seen are looked up; the others of a batch go to the library together. A vocabulary
-    that keeps white space, or a text with white space on which Python and the library differ, is encoded whole.
+    ids in order. Words that were seen since the memory was last full, or in the time before, are looked up;
+    the others of a batch go to the library together. A vocabulary that keeps white space, or a text with white space on which Python and the library differ, is encoded whole.
     """
 
     UNSURE = re.compile("[\x1c-\x1f]")
@@ -140,28 +140,37 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end, self.known = Tokenizer.from_file(path), struct.pack("<I", end), {}
+        self.older: dict[str, bytes] = {}
         self.whole = self._ids(["a  b c\td\ne"])[0] != b"".join(self._ids(["a", "b", "c", "d", "e"]))
+        special = [(t.content, number) for number, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        self.mark = special[-1] if special else None
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _of_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Words with their ids, from one text of them all; a token belongs to the word in which it begins."""
-        starts = np.cumsum([0] + [len(word) + 1 for word in words])
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        """Words with their ids, from one text of them all, between strings of the special token that ends a text."""
+        if self.mark is None or any(self.mark[0] in word for word in words):
+            yield from zip(words, self._ids(words), strict=True)
+            return
+        found = self.tokenizer.encode_batch_fast([self.mark[0].join(words)], add_special_tokens=False)[0]
         ids = np.array(found.ids, "<u4")
-        cuts = np.searchsorted(np.array([begin for begin, _ in found.offsets]), starts).tolist()
-        for word, a, b in zip(words, cuts[:-1], cuts[1:], strict=True):
-            yield word, ids[a:b].tobytes()
+        ends, raw, at = [*(4 * np.flatnonzero(ids == self.mark[1])).tolist(), 4 * len(ids)], ids.tobytes(), 0
+        for word, end in zip(words, ends, strict=True):
+            yield word, raw[at:end]
+            at = end + 4
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.whole:
             return [ids + self.end for ids in self._ids(texts)]
         words = [None if self.UNSURE.search(t) else t.split() for t in texts]
         if len(self.known) > WORDS:
-            self.known.clear()
-        new = list(set().union(*(w for w in words if w)) - self.known.keys())
+            self.older, self.known = self.known, {}
+        new = set().union(*(w for w in words if w)) - self.known.keys()
+        again = new & self.older.keys()
+        self.known.update((word, self.older[word]) for word in again)
+        new = list(new - again)
         for at in range(0, len(new), LOT):
             self.known.update(self._of_words(new[at : at + LOT]))
         known = self.known.__getitem__
@@ -238,9 +247,10 @@ def read_ids(spark: SparkSession, path: str, checksums: bool = False) -> DataFra
         for batch in batches:
             for shard, number, payload in zip(*(batch[c].to_pylist() for c in ("shard", "segment", "payload")), strict=True):
                 segment = Segment(payload)
-                n, offsets = segment.n_docs, segment.boundaries.values().astype(np.int64)
+                n = segment.n_docs
                 for a in range(0, n, 1024):
-                    b, places = min(n, a + 1024), offsets[a : a + 1025]
+                    b = min(n, a + 1024)
+                    places = np.array([segment.boundaries.select(i) for i in range(a, b + 1)], np.int64)
                     ids = segment.ids[places[0] : places[-1]]
                     cuts = (places - places[0]).astype(np.int32)
                     if checksums:

@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 from tidemark.llm.common import WORD, kept_table, text_of
 
 SLICE = 2048
-STEPS = 200
+#: Newton steps; what has not converged then is halved until it has.
+STEPS = 50
 
 
 def numbered(per_source: DataFrame) -> DataFrame:
@@ -81,9 +82,9 @@ def tilts(sizes: DataFrame, targets: DataFrame, most: float = 3.0) -> DataFrame:
         .withColumn("done", ratio >= most)
     )
     state = kept_table(state, "tilts")
-    for _ in range(STEPS):
-        if not state.filter(~F.col("done")).head(1):
-            break
+    rounds = 0
+    while state.filter(~F.col("done")).head(1):
+        rounds += 1
         pull = F.exp(F.col("tilt") * F.col("size") / F.col("scale"))
         words = (F.col("size") * F.col("docs")).cast("double")
         live = state.filter(~F.col("done"))
@@ -100,9 +101,10 @@ def tilts(sizes: DataFrame, targets: DataFrame, most: float = 3.0) -> DataFrame:
         low = F.when(gap < 0, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(gap > 0, F.col("tilt")).otherwise(F.col("high"))
         moved = state.join(sums, state["source"].eqNullSafe(sums["of"]), "left").drop("of")
-        moved = moved.withColumn("near", F.col("done") | (F.abs(gap) <= 1e-7 * F.col("target")))
+        narrow = F.col("high") - F.col("low") <= 1e-12 * (F.abs(F.col("low")) + F.abs(F.col("high")))
+        moved = moved.withColumn("near", F.col("done") | (F.abs(gap) <= 1e-7 * F.col("target")) | narrow)
         moved = moved.withColumns({"low": F.when(F.col("near"), F.col("low")).otherwise(low), "high": F.when(F.col("near"), F.col("high")).otherwise(high), "step": step})
-        inside = (F.col("step") > F.col("low")) & (F.col("step") < F.col("high"))
+        inside = F.lit(rounds <= STEPS) & (F.col("step") > F.col("low")) & (F.col("step") < F.col("high"))
         tilt = F.when(F.col("near"), F.col("tilt")).when(inside, F.col("step")).otherwise((F.col("low") + F.col("high")) / 2)
         state = kept_table(
             moved.withColumn("tilt", tilt).withColumn("done", F.col("near")).drop("near", "step", "taken", "slope"), "tilts"

@@ -19,9 +19,10 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept_table, text_of
+from tidemark.llm.common import forget, kept_table, text_of
 
-DAMPING, STEPS, NEAR = 0.85, 50, 1e-7
+#: Ranks are exact to this part of what blocks a host.
+DAMPING, MARGIN, NEAR = 0.85, 0.15, 1e-3
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 Rule = tuple[str, str, str]
@@ -76,13 +77,15 @@ def host_trust(pages: DataFrame, links: DataFrame) -> DataFrame:
     seeds = kept_table(seeds.select("host", kinds.alias("k")).select("host", "k.kind", "k.seed"), "seeds")
     rank = seeds.withColumn("rank", F.col("seed"))
     if links.head(1):
-        rank = _spread(links, rank, seeds)
+        rank = _spread(links, rank, seeds, NEAR * MARGIN / max(1, counts.count()))
     return rank.groupBy("host").agg(
         *(F.sum(F.when(F.col("kind") == k, F.col("rank")).otherwise(0.0)).alias(k) for k in ("trust", "distrust"))
     )
 
 
-def _spread(links: DataFrame, rank: DataFrame, seeds: DataFrame) -> DataFrame:
+def _spread(links: DataFrame, rank: DataFrame, seeds: DataFrame, near: float) -> DataFrame:
+    """Rounds until the ranks change by less than near in sum; a round leaves DAMPING of the change, which bounds their number."""
+
     def steps(kind: str, a: str, b: str) -> DataFrame:
         out = links.groupBy(F.col(a).alias("of")).agg(F.sum("links").alias("all"))
         share = links.join(out, links[a] == out["of"])
@@ -90,8 +93,8 @@ def _spread(links: DataFrame, rank: DataFrame, seeds: DataFrame) -> DataFrame:
 
     walk = kept_table(steps("trust", "source", "target").union(steps("distrust", "target", "source")), "walk")
     rank = kept_table(rank, "rank")
-    for _ in range(STEPS):
-        flow = rank.join(walk, ["kind", "host"]).groupBy("kind", F.col("to").alias("host"))
+    while True:
+        flow = rank.select("kind", "host", "rank").join(walk, ["kind", "host"]).groupBy("kind", F.col("to").alias("host"))
         flow = kept_table(flow.agg(F.sum(F.col("rank") * F.col("share")).alias("flow")), "flow")
         sums = {r["kind"]: r["all"] for r in flow.groupBy("kind").agg(F.sum("flow").alias("all")).collect()}  # two rows
         left = F.when(F.col("kind") == "trust", 1 - DAMPING * sums.get("trust", 0.0)).otherwise(
@@ -102,13 +105,13 @@ def _spread(links: DataFrame, rank: DataFrame, seeds: DataFrame) -> DataFrame:
             (DAMPING * F.coalesce("flow", F.lit(0.0)) + left * F.col("seed")).alias("rank"),
         )
         moved = kept_table(moved, "rank")
-        rank = moved.drop("was")
-        if (moved.agg(F.sum(F.abs(F.col("rank") - F.col("was")))).first()[0] or 0.0) < NEAR:
-            break
-    return rank
+        forget(rank, flow)
+        rank = moved
+        if (moved.agg(F.sum(F.abs(F.col("rank") - F.col("was")))).first()[0] or 0.0) < near:
+            return rank
 
 
-def judge(df: DataFrame, rules: list[Rule], url: str = "url", html: str = "html", margin: float = 0.15) -> DataFrame:
+def judge(df: DataFrame, rules: list[Rule], url: str = "url", html: str = "html", margin: float = MARGIN) -> DataFrame:
     """Adds host, path, rule (null if none fits) and verdict ("allow" or "block")."""
     host, path = host_of(df[url]), path_of(df[url])
     by_rule = fitting(rules, host, path)
