@@ -108,3 +108,10 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(SimpleNamespace(sparkContext=context), "x")
     assert scratch_dir(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_rises_look_back_in_one_pass(spark):
+    """Light and heavy rows once each, and the keys' counts for both: no pass of its own for the row before."""
+    text = plan(alerts.temperature_rises(readings(spark, FOLDER)))
+    assert count(text, "Scan parquet") <= 4
+    assert count(text, "SortMergeJoin") == 0

@@ -21,7 +21,6 @@ from tidemark.operators.sequences import (
     apart,
     by_time,
     islands,
-    previous,
     sliced_running,
     with_halo,
 )
@@ -112,15 +111,14 @@ def rising_runs(
     first row of a key counts as a rise.
     """
     slices = by_time(ts, width, heavy_rows)
-    beside = previous(df.select(*keys, ts, tie, value), keys, [ts, tie], slices, {value: "_before"})
-    rises = F.coalesce(F.col(value) > F.col("_before"), F.lit(True))
+    rises = lambda before, row: F.coalesce(row[value] > before[value], F.lit(True))
     measures = [
-        Measure("run_start", "min", F.when(rises, F.col(ts))),
+        Measure("run_start", "min", lambda before, row: F.when(rises(before, row), row[ts])),
         Measure("run_end", "max", F.col(ts)),
-        Measure("n_rises", "sum", rises.cast("bigint")),
+        Measure("n_rises", "sum", lambda before, row: rises(before, row).cast("bigint")),
     ]
     falls = lambda a, b: b[value] < a[value]
-    runs = islands(beside, keys, [ts, tie], slices, falls, [value], measures)
+    runs = islands(df.select(*keys, ts, tie, value), keys, [ts, tie], slices, falls, [value], measures)
     return runs.where(F.unix_micros("run_end") - F.unix_micros("run_start") >= micros(at_least))
 
 

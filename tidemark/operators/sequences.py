@@ -65,11 +65,27 @@ def by_number(column: str, width: int, heavy_rows: int = HEAVY_ROWS) -> Slices:
 
 @dataclass(frozen=True)
 class Measure:
-    """A running value: its name, how parts merge (sum, max, min), and each row's part."""
+    """A running value: its name, how parts merge (sum, max, min), and each row's part.
+
+    For ``islands`` the part may be a function of the row before and the row itself, given by name.
+    """
 
     name: str
     merge: str
-    part: Column
+    part: Column | Callable[[dict[str, Column], dict[str, Column]], Column]
+
+    def of(self, before: dict[str, Column], row: dict[str, Column]) -> Column:
+        return self.part(before, row) if callable(self.part) and not isinstance(self.part, Column) else self.part
+
+    @property
+    def looks_back(self) -> bool:
+        return not isinstance(self.part, Column)
+
+    def with_first(self, part: Column) -> Column:
+        """This value together with the part of a row that was left out."""
+        here = F.col(self.name)
+        both = {"sum": here + part, "max": F.greatest(here, part), "min": F.least(here, part)}[self.merge]
+        return F.coalesce(both, here, part)
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame:
@@ -200,14 +216,15 @@ def islands(
     """Reduces each unbroken run of rows in a key to one row holding its merged measures.
 
     ``breaks(previous, current)`` tells from the ``values`` of two neighbouring rows, given by name,
-    whether a new run begins. Rows of heavy keys are cut into runs inside their slice first. Only
+    whether a new run begins. Measures may look at the row before too, which is null on a key's
+    first row; on the first row of a slice they wait for the slice before. Rows of heavy keys are cut into runs inside their slice first. Only
     the first and the last run of a slice can go on in another slice, so only those are put in
     sequence per key; every other run is already whole and stays spread over the cluster.
     """
     slices.check(order)
     fields = [*order, *[v for v in values if v not in order]]
     merged = [MERGE[m.merge](m.name).alias(m.name) for m in measures]
-    current = {v: F.col(v) for v in values}
+    current = {v: F.col(v) for v in fields}
 
     def neighbour(side: str) -> dict[str, Column]:
         return {v: F.col(f"{side}{v}") for v in values}
@@ -222,14 +239,15 @@ def islands(
         return df.withColumns(beside | ends).withColumn("_opens", opens).withColumn("_run", run)
 
     def whole(df: DataFrame) -> DataFrame:
-        parts = [MERGE[m.merge](m.part).alias(m.name) for m in measures]
+        parts = [MERGE[m.merge](m.of(neighbour("_before_"), current)).alias(m.name) for m in measures]
         return cut(df, keys).groupBy(*keys, "_run").agg(*parts).drop("_run")
 
     def sliced(df: DataFrame) -> DataFrame:
         edge = lambda flag, out: [F.max(F.when(F.col(flag), F.col(f))).alias(f"{out}{f}") for f in fields]
         row = lambda out: F.struct(*[F.col(f"{out}{f}").alias(f) for f in fields])
         closes = F.col("_is_last") | breaks(current, neighbour("_after_"))
-        parts = [MERGE[m.merge](m.part).alias(m.name) for m in measures]
+        here = lambda m: m.of(neighbour("_before_"), current)
+        parts = [MERGE[m.merge](F.when(~F.col("_is_first"), here(m)) if m.looks_back else here(m)).alias(m.name) for m in measures]
         last_run = F.max("_run").over(Window.partitionBy(*keys, SLICE))
         runs = (
             cut(df.withColumn(SLICE, slices.start()), [*keys, SLICE])
@@ -248,8 +266,15 @@ def islands(
         group = [*keys, "_whole_slice", "_whole_run"]
         chain = Window.partitionBy(*group).orderBy("_first")
         goes_on = (F.col("_run") == 1) & ~breaks(F.col("_before"), F.col("_first"))
+        side = lambda c: {f: F.col(c)[f] for f in fields}
+        late = {
+            m.name: F.when(F.col("_run") == 1, m.with_first(m.of(side("_before"), side("_first")))).otherwise(F.col(m.name))
+            for m in measures
+            if m.looks_back
+        }
         return (
             runs.withColumn("_before", F.lag("_final").over(chain))
+            .withColumns(late)
             .withColumn("_starts", F.when(F.col("_before").isNotNull() & goes_on, 0).otherwise(1))
             .withColumn("_no", F.sum("_starts").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
             .groupBy(*group, "_no")

@@ -8,7 +8,8 @@ bound the memory.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -273,9 +274,115 @@ class FailBursts(_Ordered):
         return self._closes_at(self.window.get()[0]) if self.window.exists() else None
 
 
-def apply_processor(stream: DataFrame, key: str, processor: _Ordered) -> DataFrame:
+@dataclass(frozen=True)
+class Step:
+    """A row of a pattern: the boolean column that tells it, and whether other rows may lie before it."""
+
+    flag: str
+    relaxed: bool = False
+
+
+def times(flag: str, n: int) -> tuple[Step, ...]:
+    """n rows of a kind directly after each other."""
+    return (Step(flag),) * n
+
+
+class PatternMatches(_OnRows):
+    """Rows that follow each other as the steps say, the last at most ``within`` after the first. List state.
+
+    Every row that fits the first step starts a match of its own, so matches may overlap. A match under way
+    holds the step it waits for and its start; it ends when its time is over, or when the next row doesn't
+    fit a step that must follow directly. A relaxed step takes the next row that fits.
+    """
+
+    def __init__(self, key: str, key_type: str, steps: Sequence[Step], within_micros: int, inclusive: bool = True) -> None:
+        self.key, self.sequence = key, tuple(steps)
+        self.longest = within_micros - (not inclusive)
+        self.schema = f"{key} {key_type}, first_ts timestamp, last_ts timestamp"
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.partial = handle.getListState("partial", "step int, first bigint")
+
+    def each(self, key, rows):
+        under_way = [tuple(p) for p in self.partial.get()] if self.partial.exists() else []
+        flags = [rows[step.flag].fillna(False).to_numpy(bool) for step in self.sequence]
+        needed = np.logical_or.reduce(flags)
+        found, size = [], len(self.sequence)
+        strict = not any(step.relaxed for step in self.sequence[1:])
+        for i, at in enumerate(_epoch_micros(rows["ts"]).tolist()):
+            if not needed[i]:  # fits no step
+                under_way = [] if strict else [p for p in under_way if self.sequence[p[0]].relaxed]
+                continue
+            going = []
+            for step, first in [*under_way, (0, at)]:
+                if at - first > self.longest:
+                    continue
+                if not flags[step][i]:
+                    if step and self.sequence[step].relaxed:
+                        going.append((step, first))
+                elif step + 1 == size:
+                    found.append((first, at))
+                else:
+                    going.append((step + 1, first))
+            under_way = going
+        if under_way:
+            self.partial.put(under_way)
+        elif self.partial.exists():
+            self.partial.clear()
+        out = pd.DataFrame(found, columns=["first_ts", "last_ts"], dtype="int64")
+        out = out.apply(lambda c: pd.to_datetime(c, unit="us"))
+        out.insert(0, self.key, key[0])
+        return out
+
+
+class FirstClosing(_Ordered):
+    """For each opening row the first closing time at its time or later, less than ``within`` later, or null. List state.
+
+    Rows bear ``opens``, ``closes`` and ``own``; an opening row of another slice is not told again.
+    """
+
+    def __init__(self, key: str, key_type: str, within_micros: int) -> None:
+        self.key, self.within = key, within_micros
+        self.schema = f"{key} {key_type}, opened_ts timestamp, event_id bigint, closed_ts timestamp"
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.pending = handle.getListState("pending", "opened bigint, event_id bigint")
+
+    def _held(self) -> list[tuple[int, int]]:
+        return [tuple(p) for p in self.pending.get()] if self.pending.exists() else []
+
+    def steps(self, key, rows, watermark):
+        held, closes = self._held(), np.zeros(0, np.int64)
+        if rows is not None and len(rows):
+            at = _epoch_micros(rows["ts"]).to_numpy()
+            mine = (rows["opens"] & rows["own"]).to_numpy(bool)
+            held += zip(at[mine].tolist(), rows["event_id"][mine].tolist(), strict=True)
+            closes = at[rows["closes"].to_numpy(bool)]  # in order, as the rows are
+        if not held:
+            return None
+        opened, ids = (np.array(c, np.int64) for c in zip(*held, strict=True))
+        nearest = np.append(closes, np.iinfo(np.int64).max)[np.searchsorted(closes, opened)]
+        closed = nearest - self.within < opened
+        over = closed | (opened + self.within <= watermark * 1000)
+        if over.any() or len(closes) or rows is not None:
+            if (~over).any():
+                self.pending.put(list(zip(opened[~over].tolist(), ids[~over].tolist(), strict=True)))
+            elif self.pending.exists():
+                self.pending.clear()
+        times = pd.Series(nearest[over]).where(closed[over])
+        out = pd.DataFrame({"opened_ts": pd.to_datetime(opened[over], unit="us"), "event_id": ids[over]})
+        out["closed_ts"] = pd.to_datetime(times.astype("Int64"), unit="us")
+        out.insert(0, self.key, pd.Series([key[0]] * len(out), dtype=object))
+        return out
+
+    def wake(self):
+        held = self._held()
+        return -(-(min(at for at, _ in held) + self.within) // 1000) if held else None
+
+
+def apply_processor(stream: DataFrame, key: str | Sequence[str], processor: _Ordered) -> DataFrame:
     """Runs a processor per key over a stream, which needs a watermark on its time."""
-    return stream.groupBy(key).transformWithStateInPandas(
+    return stream.groupBy(*([key] if isinstance(key, str) else key)).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.schema,
         outputMode="append",

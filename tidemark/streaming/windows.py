@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.durations import micros, spark_interval
 from tidemark.operators.aggregates import bitmap_offset, distinct_per_window
 from tidemark.operators.ranking import top_n
-from tidemark.operators.sequences import Measure
+from tidemark.operators.sequences import SLICE, Measure, with_halo
 from tidemark.operators.windows import sliding
+from tidemark.streaming.processors import FirstClosing, PatternMatches, apply_processor, times
 
 
 def window_counts(
@@ -49,20 +50,33 @@ def distinct_users(
 
 
 def first_closing(
-    opens: DataFrame, closes: DataFrame, key: str, open_ts: str, close_ts: str, within: str | int
+    rows: DataFrame, key: str, ts: str, opens: Column, closes: Column, within: str | int, width: str | int = "1 hour"
 ) -> DataFrame:
-    """For each opening row of a stream the first closing time less than ``within`` later, or null.
+    """For each opening row of a stream the first closing time of its key less than ``within`` later, or null.
 
-    Both streams need watermarks. Unmatched openings come out when their time has run out.
+    The stream needs a watermark and the columns key, ``ts`` and ``event_id``. A key is cut into time slices, and a
+    closing row goes to the slices in which it may be waited for, so the state of a hot key is spread and no pairs are
+    made. Openings without a closing row come out when their time has run out. Null keys belong to nobody, and
+    their openings come out at once.
     """
-    other = closes.withColumnRenamed(key, "_key")
-    near = (
-        (F.col(key) == F.col("_key"))
-        & F.expr(f"{close_ts} >= {open_ts}")
-        & F.expr(f"{close_ts} < {open_ts} + interval {micros(within)} microseconds")
-    )
-    joined = opens.join(other, near, "left_outer")
-    return joined.groupBy(*opens.columns).agg(F.min(close_ts).alias("closed_ts"))
+    flagged = rows.select(key, F.col(ts).alias("ts"), "event_id", opens.alias("opens"), closes.alias("closes"))
+    nobodys = flagged.where(F.col("opens") & F.col(key).isNull())
+    nobodys = nobodys.select(key, F.col("ts").alias("opened_ts"), "event_id", F.lit(None).cast("timestamp").alias("closed_ts"))
+    flagged = flagged.where(F.col(key).isNotNull())
+    seconds = max(micros(width), 4 * micros(within)) // 1_000_000
+    near = with_halo(flagged.where("opens OR closes"), "ts", seconds, 0, within).where("_own OR closes")
+    near = near.withColumnsRenamed({SLICE: "slice", "_own": "own"})  # processors lose names that begin with _
+    kind = rows.schema[key].dataType.simpleString()
+    return apply_processor(near, [key, "slice"], FirstClosing(key, kind, micros(within))).union(nobodys)
+
+
+def consecutive(
+    rows: DataFrame, key: str, ts: str, matches: Column, n: int, within: str | int, inclusive: bool = True
+) -> DataFrame:
+    """``n`` matching rows of a stream directly after each other in a key, as the operator of this name tells them."""
+    flagged = rows.select(key, F.col(ts).alias("ts"), "event_id", matches.alias("match")).where(F.col(key).isNotNull())
+    kind = rows.schema[key].dataType.simpleString()
+    return apply_processor(flagged, key, PatternMatches(key, kind, times("match", n), micros(within), inclusive))
 
 
 def reconciled(

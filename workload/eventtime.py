@@ -172,23 +172,23 @@ def _login_sql(lags: int, bound: str) -> str:
         lag(s, {lags}) OVER ({order}) AS first FROM {LOGINS}) WHERE {fails} AND s - first {bound}"""
 
 
-def _warnings(found):
+def login_warnings(found):
     return found.select("user_id", epoch("first_ts").alias("first_second"), epoch("last_ts").alias("last_second"))
 
 
 @query("login_failures", _login_sql(1, "<= 7200"))
 def login_failures(spark, folder):
-    return _warnings(alerts.login_failures(logins(spark, folder), 2, "2 hours"))
+    return login_warnings(alerts.login_failures(logins(spark, folder), 2, "2 hours"))
 
 
 @query("login_failure_pattern", _login_sql(1, "< 7200"))
 def login_failure_pattern(spark, folder):
-    return _warnings(alerts.login_failures(logins(spark, folder), 2, "2 hours", inclusive=False))
+    return login_warnings(alerts.login_failures(logins(spark, folder), 2, "2 hours", inclusive=False))
 
 
 @query("login_failures_three", _login_sql(2, "<= 86400"))
 def login_failures_three(spark, folder):
-    return _warnings(alerts.login_failures(logins(spark, folder), 3, "1 day"))
+    return login_warnings(alerts.login_failures(logins(spark, folder), 3, "1 day"))
 
 
 BURSTS = f"""WITH RECURSIVE logged AS (

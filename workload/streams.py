@@ -58,13 +58,14 @@ from workload.eventtime import (
     SESSIONS,
     SYNC,
     TIMEOUTS,
+    login_warnings,
     min_row_aggregate,
     min_rows,
     session_rows,
     timeout_rows,
 )
 from workload.grouping import BIT, HOT_ITEMS, HOT_PAGES, PAYS, RECEIPTS, RECONCILED, WORD_COUNT, ranked_rows, reconciled_rows
-from workload.registry import BEHAVIOURS, HOUR, READINGS, query
+from workload.registry import BEHAVIOURS, HOUR, READINGS, SQL, query
 
 
 def events(spark, folder, event_type="view", **values):
@@ -230,21 +231,6 @@ def stream_reconcile_payments(spark, folder):
     return reconciled_rows(run_to_table(found, spark, ends))
 
 
-@query("stream_payment_timeouts", TIMEOUTS)
-def stream_payment_timeouts(spark, folder):
-    """Orders and payments as two streams, so a payment arriving before its order does no harm."""
-    (signups, signup_end), (purchases, purchase_end) = _halves(spark, folder, "signup", "purchase")
-    creates = as_orders_and_payments(signups).where("event_type = 'create'")
-    pays = as_orders_and_payments(purchases).where("event_type = 'pay'")
-    delay = disorder(spark, f"{folder}/events.parquet", "ts")
-    closing = streamed.first_closing(
-        creates.select("order_id", F.col("ts").alias("opened_ts"), "event_id").withWatermark("opened_ts", delay),
-        pays.select("order_id", F.col("ts").alias("paid_ts")).withWatermark("paid_ts", delay),
-        "order_id", "opened_ts", "paid_ts", "1 day",
-    )
-    return timeout_rows(alerts.with_result(run_to_table(closing, spark, [signup_end, purchase_end]), "1 day"))
-
-
 @query(
     "stream_window_pairs",
     f"""SELECT tx_id, pay_id, receipt_id FROM {PAYS} JOIN {RECEIPTS} USING (tx_id)
@@ -259,12 +245,44 @@ def stream_window_pairs(spark, folder):
     return run_to_table(pairs, spark, ends)
 
 
-def _processed(spark, folder, rows_of, key, processor):
-    """A keyed processor, which sorts a key's rows of one batch in memory, over smaller batches."""
+def _ordered(spark, folder, rows_of, apply, event_type="click"):
+    """Keyed processors sort a key's rows of one batch in memory, so batches are smaller."""
     stream = table_stream(stream_session(spark), folder, "events", gigabytes_per_batch=1)
-    whole, end = with_end(stream, "ts", event_id=-1, event_type="click", user_id=-1, value=0.0)
+    whole, end = with_end(stream, "ts", event_id=-1, event_type=event_type, user_id=-1, value=0.0)
     rows = rows_of(whole).withWatermark("ts", disorder(spark, f"{folder}/events.parquet", "ts"))
-    return run_to_table(processors.apply_processor(rows, key, processor), spark, [end])
+    return run_to_table(apply(rows), spark, [end])
+
+
+def _processed(spark, folder, rows_of, key, processor):
+    return _ordered(spark, folder, rows_of, lambda rows: processors.apply_processor(rows, key, processor))
+
+
+@query("stream_payment_timeouts", TIMEOUTS)
+def stream_payment_timeouts(spark, folder):
+    """Orders wait in state for their payment, which may arrive before them."""
+    kind = F.col("event_type")
+    apply = lambda rows: streamed.first_closing(rows, "order_id", "ts", kind == "create", kind == "pay", "1 day", "16 days")
+    return timeout_rows(alerts.with_result(_ordered(spark, folder, as_orders_and_payments, apply, "signup"), "1 day"))
+
+
+def _failures(spark, folder, n, within, inclusive=True):
+    apply = lambda rows: streamed.consecutive(rows, "user_id", "ts", F.col("status") == "fail", n, within, inclusive)
+    return login_warnings(_ordered(spark, folder, as_logins, apply))
+
+
+@query("stream_login_failures", SQL["login_failures"])
+def stream_login_failures(spark, folder):
+    return _failures(spark, folder, 2, "2 hours")
+
+
+@query("stream_login_failure_pattern", SQL["login_failure_pattern"])
+def stream_login_failure_pattern(spark, folder):
+    return _failures(spark, folder, 2, "2 hours", inclusive=False)
+
+
+@query("stream_login_failures_three", SQL["login_failures_three"])
+def stream_login_failures_three(spark, folder):
+    return _failures(spark, folder, 3, "1 day")
 
 
 @query("stream_running_count", NUMBERS)
