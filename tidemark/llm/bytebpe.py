@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_column, id_lists, strings, text_of
 from tidemark.llm.splitting import Memo, lines_of
 
-STATES = 150_000
-WORDS = 120_000
+STATES = 100_000
+WORDS = 50_000
 NEVER = 1 << 62
 ID, LOW = 24, (1 << 24) - 1
 #: Bytes read before tokens are emitted; several times the longest token.

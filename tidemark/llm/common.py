@@ -59,10 +59,11 @@ def id_lists(packed: Iterable[bytes]) -> pa.Array:
 
 
 def arrow_column(function: Callable[[pa.Array], pa.Array], kind: str) -> Callable[..., Column]:
-    """A column function that works on one Arrow batch at a time, in tasks."""
+    """A column function that works on one Arrow batch at a time, in tasks. Memory goes back between batches."""
 
     def run(batches):
         for batch in batches:
             yield function(batch)
+            pa.default_memory_pool().release_unused()
 
     return F.arrow_udf(run, kind, ArrowUDFType.SCALAR_ITER)
