@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.durations import micros
 from tidemark.operators import aggregates, joins, lateness, patterns, ranking, windows
+from tidemark.operators.chains import chained_windows
 from tidemark.operators.sequences import Measure, by_number, by_time, previous, running
 from tidemark.plans import popularity, traffic
 
@@ -247,3 +248,29 @@ def test_jobs_do_not_depend_on_partitioning(events, partitions):
         lambda b: traffic.unique_visitors_bitmap(b, "fail"),
     ):
         same(job(spread), job(behaviours))
+
+
+@pytest.mark.parametrize(("within", "width"), [(0, 2), (1, 4), (3, 12), (3, 50), (40, 160)])
+def test_chained_windows(spark, within, width):
+    """Chains over many slices: gaps up to the bound, a key with one row, a null key, places below zero."""
+    draw, made, expected = random.Random(within + width), [], []
+    for key, n in ((1, 900), (None, 60), (2, 1)):
+        at, chain = -77, []
+        for _ in range(n):
+            chain.append((key, at, draw.randrange(1, 5)))
+            at += draw.randrange(1, max(within, 1) + 1)
+        made += chain
+        while chain:
+            inside = [r for r in chain if r[1] <= chain[0][1] + within]
+            expected.append((key, inside[0][1], inside[-1][1], sum(r[2] for r in inside)))
+            chain = chain[len(inside) :]
+    draw.shuffle(made)
+    df = spark.createDataFrame(made, "id bigint, at bigint, n bigint").repartition(5)
+    found = chained_windows(df, ["id"], "at", within, width, {"last": F.max("at"), "total": F.sum("n")})
+    as_tuples = [(r["id"], r["at"], r["last"], r["total"]) for r in found.collect()]
+    assert sorted(as_tuples, key=str) == sorted(expected, key=str)
+
+
+def test_chained_windows_want_wide_slices(spark):
+    with pytest.raises(ValueError, match="too narrow"):
+        chained_windows(spark.range(1).withColumn("at", F.col("id")), ["id"], "at", 10, 30, {"last": F.max("at")})

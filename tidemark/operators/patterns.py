@@ -6,13 +6,13 @@ slice with a halo of that length; no key is ever sorted as a whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.durations import micros
+from tidemark.operators.chains import chained_windows
 from tidemark.operators.sequences import (
     HEAVY_ROWS,
     MERGE,
@@ -138,8 +138,8 @@ def bursts(
     A failure opens a window of ``within`` seconds unless one is open; a success before its end
     cancels it; at its end ``at_least`` failures raise a warning. Times are whole seconds. A row
     more than ``within`` after its predecessor always opens a new window, so unbroken stretches of
-    failures are independent. A stretch is first counted per second, which bounds it by its length
-    in seconds however many rows it has.
+    failures are independent. What a stretch holds after its first window is counted per second and cut
+    into windows slice by slice.
     """
     slices = by_time(ts, _slice_seconds(width, within), heavy_rows)
     second = lambda c: F.unix_seconds(c)
@@ -164,16 +164,15 @@ def bursts(
     def whole(df: DataFrame) -> DataFrame:
         so_far = Window.partitionBy(key).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
         numbered = marked(df, [key]).withColumns({m.name: MERGE[m.merge](m.part).over(so_far) for m in measures})
-        return found(numbered.where("_fail"))
+        return numbered.where("_fail")
 
     def sliced(df: DataFrame) -> DataFrame:
         near = marked(with_halo(df, ts, slices.width // 1_000_000, within, within), [key, SLICE])
         failed = near.where("_own AND _fail").drop(SLICE, "_own")
-        return found(sliced_running(failed, [key], [ts, tie], slices, measures))
+        return sliced_running(failed, [key], [ts, tie], slices, measures)
 
-    names = [key, "first_second", "last_second", "n_fails"]
-    types = {key: df.schema[key].dataType.simpleString()}
-    schema = ", ".join(f"{n} {types.get(n, 'bigint')}" for n in names)
+    called_off = F.coalesce(F.col("_cancel") <= F.col("first_second") + within, F.lit(False))
+    warns = (F.col("n_fails") >= at_least) & ~called_off
 
     def found(failed: DataFrame) -> DataFrame:
         """The first window of every stretch, and the windows cut from what is left of long ones."""
@@ -183,35 +182,13 @@ def bursts(
             failed.where(in_first)
             .groupBy(key, "_stretch", F.col("_first").alias("first_second"))
             .agg(F.max(at).alias("last_second"), F.count(F.lit(1)).alias("n_fails"), F.max("_cancel").alias("_cancel"))
-            .where((F.col("n_fails") >= at_least) & F.coalesce(F.col("_cancel") > F.col("first_second") + within, F.lit(True)))
         )
-        per_second = failed.where(~in_first).groupBy(key, "_stretch", at.alias("_second")).agg(
-            F.count(F.lit(1)).alias("_n"), F.max("_cancel").alias("_cancel")
+        per_second = failed.where(~in_first).groupBy(key, "_stretch", at.alias("first_second")).agg(
+            F.count(F.lit(1)).alias("_n"), F.max("_cancel").alias("_called")
         )
-        left = per_second.groupBy(key, "_stretch").agg(
-            F.max("_cancel").alias("_cancel"), F.array_sort(F.collect_list(F.struct("_second", "_n"))).alias("_rows")
-        )
-        cut = left.select(key, "_cancel", "_rows._second", "_rows._n").mapInPandas(_windows_of(names, within, at_least), schema)
-        return first.select(*names).unionByName(cut)
-
-    return apart(df.select(key, ts, tie, fails.alias("_fail")), [key], slices, whole, sliced)
-
-
-def _windows_of(names: Sequence[str], within: int, at_least: int):
-    """Cuts stretches of failures, given as seconds and counts, into windows that follow each other."""
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for key, cancel, seconds, counts in batch.itertuples(index=False):
-                opened, n = seconds[0], 0
-                for at, count in zip(seconds, counts, strict=True):
-                    if at > opened + within:
-                        found.append((key, opened, last, n))
-                        opened, n = at, 0
-                    last, n = at, n + count
-                if not cancel <= opened + within:
-                    found.append((key, opened, last, n))
-            yield pd.DataFrame([f for f in found if f[3] >= at_least], columns=names)
-
-    return cut
+        totals = {"last_second": F.max("first_second"), "n_fails": F.sum("_n"), "_cancel": F.max("_called")}
+        width_s = max(_slice_seconds(width, within), 2 * within + 2)
+        cut = chained_windows(per_second, [key, "_stretch"], "first_second", within, width_s, totals)
+        return first.unionByName(cut.select(*first.columns)).where(warns).select(key, "first_second", "last_second", "n_fails")
+
+    return found(apart(df.select(key, ts, tie, fails.alias("_fail")), [key], slices, whole, sliced))
