@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -15,7 +16,7 @@ from tidemark.operators.sequences import Measure
 from tidemark.operators.windows import epoch, sessions, sliding, tumbling
 from tidemark.plans import alerts, popularity, traffic
 from tidemark.session import scratch_dir
-from tidemark.sinks.keyed import merge_each_batch, merge_keyed, read_keyed
+from tidemark.sinks.keyed import grown, merge_each_batch, merge_keyed, read_keyed
 from tidemark.sources.streams import file_stream, line_stream
 from tidemark.streaming import processors
 from tidemark.streaming import windows as streamed
@@ -228,7 +229,7 @@ def test_restart_keeps_totals(spark, tmp_path):
     assert run() == [("a", 3), ("b", 1), ("c", 1)]
 
 
-def test_keyed_merges_and_full_steps(spark, tmp_path):
+def test_keyed_merges_and_levels(spark, tmp_path):
     path = str(tmp_path / "keyed")
     assert read_keyed(spark, path, ["k"], ["at"], schema="k bigint, v bigint, at bigint").count() == 0
     expected = {}
@@ -237,10 +238,52 @@ def test_keyed_merges_and_full_steps(spark, tmp_path):
         expected |= {k: v for k, v, _ in made}
         updates = spark.createDataFrame(made, "k bigint, v bigint, at bigint")
         for _ in range(2):  # a repeated batch changes nothing
-            merge_keyed(updates, path, ["k"], ["at"], step, full_every=3)
+            merge_keyed(updates, path, ["k"], ["at"], step, fan=3)
     assert {r["k"]: r["v"] for r in read_keyed(spark, path, ["k"], ["at"]).collect()} == expected
-    steps = sorted(int(p.name.split("-")[1]) for p in (tmp_path / "keyed").iterdir())
-    assert any(p.name.startswith("full-") for p in (tmp_path / "keyed").iterdir()) and steps[0] > 0
+    steps = [tuple(map(int, p.name.split("-")[1:])) for p in (tmp_path / "keyed").iterdir()]
+    assert any(first < last for first, last in steps) and len(steps) < 12
+
+
+def test_small_merges_never_rewrite_the_table(spark, tmp_path):
+    """Counted: all rows that 20 merges of one key write, next to a table of 100 000."""
+    path = tmp_path / "keyed"
+    base = spark.range(100_000).selectExpr("id AS k", "hash(id) AS v", "0L AS at")
+    merge_keyed(base, str(path), ["k"], ["at"], 0, fan=4)
+    written = 0
+    for step in range(1, 21):
+        before = set(path.iterdir())
+        merge_keyed(base.where(f"k = {step % 5}").withColumn("v", F.lit(step)), str(path), ["k"], ["at"], step, fan=4)
+        (new,) = [p for p in path.iterdir() if p not in before]
+        written += spark.read.parquet(str(new)).count()
+    assert written < 100 and (path / "run-0-0").exists()
+    found = read_keyed(spark, str(path), ["k"], ["at"])
+    assert found.count() == 100_000
+    assert {r["k"]: r["v"] for r in found.where("k < 5").collect()} == {0: 20, 1: 16, 2: 17, 3: 18, 4: 19}
+
+
+def test_a_merge_that_failed_is_written_again(spark, tmp_path):
+    """A run without its marker is not read, and the repeated batch replaces it."""
+    path = tmp_path / "keyed"
+    updates = lambda v: spark.createDataFrame([(1, v, v)], "k bigint, v bigint, at bigint")
+    merge_keyed(updates(1), str(path), ["k"], ["at"], 0)
+    merge_keyed(updates(2), str(path), ["k"], ["at"], 1)
+    (path / "run-1-1" / "_SUCCESS").unlink()
+    assert rows(read_keyed(spark, str(path), ["k"], ["at"]), "k", "v") == [(1, 1)]
+    merge_keyed(updates(3), str(path), ["k"], ["at"], 1)
+    assert rows(read_keyed(spark, str(path), ["k"], ["at"]), "k", "v") == [(1, 3)]
+
+
+@pytest.mark.parametrize("fan", [2, 8])
+def test_levels_are_few_and_rewrites_rare(fan):
+    """A thousand equal steps on a large table: runs kept, and bytes rewritten for each byte that came."""
+    sizes, written, most = [1_000_000], 0, 0
+    for _ in range(1000):
+        n = grown(sizes, fan)
+        sizes[len(sizes) - n :] = [sum(sizes[len(sizes) - n :]) + 1]
+        written, most = written + sizes[-1], max(most, len(sizes))
+    assert sizes[0] == 1_000_000 and sum(sizes) == 1_001_000
+    levels = math.ceil(math.log(1000, fan)) + 1
+    assert most <= fan * levels and written <= 1000 * levels
 
 
 def test_late_updates_do_not_undo_newer_ones(spark, tmp_path):
