@@ -363,3 +363,17 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, folder)
     assert empty.count() == 0
+
+
+def test_columns_are_worked_on_in_slices():
+    """Slices hold all rows once, in order; a row larger than a slice is one; no rows, no slice."""
+    import pyarrow as pa
+
+    from tidemark.llm.common import PART, parts
+
+    texts = ["a" * (PART // 2), "", None, "b" * (3 * PART)] * 3 + ["c"] * 1000
+    column = pa.array(texts, pa.string())
+    found = list(parts(column))
+    assert len(found) > 3 and pa.concat_arrays(found).to_pylist() == texts
+    assert not list(parts(pa.array([], pa.string())))
+    assert pa.concat_arrays(list(parts(column.slice(5, 20)))).to_pylist() == texts[5:25]

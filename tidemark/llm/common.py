@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -13,6 +14,8 @@ from tidemark.session import scratch_dir
 
 #: A word, as the contracts of the quality rules and of the mix have it.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of a batch that a column function is given at a time.
+PART = 1 << 22
 
 
 def kept_table(df: DataFrame, name: str) -> DataFrame:
@@ -58,12 +61,28 @@ def id_lists(packed: Iterable[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), values)
 
 
+def parts(batch: pa.Array) -> Iterator[pa.Array]:
+    """A column in slices of about PART bytes, one row at least."""
+    step = max(1, len(batch) * PART // max(batch.nbytes, 1))
+    return (batch.slice(at, step) for at in range(0, len(batch), step))
+
+
+def give_back() -> None:
+    """Returns free memory to the system. Workers live on after a task, and others run beside them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def arrow_column(function: Callable[[pa.Array], pa.Array], kind: str) -> Callable[..., Column]:
-    """A column function that works on one Arrow batch at a time, in tasks. Memory goes back between batches."""
+    """A column function that works on slices of one Arrow batch at a time, in tasks. Memory goes back between batches."""
 
     def run(batches):
+        give_back()
         for batch in batches:
-            yield function(batch)
-            pa.default_memory_pool().release_unused()
+            yield from map(function, parts(batch))
+            del batch
+            give_back()
 
     return F.arrow_udf(run, kind, ArrowUDFType.SCALAR_ITER)
