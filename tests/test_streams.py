@@ -104,6 +104,61 @@ def test_sessions(spark, stream, table):
     same(found.select(columns), sessions(table, "ts", "9 hours", ["user_id"], "event_id", [ONE()]).select(columns))
 
 
+@pytest.mark.parametrize(
+    "size, slide, delay", [("1 hour", "5 minutes", "1 minute"), ("70 minutes", "20 minutes", "40 days"), ("3 days", "1 day", "1 minute")]
+)
+def test_sliding_sums_take_off_what_drops_out(spark, stream, table, size, slide, delay):
+    """Over several batches, with silences longer than a window and a watermark that moves late or only at the end."""
+    replay, end = stream
+    sums = streamed.sliding_sums(
+        replay.withWatermark("ts", delay), "ts", size, slide, ["kind"], {"n": F.lit(1), "of_users": F.col("user_id")}
+    )
+    measures = [ONE(), Measure("of_users", "sum", F.col("user_id").cast("bigint"))]
+    same(run_to_table(sums, spark, [end]), sliding(table, "ts", size, slide, ["kind"], measures))
+
+
+def test_sliding_sums_of_null_keys_and_values(spark):
+    path = scratch_dir(spark, "nulls")
+    made = [(None, 5, 0), (None, None, 100), (0, 7, 50), (0, -7, 59), (3, 2**40, 4000), (None, 1, 90000)]
+    schema = "k int, v bigint, ts timestamp"
+    spark.createDataFrame(made, "k int, v bigint, s bigint").selectExpr("k", "v", "timestamp_seconds(s) AS ts").coalesce(
+        1
+    ).write.parquet(path)
+    replay, end = with_end(file_stream(stream_session(spark), path, schema), "ts")
+    sums = {"n": F.lit(1), "v": F.col("v")}
+    marked = replay.withWatermark("ts", "0 seconds")
+    found = run_to_table(streamed.sliding_sums(marked, "ts", "2 minutes", "1 minute", ["k"], sums), spark, [end])
+    wanted = {}
+    for k, v, s in made:
+        for w in range(s // 60 * 60 + 60, s // 60 * 60 + 121, 60):
+            n, total = wanted.get((k, w), (0, 0))
+            wanted[k, w] = n + 1, total + (v or 0)
+    assert rows(found.select("k", F.unix_seconds("window_end"), "n", "v")) == sorted(((*key, *value) for key, value in wanted.items()), key=repr)
+    with pytest.raises(ValueError, match="whole numbers"):
+        streamed.sliding_sums(marked, "ts", "2 minutes", "1 minute", ["k"], {"v": F.lit(0.5)})
+
+
+def test_changes_take_back_what_they_told(spark, source, table):
+    """Each batch tells a changed key's old total once as -1 and its new one as +1; a null key is a key."""
+    made = file_stream(stream_session(spark), source, EVENTS, files_per_batch=1)
+    key = F.when(F.col("user_id") % 5 != 0, F.col("user_id"))
+    measures = {"n": F.lit(1), "v": F.when(F.col("kind") == "view", F.lit(1))}
+    changes = run_to_table(streamed.retractions(made.withColumn("user_id", key), ["user_id"], measures), spark)
+    expected = table.groupBy(key.alias("user_id")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") == "view").alias("v"))
+    same(streamed.replayed_changes(changes), expected)
+    taken, told = (changes.where(F.col("change") == c).drop("change") for c in (-1, 1))
+    assert taken.count() > expected.count()  # every key over several batches
+    assert taken.exceptAll(told).count() == 0
+    assert told.exceptAll(taken).count() == expected.count()
+
+
+def test_changes_of_nothing(spark):
+    path = scratch_dir(spark, "none")
+    spark.range(0).write.parquet(path)
+    made = file_stream(stream_session(spark), path, "id bigint")
+    assert run_to_table(streamed.retractions(made, ["id"], {"n": F.lit(1)}), spark).count() == 0
+
+
 def test_second_stage(spark, stream, table):
     replay, end = stream
     salted = replay.where("kind = 'view'").withColumn("salt", F.pmod("event_id", F.lit(3)))
@@ -131,6 +186,38 @@ def test_interval_join(spark, source, table):
     same(found, expected)
 
 
+@pytest.mark.parametrize("join", ["interval", "reconciled"])
+def test_hot_key_waits_in_many_partitions(spark, source, join):
+    """All rows of one key: the state of both sides is cut by time. Without an end, so state is still there."""
+    session = stream_session(spark)
+    checkpoint = scratch_dir(spark, "hot")
+    halves = [
+        file_stream(session, source, EVENTS)
+        .where(F.col("kind") == kind)
+        .select(F.lit(1).alias("tx_id"), F.col("event_id").alias(f"{prefix}_id"), F.col("ts").alias(f"{prefix}_ts"))
+        .withWatermark(f"{prefix}_ts", "40 days")
+        for kind, prefix in (("click", "pay"), ("view", "receipt"))
+    ]
+    if join == "interval":
+        found = interval_join(*halves, ["tx_id"], "pay_ts", "receipt_ts", "-1 hours", "2 hours")
+    else:
+        found = streamed.reconciled(*halves, "tx_id", "pay_ts", "receipt_ts", "-1 hours", "2 hours")
+    pairs = run_to_table(found, spark, checkpoint=checkpoint)
+    table = spark.read.schema(EVENTS).parquet(source)
+    named = lambda kind, prefix: table.where(F.col("kind") == kind).select(
+        F.col("event_id").alias(f"{prefix}_id"), F.col("ts").alias(f"{prefix}_ts")
+    )
+    near = F.expr("receipt_ts BETWEEN pay_ts - INTERVAL 1 HOUR AND pay_ts + INTERVAL 2 HOURS")
+    expected = named("click", "pay").join(named("view", "receipt"), near).select("pay_id", "receipt_id")
+    assert expected.count() > 100
+    same(pairs, expected)
+    for operator in {"interval": (0,), "reconciled": (0, 1)}[join]:
+        for side in ("left", "right"):
+            state = spark.read.format("statestore").option("operatorId", operator).option("joinSide", side).load(checkpoint)
+            shares = [r["count"] for r in state.groupBy("partition_id").count().collect()]
+            assert len(shares) >= 6 and max(shares) < 0.5 * sum(shares)
+
+
 def processed(name, table):
     """A processor, the key it runs by, and what it must find."""
     readings = table.withColumnRenamed("user_id", "id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.durations import micros
@@ -22,27 +22,39 @@ def interval_join(
 ) -> DataFrame:
     """Pairs of equal keys with right_ts in [left_ts + lower, left_ts + upper], both ends included.
 
-    Streams are joined by Spark on key and time range. Tables are also joined on a time slice of
-    the interval's length: the right side keeps its slice, the left side goes to the two slices its
-    interval can touch. So a hot key is cut by time instead of being matched with itself as a whole.
+    The sides are also joined on a time slice of the interval's length: the right side keeps its slice,
+    the left side goes to the two slices its interval can touch. So a hot key is cut by time instead
+    of being matched with itself as a whole, and on streams its rows wait in many state partitions.
     """
-    low, high = micros(lower), micros(upper)
-    position = F.unix_micros(F.col(left_ts))
-    distance = F.unix_micros(F.col(right_ts)) - position
-    if left.isStreaming or right.isStreaming:
-        other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-        near = F.expr(
-            f"{right_ts} >= {left_ts} + interval {low} microseconds "
-            f"AND {right_ts} <= {left_ts} + interval {high} microseconds"
-        )
-        for k in keys:
-            near = near & (F.col(k) == F.col(f"_r_{k}"))
-        return left.join(other, near).drop(*[f"_r_{k}" for k in keys])
-    width = max(high - low, micros("1 second"))
+    width = slice_width(lower, upper)
+    reached = reached_slices(F.unix_micros(F.col(left_ts)), lower, upper, width)
+    sliced = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    sliced = sliced.withColumn("_r_slice", Slices(F.unix_micros(F.col(right_ts)), width).start())
+    met = within_reach(left_ts, right_ts, lower, upper) & (F.col(SLICE) == F.col("_r_slice"))
+    for k in keys:
+        met = met & (F.col(k) == F.col(f"_r_{k}"))
+    joined = left.withColumn(SLICE, F.explode(reached)).join(sliced, met).drop(SLICE, "_r_slice", *[f"_r_{k}" for k in keys])
+    others = [c for c in joined.columns if c not in keys]
+    return joined.select(*keys, *others)
+
+
+def slice_width(lower: str | int, upper: str | int) -> int:
+    """Slices as long as the interval: a row reaches two of them, and at times one."""
+    return max(micros(upper) - micros(lower), micros("1 second"))
+
+
+def reached_slices(position: Column, lower: str | int, upper: str | int, width: int) -> Column:
+    """The slices in which partners between ``lower`` and ``upper`` of a row may lie."""
     begin = lambda p: p - F.pmod(p, F.lit(width))
-    spread = left.withColumn(SLICE, F.explode(F.sequence(begin(position + low), begin(position + high), F.lit(width))))
-    sliced = right.withColumn(SLICE, Slices(F.unix_micros(F.col(right_ts)), width).start())
-    return spread.join(sliced, [*keys, SLICE]).where(distance.between(low, high)).drop(SLICE)
+    return F.sequence(begin(position + micros(lower)), begin(position + micros(upper)), F.lit(width))
+
+
+def within_reach(left_ts: str, right_ts: str, lower: str | int, upper: str | int) -> Column:
+    """The condition on times, as Spark reads from it how long a stream's rows must wait."""
+    return F.expr(
+        f"{right_ts} >= {left_ts} + interval {micros(lower)} microseconds "
+        f"AND {right_ts} <= {left_ts} + interval {micros(upper)} microseconds"
+    )
 
 
 def unmatched(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.aggregates import bitmap_distinct, count_by, distinct_per_window
+from tidemark.operators.aggregates import bitmap_distinct, count_by, distinct_per_window, sketch_count, sketch_store
 from tidemark.operators.branch import words
 from tidemark.operators.buckets import salted_count
 from tidemark.operators.sequences import Measure
@@ -39,6 +39,18 @@ def unique_visitors_bitmap(behaviours: DataFrame, behaviour: str = "pv", size: s
     return counts.select(F.col("window.end").alias("window_end"), "uv")
 
 
+def visitor_sketches(behaviours: DataFrame, behaviour: str = "pv", pane: str = "1 hour") -> DataFrame:
+    """Sketches of the visitors per pane, which later runs add to and any longer window merges."""
+    seen = behaviours.where(F.col("behaviour") == behaviour)
+    return sketch_store(seen, [F.window("ts", pane).start.alias("pane")], "user_id")
+
+
+def visitors_from_sketches(store: DataFrame, size: str = "1 day", slide: str = "6 hours") -> DataFrame:
+    """Visitors per sliding window from the panes of all runs; a pane, not a row, goes to each of its windows."""
+    window = F.window("pane", size, slide)
+    return sketch_count(store, [window.end.alias("window_end")])
+
+
 def channel_counts(
     actions: DataFrame, left_out: str = "UNINSTALL", size: str = "1 hour", slide: str = "5 seconds"
 ) -> DataFrame:

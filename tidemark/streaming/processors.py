@@ -72,10 +72,12 @@ class _Ordered(StatefulProcessor):
         due = [t for t in (wake, self.wake()) if t is not None and t > watermark]
         if due:
             self.handle.registerTimer(min(due))
-        if out is not None and not out.empty:
-            yield out
+        for part in (out,) if isinstance(out, pd.DataFrame) else out or ():
+            if not part.empty:
+                yield part
 
-    def steps(self, key, rows: pd.DataFrame | None, watermark: int) -> pd.DataFrame | None:
+    def steps(self, key, rows: pd.DataFrame | None, watermark: int) -> pd.DataFrame | Iterator[pd.DataFrame] | None:
+        """What the rows lead to, in parts if it may be long; state is up to date when it returns."""
         raise NotImplementedError
 
     def wake(self) -> int | None:
@@ -380,6 +382,120 @@ class FirstClosing(_Ordered):
         return -(-(min(at for at, _ in held) + self.within) // 1000) if held else None
 
 
+class PaneSums(_Ordered):
+    """Sliding sums of a key from its panes: what came in less what dropped out. List state.
+
+    Rows are finished panes of ``pane`` microseconds, one per time, ``ts`` inside the pane, with whole
+    numbers to add up. A window comes out once the watermark has passed its end, also when no row comes
+    then, and only while it holds a pane. State holds the panes of one window length at most. Windows
+    are made in lots, and a silence is skipped, so the work is that of the panes and of the result.
+    """
+
+    order = ["ts"]
+    LOT = 1 << 16
+
+    def __init__(self, keys: str, measures: Sequence[str], size: int, slide: int, pane: int) -> None:
+        self.measures, self.size, self.slide, self.pane = tuple(measures), size, slide, pane
+        self.schema = ", ".join([keys, "window_end timestamp", *[f"{m} bigint" for m in measures]])
+        self.names = [column.strip().split(" ")[0] for column in keys.split(",")]
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        sums = "".join(f", v{i} bigint" for i in range(len(self.measures)))
+        self.panes = handle.getListState("panes", f"start bigint{sums}")
+        self.told = handle.getValueState("told", "start bigint")
+
+    def _held(self) -> np.ndarray:
+        held = [tuple(p) for p in self.panes.get()] if self.panes.exists() else []
+        return np.array(held, np.int64).reshape(len(held), 1 + len(self.measures))
+
+    def _first(self, pane: int) -> int:
+        """Start of the first window that holds the pane."""
+        return -((self.size - self.pane - pane) // self.slide) * self.slide
+
+    def steps(self, key, rows, watermark):
+        panes = self._held()
+        if rows is not None and len(rows):
+            starts = _epoch_micros(rows["ts"]).to_numpy() // self.pane * self.pane
+            fresh = np.column_stack([starts, *[rows[m].to_numpy(np.int64) for m in self.measures]])
+            panes = np.concatenate([panes, fresh])  # later than those held, which are in order
+        if not len(panes):
+            return None
+        starts = panes[:, 0]
+        so_far = np.zeros_like(panes)
+        np.cumsum(panes[:, 1:], axis=0, out=so_far[:, 1:])
+        so_far = np.concatenate([so_far[:1] * 0, so_far])[:, 1:]
+        last = (watermark * 1000 - self.size) // self.slide * self.slide  # start of the last window that has ended
+        told = self.told.get()[0] if self.told.exists() else None
+        begin = self._first(int(starts[0])) if told is None else max(told + self.slide, self._first(int(starts[0])))
+        self._keep(panes[starts >= last + self.slide], last)
+        return self._windows(key, starts, so_far, begin, last)
+
+    def _windows(self, key, starts: np.ndarray, so_far: np.ndarray, begin: int, last: int) -> Iterator[pd.DataFrame]:
+        while begin <= last:
+            at = int(np.searchsorted(starts, begin))
+            if at == len(starts):
+                return
+            begin = max(begin, self._first(int(starts[at])))
+            windows = np.arange(begin, min(last, begin + (self.LOT - 1) * self.slide) + 1, self.slide)
+            begin += self.LOT * self.slide
+            low, high = np.searchsorted(starts, windows), np.searchsorted(starts, windows + self.size)
+            full = high > low
+            sums = so_far[high[full]] - so_far[low[full]]
+            named = zip(self.names, key, strict=True)
+            out = pd.DataFrame({name: pd.Series([value] * len(sums), dtype=object) for name, value in named})
+            out["window_end"] = pd.to_datetime(windows[full] + self.size, unit="us")
+            yield out.assign(**{name: sums[:, i] for i, name in enumerate(self.measures)})
+
+    def _keep(self, panes: np.ndarray, told: int) -> None:
+        """Holds the panes that lie in windows still to come, which are those after ``told``."""
+        if len(panes):
+            self.panes.put([tuple(row) for row in panes.tolist()])
+            self.told.update((told,))
+        elif self.panes.exists():
+            self.panes.clear()
+            self.told.clear()
+
+    def wake(self):
+        """When the next window ends that holds a pane."""
+        panes = self._held()
+        if not len(panes):
+            return None
+        told, first = self.told.get()[0], self._first(int(panes[0, 0]))
+        return -(-(max(told + self.slide, first) + self.size) // 1000)
+
+
+class Retractions(StatefulProcessor):
+    """Change rows of a key's totals: each batch takes the old total back (-1) and tells the new one (+1). Value state.
+
+    Rows hold amounts to add up. A batch that leaves the totals as they are tells nothing.
+    """
+
+    def __init__(self, keys: str, measures: Sequence[str]) -> None:
+        self.measures = tuple(measures)
+        self.state = ", ".join(f"{m} bigint" for m in measures)
+        self.schema = f"{keys}, change int, {self.state}"
+        self.names = [column.strip().split(" ")[0] for column in keys.split(",")]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals = handle.getValueState("totals", self.state)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        old = tuple(self.totals.get()) if self.totals.exists() else None
+        new = old or (0,) * len(self.measures)
+        for part in rows:
+            new = tuple(total + int(part[m].sum()) for total, m in zip(new, self.measures, strict=True))
+        if new != old:
+            self.totals.update(new)
+            told = [(-1, *old), (1, *new)] if old else [(1, *new)]
+            out = pd.DataFrame(told, columns=["change", *self.measures])
+            for place, (name, value) in enumerate(zip(self.names, key, strict=True)):
+                out.insert(place, name, pd.Series([value] * len(told), dtype=object))
+            yield out
+
+    def close(self) -> None:
+        pass
+
+
 def apply_processor(stream: DataFrame, key: str | Sequence[str], processor: _Ordered) -> DataFrame:
     """Runs a processor per key over a stream, which needs a watermark on its time."""
     return stream.groupBy(*([key] if isinstance(key, str) else key)).transformWithStateInPandas(

@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from math import gcd
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.durations import micros, spark_interval
 from tidemark.operators.aggregates import bitmap_offset, distinct_per_window
+from tidemark.operators.joins import reached_slices, slice_width, within_reach
 from tidemark.operators.ranking import top_n
 from tidemark.operators.sequences import SLICE, Measure, with_halo
 from tidemark.operators.windows import sliding
-from tidemark.streaming.processors import FirstClosing, PatternMatches, apply_processor, times
+from tidemark.streaming.processors import (
+    FirstClosing,
+    PaneSums,
+    PatternMatches,
+    Retractions,
+    apply_processor,
+    times,
+)
 
 
 def window_counts(
@@ -28,6 +39,47 @@ def window_counts(
     return marked.groupBy(F.window(ts, spark_interval(size)).alias("window"), *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _keyed(
+    rows: DataFrame, keys: Sequence[str], apply: Callable[[DataFrame, list[str], str], DataFrame]
+) -> DataFrame:
+    """Runs ``apply(rows, keys, their types)`` so that null keys are a key, for numbers, strings, booleans and times.
+
+    Workers see a null number as a float that equals nothing, so a null travels as a flag beside some value.
+    """
+    kinds = {k: rows.schema[k].dataType.simpleString() for k in keys}
+    some = {k: F.lit(0).cast("timestamp" if kind == "date" else kind).cast(kind) for k, kind in kinds.items()}
+    flags = {f"no_{i}": F.col(k).isNull() for i, k in enumerate(keys)}
+    marked = rows.withColumns(flags).withColumns({k: F.coalesce(k, some[k]) for k in keys})
+    named = ", ".join([f"{k} {kind}" for k, kind in kinds.items()] + [f"{flag} boolean" for flag in flags])
+    out = apply(marked, [*keys, *flags], named)
+    return out.withColumns({k: F.when(~F.col(flag), F.col(k)) for k, flag in zip(keys, flags, strict=True)}).drop(*flags)
+
+
+def sliding_sums(
+    rows: DataFrame, ts: str, size: str | int, slide: str | int, keys: Sequence[str], measures: dict[str, Column]
+) -> DataFrame:
+    """Sums per key and sliding window of a stream with a watermark, however small the slide is.
+
+    Rows are first added up in panes, in every task before the shuffle. A key's finished panes then
+    stay in state for one window length, and a window is the one before plus the panes that came in
+    less those that dropped out. Taking off has to be exact, so the measures must be whole numbers;
+    a null counts nothing. Null keys are a key. The window in which a sum is empty is left out.
+    """
+    fields = {f.name: f.dataType for f in rows.select(*keys, *[m.alias(n) for n, m in measures.items()]).schema}
+    inexact = [n for n in measures if not isinstance(fields[n], IntegralType)]
+    if inexact:
+        raise ValueError(f"sums that are taken off again must be of whole numbers: {inexact}")
+    length, step = micros(size), micros(slide)
+    if step > length:
+        raise ValueError("a slide longer than the window leaves rows out; use it on tables")
+    pane = gcd(length, step)
+    window = F.window(ts, f"{pane} microseconds").alias("pane")
+    sums = [F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(n) for n, m in measures.items()]
+    panes = rows.groupBy(window, *keys).agg(*sums).select(*keys, F.window_time("pane").alias("ts"), *measures)
+    names = list(measures)
+    return _keyed(panes, keys, lambda df, by, named: apply_processor(df, by, PaneSums(named, names, length, step, pane)))
+
+
 def ranked_windows(key: str, n: int) -> Callable[[DataFrame], DataFrame]:
     """Second stage for ``run_batches_to_table``: the n highest counts of each finished window."""
 
@@ -49,6 +101,39 @@ def distinct_users(
     return distinct_per_window(windowed, "window", "_user").select(F.col("window.end").alias("window_end"), "uv")
 
 
+def retractions(rows: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> DataFrame:
+    """Totals per key as a stream of changes: ``change`` is -1 on the total that no longer holds and 1 on the new one.
+
+    Adding up ``change`` by key and total leaves each key's last total. Rows are added up in every
+    Arrow batch before the shuffle, so a hot key sends a row a batch. Measures are whole numbers, a
+    null counts nothing, and null keys are a key.
+    """
+    names = list(measures)
+    plain = rows.select(*keys, *[F.coalesce(m.cast("bigint"), F.lit(0).cast("bigint")).alias(n) for n, m in measures.items()])
+
+    def change_rows(df: DataFrame, by: list[str], named: str) -> DataFrame:
+        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sums = pa.Table.from_batches([batch]).group_by(by, use_threads=False).aggregate([(n, "sum") for n in names])
+                yield from sums.select([*by, *[f"{n}_sum" for n in names]]).rename_columns([*by, *names]).to_batches()
+
+        fitted = df.select(*by, *names)
+        processor = Retractions(named, names)
+        return (
+            fitted.mapInArrow(add_up, fitted.schema)
+            .groupBy(*by)
+            .transformWithStateInPandas(processor, processor.schema, outputMode="append", timeMode="none")
+        )
+
+    return _keyed(plain, keys, change_rows)
+
+
+def replayed_changes(changes: DataFrame) -> DataFrame:
+    """The table that a stream of changes leaves: what was told more often than taken back."""
+    rest = [c for c in changes.columns if c != "change"]
+    return changes.groupBy(*rest).agg(F.sum("change").alias("_times")).where("_times > 0").drop("_times")
+
+
 def first_closing(
     rows: DataFrame, key: str, ts: str, opens: Column, closes: Column, within: str | int, width: str | int = "1 hour"
 ) -> DataFrame:
@@ -82,19 +167,26 @@ def consecutive(
 def reconciled(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, lower: str | int, upper: str | int
 ) -> DataFrame:
-    """Matched pairs and unmatched rows of two watermarked streams."""
-    other = right.withColumnRenamed(key, "_key")
-    near = (
-        (F.col(key) == F.col("_key"))
-        & F.expr(f"{right_ts} >= {left_ts} + interval {micros(lower)} microseconds")
-        & F.expr(f"{right_ts} <= {left_ts} + interval {micros(upper)} microseconds")
-    )
-    branch = (
-        F.when(F.col("_key").isNull(), "unmatched_pay").when(F.col(key).isNull(), "unmatched_receipt").otherwise("matched")
-    )
-    return (
-        left.join(other, near, "full_outer")
-        .withColumn("branch", branch)
-        .withColumn(key, F.coalesce(key, "_key"))
-        .drop("_key")
-    )
+    """Matched pairs and unmatched rows of two watermarked streams, as the operator ``reconcile`` tells them.
+
+    Both joins also match on a time slice, so a hot key's rows wait in many state partitions. A join
+    tells the unmatched rows of the side that keeps its slice, while the other goes to the slices where
+    it may be wanted; so each side has a join of its own, and only the first tells the pairs.
+    """
+    width, near = slice_width(lower, upper), within_reach(left_ts, right_ts, lower, upper)
+    back, ahead = -micros(upper), -micros(lower)
+
+    def join(kept: DataFrame, kept_ts: str, sent: DataFrame, sent_ts: str, low: int, high: int) -> DataFrame:
+        at = F.unix_micros(F.col(kept_ts))
+        reached = reached_slices(F.unix_micros(F.col(sent_ts)), f"{low} microseconds", f"{high} microseconds", width)
+        own = kept.withColumn("_own", at - F.pmod(at, F.lit(width)))
+        copies = sent.withColumnRenamed(key, "_key").withColumn("_slice", F.explode(reached))
+        met = near & (F.col(key) == F.col("_key")) & (F.col("_own") == F.col("_slice"))
+        return own.join(copies, met, "left_outer")
+
+    pays = join(left, left_ts, right, right_ts, back, ahead)
+    pays = pays.withColumn("branch", F.when(F.col("_key").isNull(), "unmatched_pay").otherwise("matched"))
+    receipts = join(right, right_ts, left, left_ts, micros(lower), micros(upper)).where(F.col("_key").isNull())
+    receipts = receipts.withColumn("branch", F.lit("unmatched_receipt"))
+    columns = [key, *[c for side in (left, right) for c in side.columns if c != key], "branch"]
+    return pays.select(columns).unionByName(receipts.select(columns))

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.aggregates import sketch_bound
 from tidemark.operators.lateness import tag_late
 from tidemark.operators.sequences import Measure
 from tidemark.operators.windows import epoch, sessions, sliding, tumbling
 from tidemark.plans import alerts, sync, traffic
+from tidemark.session import scratch_dir
 from tidemark.sources.external import change_records
 from tidemark.tables import (
     as_actions,
+    as_behaviours,
     as_arrivals,
     as_change_values,
     behaviours,
@@ -115,6 +118,28 @@ def channel_counts(spark, folder):
     return counts.select("channel", "behaviour", epoch("window_end").alias("window_end"), "n")
 
 
+@query(
+    "unique_visitors_sketch",
+    f"""SELECT window_end, count(DISTINCT user_id) AS uv, true AS within_bound
+        FROM (SELECT user_id, {ENDS.format(slide=6 * HOUR, size=DAY)} AS window_end FROM {BEHAVIOURS} WHERE behaviour = 'view')
+        GROUP BY 1""",
+)
+def unique_visitors_sketch(spark, folder):
+    """Visitors of a day, every six hours, from hourly sketches that two runs stored, next to the exact numbers."""
+    seen = as_behaviours(load(spark, folder, "events"))
+    path = scratch_dir(spark, "sketches")
+    for run in range(2):
+        share = seen.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == run)
+        traffic.visitor_sketches(share, "view").write.mode("append").parquet(path)
+    estimated = traffic.visitors_from_sketches(spark.read.parquet(path)).withColumnRenamed("uv", "estimate")
+    window = F.window("ts", "1 day", "6 hours")
+    exact = seen.where("behaviour = 'view'").groupBy(window.end.alias("window_end")).agg(F.count_distinct("user_id").alias("uv"))
+    bound = F.lit(sketch_bound()) * F.col("uv") + 0.5  # estimates are whole numbers
+    compared = exact.join(estimated, "window_end", "full")
+    within = F.coalesce(F.abs(F.col("estimate") - F.col("uv")) <= bound, F.lit(False)).alias("within_bound")
+    return compared.select(epoch("window_end").alias("window_end"), "uv", within)
+
+
 @query(
     "sliding_batch_sums",
     f"""SELECT event_type, window_end, count(*) AS n, round(sum(value), 2) AS total

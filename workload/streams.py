@@ -6,6 +6,7 @@ watermarks wait as long as the files are out of time order, so no row is late, w
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.durations import micros
@@ -16,7 +17,7 @@ from tidemark.operators.sequences import Measure
 from tidemark.operators.windows import epoch, sessions, sliding, tumbling
 from tidemark.plans import alerts, sync
 from tidemark.session import scratch_dir
-from tidemark.sinks import keyed
+from tidemark.sinks import delivery, keyed
 from tidemark.sources.external import change_records
 from tidemark.sources.files import access_log
 from tidemark.sources.streams import file_stream
@@ -179,6 +180,69 @@ def stream_channel_counts(spark, folder):
     return found.select("channel", "behaviour", epoch("window_end").alias("window_end"), "n")
 
 
+@query("stream_channel_counts_fine", SQL["channel_counts_fine"])
+def stream_channel_counts_fine(spark, folder):
+    """One hour every five seconds: a window is the one before, plus the pane that came in, less the one that dropped out."""
+    stream, end, delay = events(spark, folder, user_id=0)
+    actions = as_actions(stream).where("behaviour <> 'error'").withWatermark("ts", delay)
+    sums = streamed.sliding_sums(actions, "ts", "1 hour", "5 seconds", ["channel", "behaviour"], {"n": F.lit(1)})
+    return run_to_table(sums, spark, [end]).groupBy("channel", "behaviour").agg(
+        F.count(F.lit(1)).alias("windows"), F.sum("n").alias("total"), F.max("n").alias("most")
+    )
+
+
+@query("stream_sliding_batch_sums", SQL["sliding_batch_sums"])
+def stream_sliding_batch_sums(spark, folder):
+    """Sums over the last three batches of a stream, in cents, so that what drops out can be taken off exactly."""
+    stream, end, delay = events(spark, folder, value=0.0)
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    rows = stream.withWatermark("ts", delay)
+    sums = streamed.sliding_sums(rows, "ts", "9 seconds", "3 seconds", ["event_type"], {"n": F.lit(1), "cents": cents})
+    found = run_to_table(sums, spark, [end])
+    return found.select(
+        "event_type", epoch("window_end").alias("window_end"), "n", F.round(F.col("cents") / 100, 2).alias("total")
+    )
+
+
+@query(
+    "stream_retract_counts",
+    "SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL",
+)
+def stream_retract_counts(spark, folder):
+    """Counts told as changes, four files one by one; the replayed changes are the table."""
+    path = scratch_dir(spark, "queue")
+    load(spark, folder, "events").select("user_id", "event_type").repartition(4).write.parquet(path)
+    stream = file_stream(stream_session(spark), path, "user_id bigint, event_type string", files_per_batch=1)
+    changes = streamed.retractions(stream, ["user_id", "event_type"], {"n": F.lit(1)})
+    return streamed.replayed_changes(run_to_table(changes, spark))
+
+
+class BreaksInSecondLot(delivery.LotFiles):
+    """A target that fails in the middle of each delivery."""
+
+    def put(self, name, rows):
+        if name.endswith("lot-1"):
+            raise ConnectionError(name)
+        super().put(name, rows)
+
+
+@query("stream_delivered_lots", "SELECT event_id, user_id, event_type FROM events")
+def stream_delivered_lots(spark, folder):
+    """Rows delivered in lots of 1000. The first run breaks in its second lot; the next repeats the batch and goes on."""
+    schema = "event_id bigint, user_id bigint, event_type string"
+    queue, path, ledger, checkpoint = (scratch_dir(spark, name) for name in ("queue", "lots", "ledger", "checkpoint"))
+    load(spark, folder, "events").select("event_id", "user_id", "event_type").repartition(4).write.parquet(queue)
+    stream = file_stream(stream_session(spark), queue, schema, files_per_batch=1)
+    for target in (BreaksInSecondLot(path), delivery.LotFiles(path)):
+        send = delivery.deliver_each_batch(target, ledger, retries=1, pause=0.01)
+        try:
+            run_each_batch(stream, spark, send, mode="append", checkpoint=checkpoint)
+        except StreamingQueryException as broken:  # not where a file holds no second lot
+            if "lot-1" not in str(broken):
+                raise
+    return delivery.read_delivered(spark, path, ledger, schema)
+
+
 @query("stream_min_row", MIN_ROWS)
 def stream_min_row(spark, folder):
     stream, end, delay = events(spark, folder, user_id=-1, value=0.0)
