@@ -131,3 +131,19 @@ def test_id_files(spark, docs, tmp_path):
     payload = spark.read.parquet(path).first()["payload"]
     segment = idfiles.Segment(bytes(payload))
     assert segment.document(0).tolist() in [e[3] for e in expected]
+
+
+def test_ids_by_pieces_are_the_librarys():
+    """Words of Latin-1 go to the model by pieces: signs, contractions, special strings, controls and what falls outside."""
+    tokenizer, encoder = Tokenizer.from_file(WORDS), idfiles.Encoder(WORDS, 1)
+    assert encoder.pieces is not None
+    draw = random.Random(3)
+    signs = [chr(c) for c in range(1, 0x250)] + list("'sstremvld<|>endoftext ") * 6
+    signs += ["<|endoftext|>", "<|startoftext|>", "́", "K", "'S", "'LL", " ", "é"]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randrange(30))) for _ in range(5000)] + ["", "x" * 100_000]
+    found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert encoder.encode(texts) == [np.array([*e.ids, 1], "<u4").tobytes() for e in found]
+
+
+def test_another_tokenizer_takes_the_general_way():
+    assert not idfiles.Pieces.serves(Tokenizer.from_file(BYTES))

@@ -22,9 +22,11 @@ any length is in one segment. No rows give a folder that reads as no documents.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import strings, text_of
+from tidemark.llm.splitting import Memo
 from tidemark.session import scratch_dir
 
 SEGMENT_IDS, SEGMENT_DOCS = 1 << 21, 1 << 15
@@ -126,12 +129,69 @@ class Segment:
         return self.ids[self.boundaries.select(i) : self.boundaries.select(i + 1)]
 
 
+class Pieces:
+    """Ids of words of Latin-1 letters, digits and signs, by the model of the library's tokenizer alone.
+
+    Serves tokenizers whose steps before the model are those of STEPS: on such a word the first changes letter cases
+    only, and the second cuts it by the pattern, which skips nothing. Pieces are shared by many words ("end", "End,"
+    and "end."), are remembered, and skip the library's own normaliser and pattern, which cost more than the model.
+    """
+
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    STEPS = (
+        ["NFC", ("Replace", r"\s+", " "), "Lowercase"],
+        [("Split", PATTERN, "Removed", True), ("ByteLevel", False, False)],
+    )
+    LATIN = re.compile("[^\x00-\x20\x7f-\xa0\u0100-\U0010ffff]+")
+
+    def __init__(self, tokenizer):
+        import regex
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.find = regex.compile(self.PATTERN).findall
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {code: spell(chr(code))[0][0] for code in range(0xA1, 0x100)}
+        self.tokenize = tokenizer.model.tokenize
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.known = Memo(self._of_piece, WORDS)
+
+    @classmethod
+    def serves(cls, tokenizer) -> bool:
+        """Whether the steps before the model are those that this class stands for."""
+        given = json.loads(tokenizer.to_str())
+        normalizer, pre = given["normalizer"] or {}, given["pre_tokenizer"] or {}
+        first = [
+            (n["type"], n["pattern"].get("Regex"), n["content"]) if n["type"] == "Replace" else n["type"]
+            for n in normalizer.get("normalizers", ())
+        ]
+        second = [
+            (n["type"], n["pattern"].get("Regex"), n["behavior"], n["invert"])
+            if n["type"] == "Split"
+            else (n["type"], n.get("add_prefix_space"), n.get("use_regex"))
+            for n in pre.get("pretokenizers", ())
+        ]
+        return (first, second) == cls.STEPS
+
+    def _of_piece(self, piece: str) -> bytes:
+        spelt = piece if piece.isascii() else piece.translate(self.spelling)
+        return array("I", [token.id for token in self.tokenize(spelt)]).tobytes()
+
+    def of(self, word: str) -> bytes | None:
+        """The word's ids, or None where the whole tokenizer must be asked."""
+        if not self.LATIN.fullmatch(word) or any(s in word for s in self.special):
+            return None
+        low = word.lower()
+        if low.isalpha():
+            return self.known[low]
+        return b"".join([self.known[piece] for piece in self.find(low)])
+
+
 class Encoder:
     """Ids of whole texts, by the tokenizers library.
 
     The vocabulary's own pre-tokenizer drops white space and no step of it looks across, so a text's ids are its words'
     ids in order. Words that were seen since the memory was last full, or in the time before, are looked up;
-    the others of a batch go to the library together. A vocabulary that keeps white space, or a text with white space on which Python and the library differ, is encoded whole.
+    the others go to the model by pieces, or else those of a batch to the library together. A vocabulary that keeps white space, or a text with white space on which Python and the library differ, is encoded whole.
     """
 
     UNSURE = re.compile("[\x1c-\x1f]")
@@ -144,6 +204,8 @@ class Encoder:
         self.whole = self._ids(["a  b c\td\ne"])[0] != b"".join(self._ids(["a", "b", "c", "d", "e"]))
         special = [(t.content, number) for number, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.mark = special[-1] if special else None
+        self.pieces = Pieces(self.tokenizer) if Pieces.serves(self.tokenizer) else None
+        self.single = Memo(self._of_word, WORDS)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -161,9 +223,20 @@ class Encoder:
             yield word, raw[at:end]
             at = end + 4
 
+    def _of_word(self, word: str) -> bytes:
+        ids = self.pieces.of(word)
+        return self._ids([word])[0] if ids is None else ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.whole:
             return [ids + self.end for ids in self._ids(texts)]
+        if self.pieces is not None:
+            self.single.trim()
+            self.pieces.known.trim()
+            known = self.single.__getitem__
+            return [
+                (self._ids([t])[0] if self.UNSURE.search(t) else b"".join(map(known, t.split()))) + self.end for t in texts
+            ]
         words = [None if self.UNSURE.search(t) else t.split() for t in texts]
         if len(self.known) > WORDS:
             self.older, self.known = self.known, {}
