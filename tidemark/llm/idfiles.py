@@ -41,7 +41,7 @@ from tidemark.session import scratch_dir
 
 SEGMENT_IDS, SEGMENT_DOCS = 1 << 21, 1 << 15
 BLOCK = 512
-WORDS = 150_000
+WORDS = 400_000
 #: Texts whose new words go to the library together.
 TEXTS = 512
 #: Words that make one text for it.
