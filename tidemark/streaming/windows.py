@@ -22,6 +22,8 @@ from tidemark.streaming.processors import (
     PatternMatches,
     Retractions,
     apply_processor,
+    flagged_keys,
+    in_buckets,
     times,
 )
 
@@ -39,22 +41,6 @@ def window_counts(
     return marked.groupBy(F.window(ts, spark_interval(size)).alias("window"), *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _keyed(
-    rows: DataFrame, keys: Sequence[str], apply: Callable[[DataFrame, list[str], str], DataFrame]
-) -> DataFrame:
-    """Runs ``apply(rows, keys, their types)`` so that null keys are a key, for numbers, strings, booleans and times.
-
-    Workers see a null number as a float that equals nothing, so a null travels as a flag beside some value.
-    """
-    kinds = {k: rows.schema[k].dataType.simpleString() for k in keys}
-    some = {k: F.lit(0).cast("timestamp" if kind == "date" else kind).cast(kind) for k, kind in kinds.items()}
-    flags = {f"no_{i}": F.col(k).isNull() for i, k in enumerate(keys)}
-    marked = rows.withColumns(flags).withColumns({k: F.coalesce(k, some[k]) for k in keys})
-    named = ", ".join([f"{k} {kind}" for k, kind in kinds.items()] + [f"{flag} boolean" for flag in flags])
-    out = apply(marked, [*keys, *flags], named)
-    return out.withColumns({k: F.when(~F.col(flag), F.col(k)) for k, flag in zip(keys, flags, strict=True)}).drop(*flags)
-
-
 def sliding_sums(
     rows: DataFrame, ts: str, size: str | int, slide: str | int, keys: Sequence[str], measures: dict[str, Column]
 ) -> DataFrame:
@@ -76,8 +62,8 @@ def sliding_sums(
     window = F.window(ts, f"{pane} microseconds").alias("pane")
     sums = [F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(n) for n, m in measures.items()]
     panes = rows.groupBy(window, *keys).agg(*sums).select(*keys, F.window_time("pane").alias("ts"), *measures)
-    names = list(measures)
-    return _keyed(panes, keys, lambda df, by, named: apply_processor(df, by, PaneSums(named, names, length, step, pane)))
+    named = ", ".join(f"{k} {panes.schema[k].dataType.simpleString()}" for k in keys)
+    return apply_processor(panes, keys, PaneSums(named, list(measures), length, step, pane))
 
 
 def ranked_windows(key: str, n: int) -> Callable[[DataFrame], DataFrame]:
@@ -110,22 +96,17 @@ def retractions(rows: DataFrame, keys: Sequence[str], measures: dict[str, Column
     """
     names = list(measures)
     plain = rows.select(*keys, *[F.coalesce(m.cast("bigint"), F.lit(0).cast("bigint")).alias(n) for n, m in measures.items()])
+    marked, flags = flagged_keys(plain, keys)
+    by = [*flags, *flags.values()]
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = pa.Table.from_batches([batch]).group_by(by, use_threads=False).aggregate([(n, "sum") for n in names])
+            yield from sums.select([*by, *[f"{n}_sum" for n in names]]).rename_columns([*by, *names]).to_batches()
 
-    def change_rows(df: DataFrame, by: list[str], named: str) -> DataFrame:
-        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sums = pa.Table.from_batches([batch]).group_by(by, use_threads=False).aggregate([(n, "sum") for n in names])
-                yield from sums.select([*by, *[f"{n}_sum" for n in names]]).rename_columns([*by, *names]).to_batches()
-
-        fitted = df.select(*by, *names)
-        processor = Retractions(named, names)
-        return (
-            fitted.mapInArrow(add_up, fitted.schema)
-            .groupBy(*by)
-            .transformWithStateInPandas(processor, processor.schema, outputMode="append", timeMode="none")
-        )
-
-    return _keyed(plain, keys, change_rows)
+    fitted = marked.select(*by, *names)
+    named = ", ".join(f"{k} {plain.schema[k].dataType.simpleString()}" for k in keys)
+    return in_buckets(fitted.mapInArrow(add_up, fitted.schema), flags, Retractions(named, names), "none")
 
 
 def replayed_changes(changes: DataFrame) -> DataFrame:
