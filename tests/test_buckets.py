@@ -14,6 +14,7 @@ SECOND = 1_000_000
 BY = ["id", "no_0"]
 CASES = {
     "stream_payment_timeouts": lambda: processors.FirstClosing("id", "bigint", 300 * SECOND),
+    "stream_retract_counts": lambda: processors.Retractions("id bigint", ["n"]),
 }
 
 
