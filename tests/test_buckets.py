@@ -16,6 +16,7 @@ CASES = {
     "stream_payment_timeouts": lambda: processors.FirstClosing("id", "bigint", 300 * SECOND),
     "stream_retract_counts": lambda: processors.Retractions("id bigint", ["n"]),
     "stream_silence_timer": lambda: processors.SilenceTimer(300),
+    "stream_kind_profile": lambda: processors.KindProfile(),
 }
 
 
