@@ -17,6 +17,7 @@ CASES = {
     "stream_retract_counts": lambda: processors.Retractions("id bigint", ["n"]),
     "stream_silence_timer": lambda: processors.SilenceTimer(300),
     "stream_kind_profile": lambda: processors.KindProfile(),
+    "stream_login_bursts": lambda: processors.FailBursts(300),
 }
 
 
