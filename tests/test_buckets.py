@@ -18,6 +18,7 @@ CASES = {
     "stream_silence_timer": lambda: processors.SilenceTimer(300),
     "stream_kind_profile": lambda: processors.KindProfile(),
     "stream_login_bursts": lambda: processors.FailBursts(300),
+    "stream_rising_alerts": lambda: processors.RisingAlert(300 * SECOND),
 }
 
 
