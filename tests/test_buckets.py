@@ -19,6 +19,7 @@ CASES = {
     "stream_kind_profile": lambda: processors.KindProfile(),
     "stream_login_bursts": lambda: processors.FailBursts(300),
     "stream_rising_alerts": lambda: processors.RisingAlert(300 * SECOND),
+    "stream_rolling_averages": lambda: processors.CountedAverage(10, 2),
 }
 
 
