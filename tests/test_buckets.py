@@ -21,6 +21,7 @@ CASES = {
     "stream_rising_alerts": lambda: processors.RisingAlert(300 * SECOND),
     "stream_rolling_averages": lambda: processors.CountedAverage(10, 2),
     "stream_login_failures": lambda: processors.PatternMatches("id", "bigint", processors.times("match", 2), 300 * SECOND),
+    "stream_running_count": lambda: processors.RunningCount(),
 }
 
 
