@@ -8,7 +8,10 @@ from types import SimpleNamespace
 import pandas as pd
 import pytest
 
+from tests.conftest import rows
+from tidemark.sources.streams import file_stream
 from tidemark.streaming import processors
+from tidemark.streaming.runner import run_to_table, stream_session, with_end
 
 SECOND = 1_000_000
 BY = ["id", "no_0"]
@@ -121,3 +124,24 @@ def test_trips_do_not_grow_with_keys(name):
         alone += run(CASES[name](), [(frame[frame["id"] == key], watermark) for frame, watermark in many])[0]
     assert found == sorted(alone) and len(found) > 30
     assert trips <= run(CASES[name](), few)[1] + 10 < 100
+
+
+def test_null_keys_beside_others(spark, tmp_path):
+    """Null keys are a key of their own and leave other keys' rows alone."""
+    made = [(i, None if i % 3 == 0 else i % 3 + 2**60, i) for i in range(90)]
+    df = spark.createDataFrame(made, "event_id bigint, id bigint, s bigint").selectExpr("event_id", "id", "timestamp_seconds(s + 1000) AS ts")
+    path = str(tmp_path / "in")
+    df.repartition(3).write.parquet(path)
+    stream, end = with_end(file_stream(stream_session(spark), path, df.schema), "ts", event_id=-1, id=-1)
+    numbered = processors.apply_processor(stream.withWatermark("ts", "2 minutes"), "id", processors.RunningCount())
+    assert rows(run_to_table(numbered, spark, [end])) == sorted(((k, i, i // 3 + 1) for i, k, _ in made), key=repr)
+
+
+def test_a_rise_from_a_null_time_is_kept_over_batches():
+    row = {"id": 1, "no_0": False, processors.BUCKET: 0}
+    batches = [
+        (pd.DataFrame([row | {"ts": pd.Timestamp(at), "event_id": i, "temperature": float(i)}]), watermark)
+        for i, (at, watermark) in enumerate([(pd.NaT, 1000), ("1970-01-02", 10**9)])
+    ]
+    found, _ = run(processors.RisingAlert(SECOND), batches)
+    assert found == ["(1, NaT)"]

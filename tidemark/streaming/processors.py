@@ -25,7 +25,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 BUCKETS = 512  # fixed for the life of a checkpoint
 BUCKET = "bucket_of_key"
-NONE, NEVER = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+NEVER = np.iinfo(np.int64).max
 
 
 def _epoch_micros(ts: pd.Series) -> pd.Series:
@@ -135,6 +135,7 @@ class _Ordered(StatefulProcessor):
 
     schema: str
     order = ["ts", "event_id"]
+    null_keys = True  # whether rows without a key are a key's rows, or nobody's
     by: list[str]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -313,12 +314,13 @@ class RisingAlert(_OnRows):
     def each(self, rows, heads, sizes, keys):
         held = self.run.get()
         places = _places(keys, held, self.by)
-        names = {"start": NONE, "value": np.nan, "alerted": False}
+        names = {"start": 0, "value": np.nan, "rising": False, "alerted": False}
         state = zip(places.tolist(), *(_values(held, c, places, empty).tolist() for c, empty in names.items()), strict=True)
         times, values = _epoch_micros(rows["ts"]).tolist(), rows["temperature"].astype("float64").tolist()
         runs, alerts, where = [], [], []
-        for i, (head, size, (place, start, last, alerted)) in enumerate(zip(heads.tolist(), sizes.tolist(), state, strict=True)):
-            start, last = None if start == NONE else start, last if place >= 0 else None
+        spans = zip(heads.tolist(), sizes.tolist(), state, strict=True)
+        for i, (head, size, (place, start, last, rising, alerted)) in enumerate(spans):
+            start, last = start if rising else None, last if place >= 0 else None
             for at, value in zip(times[head : head + size], values[head : head + size], strict=True):
                 if last is not None and value < last:
                     start = None
@@ -329,7 +331,7 @@ class RisingAlert(_OnRows):
                     alerts.append(start)
                     where.append(i)
                 last = value
-            runs.append((NONE if start is None else start, last, alerted))
+            runs.append((start or 0, last, start is not None, alerted))
         fresh = pd.DataFrame(runs, columns=list(names))
         self.run.put(_replaced(held, pd.concat([keys, fresh], axis=1), self.by))
         return keys.iloc[where].assign(run_start=pd.to_datetime(np.array(alerts, np.int64), unit="us"))
@@ -374,8 +376,9 @@ class SilenceTimer(_Ordered):
 
 
 class FailBursts(_Ordered):
-    """Failures counted in windows opened by a first failure and called off by a success."""
+    """Failures counted in windows opened by a first failure and called off by a success. Null keys are nobody."""
 
+    null_keys = False
     schema = "user_id bigint, first_second bigint, last_second bigint, n_fails bigint"
 
     def __init__(self, within: int, at_least: int = 2) -> None:
@@ -703,5 +706,6 @@ def in_buckets(
 
 
 def apply_processor(stream: DataFrame, key: str | Sequence[str], processor: _Ordered) -> DataFrame:
-    """Runs a processor per key over a stream, which needs a watermark on its time. Null keys are a key."""
-    return in_buckets(*flagged_keys(stream, [key] if isinstance(key, str) else list(key)), processor)
+    """Runs a processor per key over a stream, which needs a watermark on its time. It tells what null keys are."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return in_buckets(*flagged_keys(stream if processor.null_keys else stream.dropna(subset=keys), keys), processor)
