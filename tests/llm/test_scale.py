@@ -110,6 +110,49 @@ def test_no_link_of_a_band_is_lost(spark, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()} == dict(enumerate(expected))
 
 
+def test_texts_that_differ_are_not_compared(spark, monkeypatch):
+    """pipeline and op4: texts of a group that share a band and rare shingles, but too little of the rest, are not left to compare."""
+    draw = random.Random(8)
+    base = [f"w{draw.randrange(10**9)}" for _ in range(300)]
+    texts = []
+    for i in range(20):
+        spots = draw.sample(range(0, 300, 5), 15)
+        for own in (spots[5:10], spots[10:]):
+            words = list(base)
+            for at in spots[:5]:
+                words[at] = f"x{i}x{at}"
+            for at in own:
+                words[at] = f"y{i}y{at}"
+            texts.append(" ".join(words))
+    one_band = {f"b{i}": F.lit(i).cast("long") for i in range(neardup.BANDS)}
+    signed, verified, compared = neardup._distinct_texts, neardup._verified, []
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_distinct_texts", lambda *a: signed(*a).withColumns(one_band))
+    monkeypatch.setattr(neardup, "_verified", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()}
+    ones = np.ones(1 << neardup.CELL_BITS, np.float32)
+    a, *others = map(neardup.shingles, texts)
+    assert max(neardup.similarities(a, others, ones)) < 0.72 and found == {i: i for i in range(40)}
+    assert compared == [39, 0]
+
+
+def test_marks_differ_no_more_than_texts():
+    draw = random.Random(9)
+    for n in (1, 4, 5, 40, 3000):
+        base = [f"w{draw.randrange(500)}" for _ in range(n)]
+        other = [f"v{draw.randrange(500)}" if draw.random() < 0.2 else w for w in base]
+        a, b = (neardup.shingles(" ".join(w)) for w in (base, other))
+        x, y = neardup.marks([a, b])
+        cells = sum(int(c).bit_count() for c in (x ^ y).view(np.uint64))
+        apart = len(np.setxor1d(a[0], b[0]))
+        assert cells <= apart and (cells - apart) % 2 == 0 and (n < 40 or cells > 0)
+
+
 def test_near_texts_share_a_rare_shingle():
     draw = random.Random(13)
     idf = np.random.default_rng(13).uniform(1, 1.25, 1 << neardup.CELL_BITS).astype(np.float32)

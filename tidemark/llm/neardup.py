@@ -13,9 +13,11 @@ least 0.8. Classes are the connected components of the links.
 
 In every band the text that collides most over all bands is the pivot, with which all others are compared. That links
 nearly all. What is left are bands whose texts are in different components. For these, all pairs of texts of different
-components are found that the exact bounds leave: in the order of rarity, what follows the first shingle that two texts
-share must suffice for 0.8 in both, and their weights must be in a ratio of 0.8. So no link between candidates is lost,
-and texts that are linked already never meet. Of the texts with a rare shingle in common, those of the most frequent
+components are found that exact bounds leave: their weights must be in a ratio of 0.8, and the cells in which their marks
+(the parity of the shingles in each of 512 cells) differ must not exceed the weight that they may not share. Two texts
+meet in the first band that they share; those without a shared band at a rare shingle: in the order of rarity, what
+follows the first shingle that two texts share must suffice for 0.8 in both. So no link between candidates is lost, and
+texts that are linked already never meet. Of those with a bucket or a rare shingle in common, those of the most frequent
 component don't meet each other.
 
 Equal texts are one node, whatever their number; nothing is compared twice for them. Null and empty texts are equal
@@ -27,7 +29,7 @@ size is joined with its pivot by a skew-safe join, and the members of a hot pivo
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,11 @@ DAMP = 0.25
 MEMBERS, BYTES = 256, 16 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
+#: 64-bit numbers of a text's marks, and their columns.
+MARKS = 8
+MARK = [f"m{i}" for i in range(MARKS)]
+BUCKETS = [f"b{i}" for i in range(BANDS)]
+
 Shingles = tuple[np.ndarray, np.ndarray]
 
 
@@ -161,7 +168,7 @@ def _bands(texts: pa.Array, idf: np.ndarray) -> pa.StructArray:
     empty = np.concatenate(none) if none else np.zeros(0, bool)
     columns = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64(), mask=empty) for c in buckets]
     weight = pa.array(np.concatenate(weight) if weight else np.zeros(0))
-    return pa.StructArray.from_arrays([weight, *columns], names=["weight", *(f"b{i}" for i in range(BANDS))])
+    return pa.StructArray.from_arrays([weight, *columns], names=["weight", *BUCKETS])
 
 
 def similarities(pivot: Shingles, others: list[Shingles], idf: np.ndarray) -> np.ndarray:
@@ -187,10 +194,9 @@ def _key(text: Column) -> Column:
 
 def _distinct_texts(rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """One row per text: __key, smallest id, rows with that id, rows, bytes, weight, and the bucket of each band."""
-    names = [f"b{i}" for i in range(BANDS)]
-    kind = f"struct<weight:double,{','.join(f'{n}:long' for n in names)}>"
+    kind = f"struct<weight:double,{','.join(f'{n}:long' for n in BUCKETS)}>"
     signed = rows.select("__id", "__key", F.octet_length("__text").alias("size"), arrow_column(lambda b: _bands(b, idf), kind)("__text").alias("b"))
-    same = [F.max(n).alias(n) for n in ("size", "weight", *names)]
+    same = [F.max(n).alias(n) for n in ("size", "weight", *BUCKETS)]
     ids = signed.select("__id", "__key", "size", "b.*").groupBy("__key", "__id").agg(F.count("*").alias("rows"), *same)
     first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), "rows")).alias("first")
     return ids.groupBy("__key").agg(first, F.sum("rows").alias("copies"), *same)
@@ -245,55 +251,105 @@ def _prefix(found: Shingles, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[order][some], tail[some]
 
 
+def marks(found: list[Shingles]) -> np.ndarray:
+    """One row of MARKS numbers per text: by cell, whether an odd number of its distinct shingles fall there.
+
+    Cells in which two texts differ hold a shingle that only one of them has, and every shingle weighs 1 or more. So the
+    differing cells are no more than the weight that the two don't share, however many shingles there are.
+    """
+    cells = 64 * MARKS
+    out = np.zeros((len(found), cells), np.uint8)
+    for row, (keys, _) in zip(out, found, strict=True):
+        row[:] = np.bincount(((keys * _B) >> np.uint64(40)).astype(np.int64) % cells, minlength=cells) & 1
+    return np.packbits(out, axis=1).view(np.int64)
+
+
 def _rare(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """From texts with __key and text: each rare shingle, with its tail."""
+    """From texts with __key and text: of, its rare shingles with their tails (found), and its marks."""
 
     def run(batch: pa.Array) -> pa.Array:
-        found = [_prefix(one, idf) for lot in shingled(batch) for one in lot]
+        found, drawn = [], [np.zeros((0, MARKS), np.int64)]
+        for lot in shingled(batch):
+            found += [_prefix(one, idf) for one in lot]
+            drawn.append(marks(lot))
         ends = pa.array(np.append(0, np.cumsum([len(keys) for keys, _ in found])).astype(np.int32))
         keys = np.concatenate([keys for keys, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
         tails = np.concatenate([tail for _, tail in found] or [np.zeros(0)])
         pairs = pa.StructArray.from_arrays([pa.array(keys), pa.array(tails)], names=["rare", "tail"])
-        return pa.ListArray.from_arrays(ends, pairs)
+        columns = [pa.array(np.ascontiguousarray(c)) for c in np.concatenate(drawn).T]
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, pairs), *columns], names=["found", *MARK])
 
-    each = F.explode(arrow_column(run, "array<struct<rare:long,tail:double>>")("text")).alias("r")
-    return texts.select(F.col("__key").alias("of"), each).select("of", "r.*").distinct()
+    kind = f"struct<found:array<struct<rare:long,tail:double>>,{','.join(f'{m}:long' for m in MARK)}>"
+    each = arrow_column(run, kind)("text").alias("r")
+    return texts.select(F.col("__key").alias("of"), each).select("of", "r.*").dropDuplicates(["of"])
 
 
-def _leftover_pairs(bands: DataFrame, found: DataFrame, given: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Pairs (a, b, size of a) of different components that may be near, among the texts of bands with several components."""
-    known = found.select(F.col("node").alias("at"), "component")
-    here = bands.join(known, bands["__key"] == known["at"], "left").select(
-        "bucket", "__key", "weight", "size", F.coalesce("component", "__key").alias("component")
-    )
-    here = kept_table(here, "bands")
-    several = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    several = kept_table(several.filter("low <> high").select("bucket"), "several")
-    texts = kept_table(here.join(several, "bucket").select("__key", "weight", "size", "component").distinct(), "unsettled")
-    rare = _rare(texts.select(F.col("__key").alias("want")).join(given, F.col("want") == given["__key"]), idf)
-    rare = kept_table(rare, "rare")
-    each = rare.join(texts, rare["of"] == texts["__key"]).select("rare", "__key", "tail", "weight", "size", "component")
-    by_part = each.groupBy("rare", "component").agg(F.count("*").alias("n"))
-    main = by_part.groupBy("rare").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
-    main = kept_table(main.filter("parts > 1").select("rare", "main"), "main")
-    each = kept_table(each.join(main, "rare"), "rare")
-    x = each.filter("component <> main").select("rare", *(F.col(c).alias(f"x_{c}") for c in ("__key", "tail", "weight", "component")))
-    share = (LEAST - 1e-6) / (1 + LEAST)
-    near = (
-        (F.col("component") != F.col("x_component"))
-        & ((F.col("component") == F.col("main")) | (F.col("__key") < F.col("x___key")))
-        & (F.least("tail", "x_tail") >= share * (F.col("weight") + F.col("x_weight")))
-        & (F.least("weight", "x_weight") >= (LEAST - 1e-6) * F.greatest("weight", "x_weight"))
+def _little_differs(names: list[str], weight: Column) -> Column:
+    """Whether a row and its x_ row differ in no more cells than the weight that texts of similarity LEAST don't share."""
+    cells = reduce(Column.__add__, (F.bit_count(F.col(m).bitwiseXOR(F.col(f"x_{m}"))) for m in names))
+    return cells <= (1 - 2 * (LEAST - 1e-6) / (1 + LEAST)) * weight
+
+
+def _met(each: DataFrame, by: list[str], mine: list[str], main: DataFrame, near: Column) -> DataFrame:
+    """Pairs (a, b, size of a) of rows of different components with the same by, where near holds; columns of b begin with x_.
+
+    Of the rows with the same by, those of the most frequent component don't meet each other.
+    """
+    each = kept_table(each.join(main, by), "each")
+    x = each.filter("component <> main").select(*(F.col(c).alias(f"x_{c}") for c in (*by, "__key", "component", *mine)))
+    apart = (F.col("component") != F.col("x_component")) & (
+        (F.col("component") == F.col("main")) | (F.col("__key") < F.col("x___key"))
     )
-    pairs = x.withColumnRenamed("rare", "x_rare").join(each, (F.col("x_rare") == F.col("rare")) & near)
-    pairs = kept_table(pairs.select(F.col("__key").alias("a"), F.col("x___key").alias("b"), "size").distinct(), "pairs")
-    forget(here, several, texts, rare, main, each)
+    same = reduce(Column.__and__, (F.col(f"x_{c}") == F.col(c) for c in by))
+    pairs = x.join(each, same & apart & near).select(F.col("__key").alias("a"), F.col("x___key").alias("b"), "size")
+    pairs = kept_table(pairs.distinct(), "pairs")
+    forget(each)
     return pairs
 
 
+def _main(each: DataFrame, by: list[str]) -> DataFrame:
+    """By what several components share: the most frequent component."""
+    by_part = each.groupBy(*by, "component").agg(F.count("*").alias("n"))
+    found = by_part.groupBy(*by).agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+    return kept_table(found.filter("parts > 1").select(*by, "main"), "main")
+
+
+def _leftover_pairs(bands: DataFrame, found: DataFrame, signed: DataFrame, given: DataFrame, idf: np.ndarray) -> list[DataFrame]:
+    """Pairs (a, b, size of a) of different components that may be near, among the texts of bands with several components.
+
+    First those that share a band, then the others, which share a rare shingle.
+    """
+    known = found.select(F.col("node").alias("at"), "component")
+    here = bands.join(known, bands["__key"] == known["at"], "left").withColumn("component", F.coalesce("component", "__key"))
+    here = kept_table(here.select("bucket", "__key", "weight", "size", "component"), "bands")
+    several = _main(here, ["bucket"])
+    texts = here.join(several.select("bucket"), "bucket").drop("bucket").distinct()
+    unsettled = kept_table(texts, "unsettled")
+    rare = _rare(unsettled.select(F.col("__key").alias("want")).join(given, F.col("want") == given["__key"]), idf)
+    texts = unsettled.join(signed.select("__key", *BUCKETS), "__key").join(rare, F.col("__key") == F.col("of")).drop("of")
+    texts = kept_table(texts, "rare")
+    weight = F.col("weight") + F.col("x_weight")
+    even = F.least("weight", "x_weight") >= (LEAST - 1e-6) * F.greatest("weight", "x_weight")
+    same = [F.col(b) == F.col(f"x_{b}") for b in BUCKETS]
+    # texts that share a band meet in the first that they share
+    each = texts.select("__key", "weight", "size", "component", *BUCKETS, *MARK, F.posexplode(F.array(*BUCKETS)).alias("band", "bucket"))
+    earlier = reduce(Column.__or__, (s & (F.col("band") > i) for i, s in enumerate(same)))
+    near = even & _little_differs(MARK, weight) & ~earlier
+    pairs = _met(each, ["bucket"], ["weight", "band", *BUCKETS, *MARK], several, near & (F.col("band") == F.col("x_band")))
+    # others at rare shingles, with marks of half the cells: two cells taken together are odd if one of them is
+    halves = [F.col(a).bitwiseXOR(F.col(b)).alias(a) for a, b in zip(MARK[::2], MARK[1::2], strict=True)]
+    each = texts.select("__key", "weight", "size", "component", *BUCKETS, *halves, F.explode("found").alias("r")).select("*", "r.*").drop("r")
+    main = _main(texts.select("component", F.explode("found.rare").alias("rare")), ["rare"])
+    enough = F.least("tail", "x_tail") >= (LEAST - 1e-6) / (1 + LEAST) * weight
+    near = even & enough & _little_differs(MARK[::2], weight) & ~reduce(Column.__or__, same)
+    others = _met(each, ["rare"], ["weight", "tail", *BUCKETS, *MARK[::2]], main, near)
+    forget(here, several, unsettled, texts, main)
+    return [pairs, others]
+
+
 def _linked(texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """Node and component of all texts that are like another."""
-    buckets = F.explode(F.array(*(F.col(f"b{i}") for i in range(BANDS)))).alias("bucket")
+    buckets = F.explode(F.array(*BUCKETS)).alias("bucket")
     bands = texts.filter("b0 IS NOT NULL").select("__key", "weight", "size", buckets)
     # tables that a bucket's rows meet are written first: a join of two plain shuffles can split a hot bucket
     crowd = kept_table(bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "crowd")
@@ -311,11 +367,11 @@ def _linked(texts: DataFrame, rows: DataFrame, idf: np.ndarray) -> DataFrame:
     forget(crowd, crowded, degree, first)
     links = kept_table(_verified(pairs, given, idf), "links")
     found = components(links)
-    left = _leftover_pairs(bands, found, given, idf)
-    more = kept_table(_verified(left, given, idf), "links")
+    left = _leftover_pairs(bands, found, texts, given, idf)
+    more = kept_table(_verified(left[0].union(left[1]), given, idf), "links")
     if more.head(1):
         found = components(links.union(more))
-    forget(bands, given, pairs, left)
+    forget(bands, given, pairs, *left)
     return found
 
 
