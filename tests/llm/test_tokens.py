@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import tiktoken
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import bytebpe, counting, idfiles
+from tidemark.llm import bytebpe, counting, idfiles, splitting
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -77,6 +78,34 @@ def test_transducer_forgets_and_emits_early(library):
     assert small.encode(long) == library._core_bpe.encode_single_piece(long)
 
 
+def test_new_words_take_no_steps_one_by_one(library, monkeypatch):
+    """op2 and pipeline: words that occur once are encoded side by side; only long pieces go through states."""
+    encoder, moves = bytebpe.Encoder(bytebpe.read_ranks(RANKS), PATTERN), []
+    move = bytebpe.Transducer._move
+    monkeypatch.setattr(bytebpe.Transducer, "_move", lambda *a: moves.append(1) or move(*a))
+    monkeypatch.setattr(bytebpe, "LOT", 1 << 9)
+    draw = random.Random(6)
+    texts = []
+    for _ in range(60):
+        words = ["".join(draw.choice("abetionrs éß字'3,😀") for _ in range(draw.choice([1, 7, 12, 40]))) for _ in range(40)]
+        texts.append("".join(w + draw.choice([" ", " ", "\n"]) for w in words))
+    texts = [*texts, *(t.strip() for t in texts), *ODD[:7], *ODD[8:], "a\u3000b", "a\xa0 b", "\u201ca\u201d \u2014 b\u2019s c", " a", "a ", "a \nb"]
+    for part in (pa.array(texts), pa.array(texts).slice(5, 70), pa.array([None, ""], pa.string()), pa.array([], pa.string())):
+        assert encoder.encode(part).to_pylist() == [library.encode_ordinary(t or "") for t in part.to_pylist()]
+    assert not moves
+    assert encoder.encode(pa.array(["a" * 5000])).to_pylist() == [library.encode_ordinary("a" * 5000)] and moves
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab \n\t\x1c\x85\xa0\u2009\u200b\u2028\u3000é字"), max_size=8) | st.none()))
+def test_chunks_as_lines_of_words(texts):
+    chunks, first = splitting.chunks_of(pa.array(texts, pa.string()))
+    for text, a, b in zip(texts, first[:-1], first[1:], strict=True):
+        lines = splitting.lines_of(text) if text else []
+        expected = [text] if lines is None else [w for i, line in enumerate(lines) for w in ["\n"] * (i > 0) + [line[0], *(f" {w}" for w in line[1:])]]
+        assert chunks.slice(a, b - a).to_pylist() == expected
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.binary(max_size=40), st.integers(1, 5))
 def test_utf8_machine(data, step):

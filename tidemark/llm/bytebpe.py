@@ -5,7 +5,9 @@ are compatible if merging the bytes of both by rank gives just these two again.
 fixed, and a nondeterministic transducer can guess where the token under way began; it is determinised as it is used.
 A state holds, for each start from which some token of the vocabulary can still grow, the place in the trie and the
 token before it. Tokens on which all starts agree are certain and are emitted, so the lookahead is bounded whatever the
-length of the piece. States and transitions are kept up to a limit and then forgotten.
+length of the piece. States and transitions are kept up to a limit and then forgotten. Pieces of less than WINDOW bytes,
+from which nothing would be emitted on the way, are not determinised: the starts of a lot of new pieces step side by
+side, as columns.
 
 Decoding. A state machine over bytes keeps an unfinished UTF-8 character (at most three bytes) between tokens. Bytes
 that can't be part of any character become U+FFFD.
@@ -18,23 +20,30 @@ from __future__ import annotations
 
 import base64
 import struct
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_column, id_lists, strings, text_of
-from tidemark.llm.splitting import Memo, lines_of
+from tidemark.llm.common import arrow_column, text_of
+from tidemark.llm.splitting import Memo, chunks_of
+from tidemark.llm.wordcodes import places
 
 STATES = 100_000
-WORDS = 50_000
+WORDS = 150_000
 NEVER = 1 << 62
 ID, LOW = 24, (1 << 24) - 1
 #: Bytes read before tokens are emitted; several times the longest token.
 WINDOW = 1024
 #: The state after so many first bytes is looked up whole.
 HEAD = 5
+#: Bytes of pieces that are encoded side by side.
+LOT = 1 << 17
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -76,22 +85,27 @@ class Transducer:
         """How the bytes of a token merge: each step's rank and the last (or first) part after it. Begins with no step."""
         known = self.steps[last].get(number)
         if known is None:
-            token, end = self.spelling[number], -last
-            parts = [token[i : i + 1] for i in range(len(token))]
-            known = [(-1, parts[end])]
-            while len(parts) > 1:
-                ranks = [self.ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
-                rank = min(ranks)
-                if rank == NEVER:
-                    break
-                at = ranks.index(rank)
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
-                known.append((rank, parts[end]))
-            known.append((NEVER, b""))
-            self.whole[number] = len(parts) == 1
+            token = self.spelling[number]
+            steps = self.merges(token)
+            known = [(rank, parts[last]) for rank, *parts in steps] + [(NEVER, b"")]
+            self.whole[number] = steps[-1][1] == token
             self.steps[last][number] = known
         return known
 
+    def merges(self, token: bytes) -> list[tuple[int, bytes, bytes]]:
+        """How bytes merge: each step's rank and the first and last part after it. Begins with no step."""
+        parts = [token[i : i + 1] for i in range(len(token))]
+        known = [(-1, parts[0], parts[-1])]
+        while len(parts) > 1:
+            ranks = [self.ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+            rank = min(ranks)
+            if rank == NEVER:
+                break
+            at = ranks.index(rank)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            known.append((rank, parts[0], parts[-1]))
+        return known
+
     def _compatible(self, left: int, right: int) -> bool:
         known = self.fits.get(left << ID | right)
         if known is None:
@@ -179,38 +193,205 @@ class Transducer:
         return ids + [last[end - 1] for end in reversed(self._back(last, len(last)))]
 
 
+class Table:
+    """Numbers by distinct keys of 0 or more, looked up by whole columns: open addressing, at most a quarter full."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        slots, todo = self._slots(keys), np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[slots[todo]] < 0]
+            self.keys[slots[free]] = keys[free]
+            todo = todo[self.keys[slots[todo]] != keys[todo]]
+            slots[todo] = slots[todo] + 1 & self.mask
+        self.values[slots] = values
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * _MIX >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, or -1."""
+        slots = self._slots(keys)
+        there = self.keys[slots]
+        out = np.where(there == keys, self.values[slots], -1)
+        todo = np.flatnonzero((there != keys) & (there >= 0))
+        while len(todo):
+            slots[todo] = slots[todo] + 1 & self.mask
+            there = self.keys[slots[todo]]
+            hit = there == keys[todo]
+            out[todo[hit]] = self.values[slots[todo[hit]]]
+            todo = todo[~hit & (there >= 0)]
+        return out
+
+
+class Lanes:
+    """The transducer on many pieces at once, as columns: every start of every piece takes its steps side by side.
+
+    Here starts are not determinised, so there are no states to remember; a piece's tokens are told at its end.
+    """
+
+    FITS = 1 << 20
+
+    def __init__(self, transducer: Transducer):
+        t, column = transducer, lambda values: np.fromiter(values, np.int64)
+        self.children = Table(column(t.children), column(t.children.values()))
+        self.token, self.grows = np.array(t.token), np.array(t.grows)
+        size = max(t.spelling, default=-1) + 1
+        self.length, self.whole, self.at = np.zeros(size, np.int64), np.zeros(size, bool), np.zeros(size, np.int64)
+        ranks, firsts, lasts, pairs = [], [], [], {}
+        for number, token in t.spelling.items():
+            self.length[number], self.at[number] = len(token), len(ranks)
+            pairs |= {
+                t.ranks[token[:i]] << ID | t.ranks[token[i:]]: number
+                for i in range(1, len(token))
+                if token[:i] in t.ranks and token[i:] in t.ranks
+            }
+            steps = t.merges(token)
+            self.whole[number] = steps[-1][1] == token
+            ranks += [rank for rank, _, _ in steps] + [NEVER]
+            firsts += [t.ranks.get(first, -1) for _, first, _ in steps] + [-1]
+            lasts += [t.ranks.get(last, -1) for _, _, last in steps] + [-1]
+        self.rank, self.first, self.last = np.array(ranks), np.array(firsts), np.array(lasts)
+        self.pairs = Table(column(pairs), column(pairs.values()))
+        self.known, self.fits = np.full(self.FITS, -1, np.int64), np.zeros(self.FITS, bool)
+
+    def _joint(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of two tokens' bytes together."""
+        found = self.pairs.get(np.where((left < 0) | (right < 0), 0, left << ID | right))
+        return np.where((left < 0) | (right < 0) | (found < 0), NEVER, found)
+
+    def _compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each token may follow the one on its left, or begin a piece (-1)."""
+        keys = left + 1 << ID | right
+        slots = (keys.astype(np.uint64) * _MIX >> np.uint64(44)).astype(np.int64)
+        out, new = self.fits[slots], np.flatnonzero(self.known[slots] != keys)
+        if len(new):
+            _, once, of = np.unique(keys[new], return_index=True, return_inverse=True)
+            out[new] = self._apart(left[new[once]], right[new[once]])[of]
+            self.known[slots[new]] = -1
+            self.known[slots[new[once]]] = keys[new[once]]
+            kept = new[once][self.known[slots[new[once]]] == keys[new[once]]]
+            self.fits[slots[kept]] = out[kept]
+        return out
+
+    def _apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """As the transducer tells it, pair by pair."""
+        out = self.whole[right]
+        todo = np.flatnonzero(out & (left >= 0))
+        out[todo] = self._joint(left[todo], right[todo]) == NEVER
+        todo = todo[out[todo]]
+        i, j = self.at[left[todo]], self.at[right[todo]]
+        while len(todo):
+            a, b = self.rank[i + 1], self.rank[j + 1]
+            across = self._joint(self.last[i], self.first[j])
+            crosses = (across < a) & (across <= b)
+            out[todo[crosses]] = False
+            going = ~crosses & ((a < NEVER) | (b < NEVER))
+            ours = a <= b
+            todo, i, j = todo[going], (i + ours)[going], (j + ~ours)[going]
+        return out
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece (none may be empty), as little-endian 32-bit integers."""
+        data = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(sizes)
+        starts, end_of = ends - sizes, np.repeat(ends, sizes)
+        found, alive, node, k = [], np.arange(len(data)), np.zeros(len(data), np.int64), 0
+        while len(alive):
+            node = self.children.get(node << 8 | data[alive + k])
+            k += 1
+            token = np.where(node >= 0, self.token[node], -1)
+            found.append((alive[token >= 0], alive[token >= 0] + k, token[token >= 0]))
+            on = (node >= 0) & self.grows[node] & (alive + k < end_of[alive])
+            alive, node = alive[on], node[on]
+        begin, end, token = map(np.concatenate, zip(*found, strict=True))
+        far = end - np.repeat(starts, sizes)[begin]  # from the start of the piece
+        order = np.argsort(far.astype(np.int16), kind="stable")  # pieces are shorter than WINDOW
+        begin, end, token, far = begin[order], end[order], token[order], far[order]
+        last = np.full(len(data) + 1, -1, np.int64)  # by the place where it ends
+        first = np.zeros(len(data) + 1, bool)
+        first[starts] = True
+        cuts = np.searchsorted(far, np.arange(1, sizes.max() + 2))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            at, now = begin[a:b], token[a:b]
+            fits = self._compatible(np.where(first[at], -1, last[at]), now)
+            last[end[a:b][fits]] = now[fits]
+        lane, at, told, count = np.arange(len(pieces)), ends, [], np.zeros(len(pieces), np.int64)
+        while len(lane):
+            now = last[at]
+            if now.min() < 0:
+                raise ValueError("bytes that no token stands for")
+            told.append((lane, now))
+            count[lane] += 1
+            at = at - self.length[now]
+            lane, at = lane[at > starts[lane]], at[at > starts[lane]]
+        out, to = np.empty(count.sum(), "<i4"), np.cumsum(count)
+        for i, (lane, now) in enumerate(told):
+            out[to[lane] - 1 - i] = now
+        packed, to = out.tobytes(), (4 * to).tolist()
+        return [packed[a:b] for a, b in zip([0, *to[:-1]], to, strict=True)]
+
+
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
         self.transducer, self.pattern = Transducer(ranks), regex.compile(pattern)
-        self.pieces = Memo(self._piece, WORDS)
-        self.after_blank = Memo(lambda word: self._chunk(" " + word), WORDS)
-        self.first = Memo(self._chunk, WORDS)
+        self.lanes = Lanes(self.transducer)
+        self.pieces, self.chunks = Memo(self._piece, WORDS // 3), Memo(self._chunk, WORDS)
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.transducer.encode(piece.encode())
-        return struct.pack(f"<{len(ids)}i", *ids)
-
-    def _chunk(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
-
-    def encode(self, text: str) -> bytes:
-        """The ids, as little-endian 32-bit integers."""
-        self.trim()
-        lines = lines_of(text) if text else []
-        if lines is None:
-            return self._chunk(text)
-        feed, out, after = self.pieces["\n"], [], self.after_blank.__getitem__
-        for words in lines:
-            out.append(self.first[words[0]])
-            out.extend(map(after, words[1:]))
-            out.append(feed)
-        return b"".join(out[:-1])
-
-    def trim(self) -> None:
-        for memo in (self.pieces, self.after_blank, self.first):
+        self._learn([piece])
+        return self.pieces[piece]
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk)))
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Remembers the ids of these pieces: long ones one by one, all others side by side."""
+        lot, size = [], 0
+        for piece in pieces:
+            data = piece.encode()
+            if len(data) >= WINDOW:
+                ids = self.transducer.encode(data)
+                self.pieces[piece] = struct.pack(f"<{len(ids)}i", *ids)
+                continue
+            lot.append((piece, data))
+            size += len(data)
+            if size >= LOT:
+                self._learn_lot(lot)
+                lot, size = [], 0
+        self._learn_lot(lot)
+
+    def _learn_lot(self, lot: list[tuple[str, bytes]]) -> None:
+        if lot:
+            self.pieces.update(zip((p for p, _ in lot), self.lanes.encode([d for _, d in lot]), strict=True))
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each of these distinct chunks."""
+        for memo in (self.pieces, self.chunks):
             memo.trim()
+        new = self.chunks.unknown(chunks)
+        split = list(map(self.pattern.findall, new))
+        self._learn(self.pieces.unknown(dict.fromkeys(chain.from_iterable(split))))
+        known = self.pieces.__getitem__
+        self.chunks.update(zip(new, (known(p[0]) if len(p) == 1 else b"".join(map(known, p)) for p in split), strict=True))
+        return list(map(self.chunks.__getitem__, chunks))
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text, as a list<int32> column."""
+        chunks, first = chunks_of(texts)
+        coded = chunks.dictionary_encode()
+        packed = self._ids(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        where, _ = places((np.cumsum(sizes) - sizes)[of], sizes[of])
+        ends = np.append(0, np.cumsum(sizes[of]))[first]
+        values = np.frombuffer(b"".join(packed), "<i4")[where]
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values, pa.int32()))
 
 
 def _sequences() -> dict[int, list[range]]:
@@ -303,8 +484,7 @@ def encode(
     """
 
     def run(batch: pa.Array) -> pa.Array:
-        encoder = _encoder(ranks, pattern)
-        found = id_lists(map(encoder.encode, strings(batch)))
+        found = _encoder(ranks, pattern).encode(batch)
         if decoded is None:
             return found
         return pa.StructArray.from_arrays([found, _texts(found, _decoder(ranks))], names=["ids", "decoded"])
