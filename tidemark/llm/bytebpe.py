@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import struct
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 from itertools import chain
@@ -31,10 +32,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_column, text_of
 from tidemark.llm.splitting import Memo, chunks_of
-from tidemark.llm.wordcodes import places
+from tidemark.llm.wordcodes import lots, places
 
 STATES = 100_000
-WORDS = 150_000
+WORDS = 50_000
 NEVER = 1 << 62
 ID, LOW = 24, (1 << 24) - 1
 #: Bytes read before tokens are emitted; several times the longest token.
@@ -43,6 +44,8 @@ WINDOW = 1024
 HEAD = 5
 #: Bytes of pieces that are encoded side by side.
 LOT = 1 << 17
+#: Bytes of texts that are cut into chunks at a time.
+SLICE = 1 << 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -194,12 +197,12 @@ class Transducer:
 
 
 class Table:
-    """Numbers by distinct keys of 0 or more, looked up by whole columns: open addressing, at most a quarter full."""
+    """Numbers by distinct keys of 0 or more, looked up by whole columns: open addressing, at most half full."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, (4 * len(keys)).bit_length())
+        bits = max(4, (2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
         slots, todo = self._slots(keys), np.arange(len(keys))
         while len(todo):
             free = todo[self.keys[slots[todo]] < 0]
@@ -215,7 +218,7 @@ class Table:
         """The number of each key, or -1."""
         slots = self._slots(keys)
         there = self.keys[slots]
-        out = np.where(there == keys, self.values[slots], -1)
+        out = np.where(there == keys, self.values[slots], -1).astype(np.int64)
         todo = np.flatnonzero((there != keys) & (there >= 0))
         while len(todo):
             slots[todo] = slots[todo] + 1 & self.mask
@@ -232,7 +235,7 @@ class Lanes:
     Here starts are not determinised, so there are no states to remember; a piece's tokens are told at its end.
     """
 
-    FITS = 1 << 20
+    FITS = 1 << 18
 
     def __init__(self, transducer: Transducer):
         t, column = transducer, lambda values: np.fromiter(values, np.int64)
@@ -240,21 +243,22 @@ class Lanes:
         self.token, self.grows = np.array(t.token), np.array(t.grows)
         size = max(t.spelling, default=-1) + 1
         self.length, self.whole, self.at = np.zeros(size, np.int64), np.zeros(size, bool), np.zeros(size, np.int64)
-        ranks, firsts, lasts, pairs = [], [], [], {}
+        ranks, firsts, lasts, both, joint = (array("q") for _ in range(5))
         for number, token in t.spelling.items():
             self.length[number], self.at[number] = len(token), len(ranks)
-            pairs |= {
-                t.ranks[token[:i]] << ID | t.ranks[token[i:]]: number
-                for i in range(1, len(token))
-                if token[:i] in t.ranks and token[i:] in t.ranks
-            }
+            for i in range(1, len(token)):
+                left, right = t.ranks.get(token[:i]), t.ranks.get(token[i:])
+                if left is not None and right is not None:
+                    both.append(left << ID | right)
+                    joint.append(number)
             steps = t.merges(token)
             self.whole[number] = steps[-1][1] == token
-            ranks += [rank for rank, _, _ in steps] + [NEVER]
-            firsts += [t.ranks.get(first, -1) for _, first, _ in steps] + [-1]
-            lasts += [t.ranks.get(last, -1) for _, _, last in steps] + [-1]
-        self.rank, self.first, self.last = np.array(ranks), np.array(firsts), np.array(lasts)
-        self.pairs = Table(column(pairs), column(pairs.values()))
+            for rank, first, last in [*steps, (NEVER, b"", b"")]:
+                ranks.append(rank)
+                firsts.append(t.ranks.get(first, -1))
+                lasts.append(t.ranks.get(last, -1))
+        self.rank, self.first, self.last = (np.array(numbers, np.int64) for numbers in (ranks, firsts, lasts))
+        self.pairs = Table(np.array(both, np.int64), np.array(joint, np.int64))
         self.known, self.fits = np.full(self.FITS, -1, np.int64), np.zeros(self.FITS, bool)
 
     def _joint(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -265,7 +269,7 @@ class Lanes:
     def _compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each token may follow the one on its left, or begin a piece (-1)."""
         keys = left + 1 << ID | right
-        slots = (keys.astype(np.uint64) * _MIX >> np.uint64(44)).astype(np.int64)
+        slots = (keys.astype(np.uint64) * _MIX >> np.uint64(46)).astype(np.int64)
         out, new = self.fits[slots], np.flatnonzero(self.known[slots] != keys)
         if len(new):
             _, once, of = np.unique(keys[new], return_index=True, return_inverse=True)
@@ -341,7 +345,7 @@ class Encoder:
 
         self.transducer, self.pattern = Transducer(ranks), regex.compile(pattern)
         self.lanes = Lanes(self.transducer)
-        self.pieces, self.chunks = Memo(self._piece, WORDS // 3), Memo(self._chunk, WORDS)
+        self.pieces, self.chunks = Memo(self._piece, WORDS), Memo(self._chunk, WORDS)
 
     def _piece(self, piece: str) -> bytes:
         self._learn([piece])
@@ -383,6 +387,10 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """The ids of each text, as a list<int32> column."""
+        found = [self._lists(texts.slice(i, j - i)) for i, j in lots(texts, SLICE)]
+        return pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int32()))
+
+    def _lists(self, texts: pa.Array) -> pa.Array:
         chunks, first = chunks_of(texts)
         coded = chunks.dictionary_encode()
         packed = self._ids(coded.dictionary.to_pylist())
